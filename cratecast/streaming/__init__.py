@@ -1,0 +1 @@
+"""cratecast.streaming."""
