@@ -49,4 +49,5 @@ def half_even(x: Column | str, scale: int = 0) -> Column:
 
 def code_to_int(c: Column | str) -> Column:
     """Numeric-looking code to int ('001' -> 1); bad codes become NULL."""
-    return F.expr(f"try_cast(trim({c}) AS INT)") if isinstance(c, str) else c.try_cast("int")
+    c = F.col(c) if isinstance(c, str) else c
+    return F.trim(c).try_cast("int")

@@ -28,16 +28,16 @@ def _values(df: DataFrame, col: str, weight: str | None) -> DataFrame:
     return x.filter(F.col("x").isNotNull() & ~F.isnan("x") & (F.col("w") > 0))
 
 
-def _order_stats(x: DataFrame, ranks: list[int], n: int, lo: float, hi: float, max_collect: int, bins: int) -> list[float]:
+def _order_stats(x: DataFrame, ranks: list[int], n: int, lo: float, hi: float, max_collect: int, bins: int,
+                 first_collect: bool = False) -> list[float]:
     """Values at the given 0-based ranks (sorted, within [0, n))."""
     below, cnt = 0, n
     first = True
     while True:
         sub = x if first else x.filter(F.col("x").between(lo, hi))
-        first = False
         if lo == hi:
             return [lo for _ in ranks]
-        if cnt <= max_collect:
+        if cnt <= max_collect or (first and first_collect):
             rows = sub.groupBy("x").agg(F.sum("w").alias("c")).orderBy("x").collect()
             out, cum, i = [], below, 0
             for v, c in rows:
@@ -48,6 +48,7 @@ def _order_stats(x: DataFrame, ranks: list[int], n: int, lo: float, hi: float, m
                 if i == len(ranks):
                     break
             return out
+        first = False
         b = F.width_bucket(F.col("x"), F.lit(lo), F.lit(hi), F.lit(bins))
         hist = (
             sub.groupBy(b.alias("b"))
@@ -83,22 +84,30 @@ def exact_quantiles(
     ``weight`` (a non-negative integer column) counts each row that many
     times: the quantile of line-level values can be taken on a pre-aggregated
     table of (value, number of lines).
+
+    One pass gets the count, range and an estimate of distinct values; when
+    few distinct values exist, one more pass returns their counts and every
+    quantile is read from them. Otherwise each quantile narrows its own
+    bracket with histogram passes.
     """
     x = _values(df, col, weight)
-    n, lo, hi = x.agg(F.sum("w"), F.min("x"), F.max("x")).first()
+    n, lo, hi, nd = x.agg(F.sum("w"), F.min("x"), F.max("x"), F.approx_count_distinct("x", 0.02)).first()
     if not n:
         return [None for _ in probs]
-    out = []
+    targets = []
     for p in probs:
         pos = p * (n - 1)
         k = int(math.floor(pos))
-        frac = pos - k
-        k1 = min(k + 1, n - 1)
-        a, b = _order_stats(x, sorted({k, k1}), n, lo, hi, max_collect, bins) if k1 != k else (
-            _order_stats(x, [k], n, lo, hi, max_collect, bins) * 2
-        )
-        out.append(a + (b - a) * frac)
-    return out
+        targets.append((k, min(k + 1, n - 1), pos - k))
+    if nd <= max_collect // 2:
+        ranks = sorted({r for k, k1, _ in targets for r in (k, k1)})
+        vals = dict(zip(ranks, _order_stats(x, ranks, n, lo, hi, 2 * max_collect, bins, first_collect=True)))
+    else:
+        vals = {}
+        for k, k1, _ in targets:
+            rs = sorted({k, k1})
+            vals.update(zip(rs, _order_stats(x, rs, n, lo, hi, max_collect, bins)))
+    return [vals[k] + (vals[k1] - vals[k]) * frac for k, k1, frac in targets]
 
 
 def exact_quantile(df: DataFrame, col: str, p: float, weight: str | None = None, **kw) -> float | None:

@@ -113,6 +113,176 @@ def plan_ctes(p: PlanParams) -> list[tuple[str, str]]:
         ("z_client", f"SELECT * FROM zc WHERE Valor_Z_general > {lo} AND Valor_Z_general <= {hi}"),
         ("zp", f"SELECT *, {_z('KgLts_Total', 'ClienteClave, ProductoClave', 'Valor_Z_detalle')} FROM z_client"),
         ("clean", f"SELECT * FROM zp WHERE Valor_Z_detalle > {lo} AND Valor_Z_detalle <= {hi}"),
+    ] + dataset_ctes(p) + curve_ctes(p) + mix_ctes(p) + load_ctes(p)
+
+
+def _rn(src: str, part: str, order: str) -> str:
+    return f"SELECT * EXCLUDE (rn__) FROM (SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY {order}) AS rn__ FROM {src}) t WHERE rn__ = 1"
+
+
+def dataset_ctes(p: PlanParams) -> list[tuple[str, str]]:
+    units, chans = _lst(p.units), _lst(p.channels)
+    b = ["Bajo", "Medio Bajo", "Medio Alto", "Alto"]
+    return [
+        ("seq", f"""SELECT c.ClienteClave, s.FrecuenciaClave, ce.EsquemaID FROM client c
+              LEFT JOIN sequence s ON c.ClienteClave = s.ClienteClave LEFT JOIN client_channel ce ON c.ClienteClave = ce.ClienteClave
+              WHERE c.TipoEstado = 1 AND c.AlmacenID IN ({units}) AND ce.EsquemaID IN ({chans})"""),
+        ("nweeks", "SELECT CAST(floor(datediff('day', min(Fecha), max(Fecha)) / 7) AS INTEGER) AS n FROM sales"),
+        ("weekly_visits", """SELECT v.ClienteClave, v.Visitas_Semanales, v.Visitas_Semanales * CAST(w.n AS BIGINT) AS Visitas_Totales
+              FROM (SELECT ClienteClave, CAST(count(DISTINCT FrecuenciaClave)
+                          + max(CASE WHEN FrecuenciaClave IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS Visitas_Semanales
+                    FROM seq GROUP BY ClienteClave) v, nweeks w"""),
+        ("codes", """SELECT FrecuenciaClave, CAST(row_number() OVER (ORDER BY FrecuenciaClave DESC) - 1 AS INTEGER) AS Dia
+              FROM (SELECT DISTINCT FrecuenciaClave FROM seq WHERE FrecuenciaClave IS NOT NULL) c"""),
+        ("plan_days", "SELECT s.ClienteClave, s.FrecuenciaClave, s.EsquemaID, c.Dia FROM seq s JOIN codes c ON s.FrecuenciaClave = c.FrecuenciaClave"),
+        ("visit_plan", """SELECT d.ClienteClave, d.EsquemaID, d.Dia, v.Visitas_Semanales FROM plan_days d
+              LEFT JOIN (SELECT ClienteClave, CAST(count(DISTINCT FrecuenciaClave) AS BIGINT) AS Visitas_Semanales
+                         FROM plan_days GROUP BY ClienteClave) v ON d.ClienteClave = v.ClienteClave"""),
+        ("wd_stats", """SELECT ClienteClave, Dia, avg(Venta_Total_dia) AS Venta_media_por_dia, median(Venta_Total_dia) AS Venta_mediana_por_dia
+              FROM (SELECT DISTINCT ClienteClave, Fecha, Dia, Venta_Total_dia FROM p_sales) d GROUP BY ClienteClave, Dia"""),
+        ("dprod", """SELECT c.*, w.Venta_media_por_dia, w.Venta_mediana_por_dia, v.Visitas_Semanales FROM clean c
+              LEFT JOIN wd_stats w ON c.ClienteClave = w.ClienteClave AND c.Dia = w.Dia
+              JOIN weekly_visits v ON c.ClienteClave = v.ClienteClave"""),
+        ("daily", _rn("dprod", "ClienteClave, Semana, Dia", "Fecha, TransProdID, TransProdDetalleID")),
+        ("quart", """SELECT quantile_cont(Venta_media_por_dia, 0.25) AS q1, quantile_cont(Venta_media_por_dia, 0.5) AS q2,
+              quantile_cont(Venta_media_por_dia, 0.75) AS q3 FROM daily"""),
+        ("banded", f"""SELECT d.*, CASE WHEN d.Venta_Total_dia <= q.q1 THEN '{b[0]}' WHEN d.Venta_Total_dia <= q.q2 THEN '{b[1]}'
+              WHEN d.Venta_Total_dia <= q.q3 THEN '{b[2]}' WHEN d.Venta_Total_dia IS NOT NULL THEN '{b[3]}' END AS Categoria,
+              q.q1, q.q2, q.q3 FROM daily d, quart q"""),
+        ("band_mode", """SELECT ClienteClave, Dia, Categoria FROM (SELECT *, row_number() OVER (PARTITION BY ClienteClave, Dia
+              ORDER BY n DESC, Categoria) AS rn FROM (SELECT ClienteClave, Dia, Categoria, count(*) AS n FROM banded
+              WHERE Categoria IS NOT NULL GROUP BY ClienteClave, Dia, Categoria) t) u WHERE rn = 1"""),
+        ("pred_in", """SELECT m.ClienteClave, m.Dia, m.Venta_media_por_dia, b.Categoria
+              FROM (SELECT DISTINCT ClienteClave, Dia, Venta_media_por_dia FROM banded) m
+              JOIN band_mode b ON m.ClienteClave = b.ClienteClave AND m.Dia = b.Dia"""),
+        ("planned", """SELECT p.ClienteClave, p.EsquemaID, p.Dia, p.Visitas_Semanales, i.Venta_media_por_dia, i.Categoria
+              FROM visit_plan p LEFT JOIN pred_in i ON p.ClienteClave = i.ClienteClave AND p.Dia = i.Dia"""),
+        ("cold", "SELECT ClienteClave, EsquemaID, Visitas_Semanales FROM (" + _rn("(SELECT * FROM planned WHERE Categoria IS NULL)", "ClienteClave", "EsquemaID, Visitas_Semanales") + ") c"),
+        ("warm", f"""SELECT p.*, {p.forecast_month} AS Mes, {p.forecast_week} AS Semana FROM planned p
+              WHERE p.ClienteClave IS NOT NULL AND p.EsquemaID IS NOT NULL AND p.Dia IS NOT NULL AND p.Visitas_Semanales IS NOT NULL
+              AND p.Venta_media_por_dia IS NOT NULL AND p.Categoria IS NOT NULL
+              AND p.ClienteClave NOT IN (SELECT ClienteClave FROM cold)"""),
+        ("client_attrs", "SELECT ClienteClave, Ruta, UNE FROM (" + _rn("sales", "ClienteClave", "Fecha, TransProdID, TransProdDetalleID") + ") a"),
+    ]
+
+
+def curve_ctes(p: PlanParams) -> list[tuple[str, str]]:
+    k = "PARTITION BY EsquemaID, Visitas_Semanales ORDER BY Semana"
+    pre = f"({k} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    fol = f"({k} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    return [
+        ("wrange", "SELECT min(Semana) AS w0, max(Semana) AS w1 FROM sales"),
+        ("cgrid0", """SELECT c.EsquemaID, c.Visitas_Semanales, CAST(unnest(generate_series(r.w0, r.w1)) AS INTEGER) AS Semana
+              FROM (SELECT DISTINCT EsquemaID, Visitas_Semanales FROM daily) c, wrange r"""),
+        ("cmean", "SELECT EsquemaID, Semana, Visitas_Semanales, avg(Venta_Total_dia) AS Venta_Total_dia FROM daily GROUP BY 1, 2, 3"),
+        ("curve_grid", """SELECT g.EsquemaID, g.Visitas_Semanales, g.Semana, m.Venta_Total_dia FROM cgrid0 g
+              LEFT JOIN cmean m ON g.EsquemaID = m.EsquemaID AND g.Semana = m.Semana AND g.Visitas_Semanales = m.Visitas_Semanales"""),
+        ("curve_filled", """SELECT EsquemaID, Visitas_Semanales, Semana,
+              coalesce(Venta_Total_dia, avg(Venta_Total_dia) OVER (PARTITION BY EsquemaID)) AS Venta_Total_dia FROM curve_grid"""),
+        ("cz", f"SELECT *, {_z('Venta_Total_dia', 'EsquemaID, Visitas_Semanales', 'Valor_Z')} FROM curve_filled"),
+        ("cnull", f"""SELECT EsquemaID, Visitas_Semanales, Semana,
+              CASE WHEN Valor_Z >= {p.z_curve_null} THEN NULL ELSE Venta_Total_dia END AS v FROM cz"""),
+        ("cint", f"""SELECT *, last_value(v IGNORE NULLS) OVER {pre} AS pv,
+              last_value(CASE WHEN v IS NOT NULL THEN Semana END IGNORE NULLS) OVER {pre} AS pp,
+              first_value(v IGNORE NULLS) OVER {fol} AS nv,
+              first_value(CASE WHEN v IS NOT NULL THEN Semana END IGNORE NULLS) OVER {fol} AS np_ FROM cnull"""),
+        ("curves0", """SELECT EsquemaID, Visitas_Semanales, Semana, CASE WHEN v IS NOT NULL THEN v
+              WHEN pv IS NOT NULL AND nv IS NOT NULL THEN pv + (nv - pv) * (Semana - pp) / (np_ - pp)
+              WHEN pv IS NOT NULL THEN pv ELSE nv END AS Venta_Total_dia FROM cint"""),
+        ("curves", "SELECT *, round_even(Venta_Total_dia, 3) AS prediccion FROM curves0"),
+        ("curve_forecast", f"""SELECT d.ClienteClave, c.EsquemaID, cv.Semana, d.Dia, c.Visitas_Semanales,
+              cv.prediccion / c.Visitas_Semanales AS prediccion
+              FROM plan_days d JOIN cold c ON d.ClienteClave = c.ClienteClave
+              JOIN curves cv ON c.EsquemaID = cv.EsquemaID AND c.Visitas_Semanales = cv.Visitas_Semanales AND cv.Semana = {p.forecast_week}"""),
+        ("fc", f"""SELECT ClienteClave, EsquemaID, Semana, Dia, Visitas_Semanales, Venta_media_por_dia * {p.uplift!r} AS prediccion FROM warm
+              UNION ALL
+              SELECT ClienteClave, EsquemaID, Semana, Dia, Visitas_Semanales, prediccion * {p.uplift!r} FROM curve_forecast"""),
+        ("weekly", """SELECT f.ClienteClave, a.UNE, a.Ruta, f.EsquemaID, f.Semana, f.Visitas_Semanales,
+              coalesce(sum(f.prediccion), 0.0) AS prediccion
+              FROM fc f JOIN client_attrs a ON f.ClienteClave = a.ClienteClave
+              WHERE f.ClienteClave IS NOT NULL AND a.UNE IS NOT NULL AND a.Ruta IS NOT NULL AND f.EsquemaID IS NOT NULL
+                AND f.Semana IS NOT NULL AND f.Visitas_Semanales IS NOT NULL
+              GROUP BY f.ClienteClave, a.UNE, a.Ruta, f.EsquemaID, f.Semana, f.Visitas_Semanales"""),
+    ]
+
+
+def _days(p: PlanParams) -> list[str]:
+    return [n for _, n in p.days]
+
+
+def mix_ctes(p: PlanParams) -> list[tuple[str, str]]:
+    days = _days(p)
+    dsum = ", ".join(f"coalesce(sum(CASE WHEN Dia = {d} THEN KgLts_Total END), 0.0) AS {n}" for d, n in p.days)
+    ddiv = ", ".join(f"{n} / NULLIF(kg, 0) AS {n}" for n in days)
+    dl = ", ".join(days)
+    hdl = ", ".join(f"h.{n}" for n in days)
+    w = p.blend_weight
+    return [
+        ("day_mix", f"""SELECT ClienteClave, ProductoClave, {ddiv},
+              kg * 100.0 / NULLIF(sum(kg) OVER (PARTITION BY ClienteClave), 0) AS Porcentaje
+              FROM (SELECT ClienteClave, ProductoClave, sum(KgLts_Total) AS kg, {dsum} FROM p_sales GROUP BY 1, 2) g"""),
+        ("mz", f"SELECT *, {_z('KgLts_Total', 'UNE, ClienteClave', 'Valor_Z')} FROM p_sales"),
+        ("mix_clean", f"SELECT * FROM mz WHERE Valor_Z <= {p.z_mix}"),
+        ("mix_median", """SELECT UNE, ClienteClave, ProductoClave, median(w) AS KgLts_Total FROM (SELECT UNE, ClienteClave, "Year", Semana,
+              ProductoClave, sum(KgLts_Total) AS w FROM mix_clean GROUP BY 1, 2, 3, 4, 5) t GROUP BY 1, 2, 3"""),
+        ("mix_long", """SELECT UNE, ClienteClave, ProductoClave,
+              KgLts_Total * 100.0 / NULLIF(sum(KgLts_Total) OVER (PARTITION BY UNE, ClienteClave), 0) AS Porcentaje FROM mix_median"""),
+        ("assign", """SELECT m.UNE, m.ClienteClave, ch.Cluster FROM (SELECT DISTINCT UNE, ClienteClave FROM mix_long) m
+              JOIN (SELECT ClienteClave, min(EsquemaID) AS Cluster FROM sales GROUP BY ClienteClave) ch ON m.ClienteClave = ch.ClienteClave"""),
+        ("centres", """SELECT mb.UNE, mb.Cluster, u.ProductoClave, coalesce(cs.s, 0.0) / mb.n_members AS Porcentaje_kmeans
+              FROM (SELECT UNE, Cluster, count(*) AS n_members FROM assign GROUP BY 1, 2) mb
+              JOIN (SELECT DISTINCT UNE, ProductoClave FROM mix_long) u ON mb.UNE = u.UNE
+              LEFT JOIN (SELECT a.UNE, a.Cluster, m.ProductoClave, sum(m.Porcentaje) AS s FROM mix_long m
+                         JOIN assign a ON m.UNE = a.UNE AND m.ClienteClave = a.ClienteClave GROUP BY 1, 2, 3) cs
+                ON cs.UNE = mb.UNE AND cs.Cluster = mb.Cluster AND cs.ProductoClave = u.ProductoClave"""),
+        ("cluster_mix", """SELECT a.UNE, a.ClienteClave, a.Cluster, c.ProductoClave, c.Porcentaje_kmeans FROM assign a
+              JOIN centres c ON a.UNE = c.UNE AND a.Cluster = c.Cluster"""),
+        ("blended", f"""SELECT h.ClienteClave, h.ProductoClave, {hdl},
+              {1.0 - w!r} * h.Porcentaje + {w!r} * k.Porcentaje_kmeans AS Porcentaje
+              FROM day_mix h JOIN cluster_mix k ON h.ClienteClave = k.ClienteClave AND h.ProductoClave = k.ProductoClave"""),
+        ("unblended", f"""SELECT ClienteClave, ProductoClave, {dl}, Porcentaje FROM day_mix
+              WHERE ClienteClave NOT IN (SELECT ClienteClave FROM blended)"""),
+        ("allmix", f"SELECT ClienteClave, ProductoClave, {dl}, Porcentaje FROM blended UNION ALL SELECT * FROM unblended"),
+        ("rs", """SELECT *, sum(Porcentaje) OVER (PARTITION BY ClienteClave ORDER BY Porcentaje DESC, ProductoClave
+              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS Agg FROM allmix"""),
+        ("kept0", f"SELECT * EXCLUDE (Agg) FROM rs WHERE round(Agg, {p.share_decimals}) < {p.share_cut!r}"),
+        ("kept", f"""SELECT k.ClienteClave, k.ProductoClave, {', '.join('k.' + n for n in days)},
+              (k.Porcentaje * 100.0 / t.Total) / 100.0 AS Porcentaje FROM kept0 k
+              JOIN (SELECT ClienteClave, sum(Porcentaje) AS Total FROM kept0 GROUP BY 1) t ON k.ClienteClave = t.ClienteClave"""),
+        ("topone", f"""SELECT ClienteClave, ProductoClave, {dl}, CAST(1.0 AS DOUBLE) AS Porcentaje FROM ("""
+              + _rn("(SELECT * FROM allmix WHERE ClienteClave NOT IN (SELECT ClienteClave FROM kept0))", "ClienteClave", "Porcentaje DESC, ProductoClave")
+              + ") t"),
+        ("blend", f"""SELECT * FROM (SELECT * FROM kept UNION ALL SELECT * FROM topone) b
+              WHERE ClienteClave IN (SELECT ClienteClave FROM fc)"""),
+    ]
+
+
+def load_ctes(p: PlanParams) -> list[tuple[str, str]]:
+    days = _days(p)
+    dv = ", ".join(f"b.{n} * (w.prediccion * b.Porcentaje) AS {n}" for n in days)
+    melt = " UNION ALL ".join(
+        f"SELECT UNE, Ruta, ClienteClave, ProductoClave, '{n}' AS Dia, {n} AS Total FROM day_volume" for n in days
+    )
+    t = p.crate_round_threshold
+    return [
+        ("day_volume", f"""SELECT w.ClienteClave, w.UNE, w.Ruta, w.EsquemaID, w.Semana, w.Visitas_Semanales, b.ProductoClave, {dv},
+              w.prediccion * b.Porcentaje AS Porcentaje FROM weekly w LEFT JOIN blend b ON w.ClienteClave = b.ClienteClave"""),
+        ("punits", """SELECT pd.ProductoClave, pd.PRUTipoUnidad, pd.Factor, pu.KgLts FROM product_detail pd
+              JOIN product_unit pu ON pd.ProductoClave = pu.ProductoClave AND pd.PRUTipoUnidad = pu.PRUTipoUnidad"""),
+        ("unit_min", "SELECT ProductoClave, KgLts FROM (" + _rn("punits", "ProductoClave", "PRUTipoUnidad") + ") u"),
+        ("melt", melt),
+        ("pieces0", f"""SELECT m.UNE, m.Ruta, m.ClienteClave, m.ProductoClave, m.Dia,
+              CAST(ceil(round_even(round(m.Total / NULLIF(u.KgLts, 0), {p.share_decimals}), 0)) AS DOUBLE) AS Piezas, u.KgLts
+              FROM melt m JOIN unit_min u ON m.ProductoClave = u.ProductoClave"""),
+        ("pieces", "SELECT UNE, Ruta, ClienteClave, ProductoClave, Dia, Piezas, Piezas * KgLts AS Litros FROM pieces0 WHERE Piezas > 0"),
+        ("rl1", """SELECT r.*, u.KgLts, TRY_CAST(trim(r.ProductoClave) AS INTEGER) AS Material
+              FROM (SELECT UNE, Ruta, ProductoClave, Dia, sum(Piezas) AS Piezas, sum(Litros) AS Litros FROM pieces GROUP BY 1, 2, 3, 4) r
+              JOIN unit_min u ON r.ProductoClave = u.ProductoClave WHERE r.Piezas > 0"""),
+        ("crates_x", """SELECT r.*, c.Unidad_de_Carga, r.Piezas / NULLIF(c.Unidad_de_Carga, 0) AS x
+              FROM rl1 r JOIN dim_crates c ON r.Material = c.Material"""),
+        ("crate_round", f"SELECT *, CASE WHEN x - floor(x) >= {t!r} THEN ceil(x) ELSE floor(x) END AS Rejas FROM crates_x"),
+        ("route_load", """SELECT UNE, Ruta, Material, Dia, Piezas, Litros, Rejas, Rejas * Unidad_de_Carga AS Piezas_en_rejas,
+              KgLts * (Rejas * Unidad_de_Carga) AS Litros_en_rejas FROM crate_round WHERE KgLts * (Rejas * Unidad_de_Carga) > 0"""),
     ]
 
 
@@ -185,9 +355,102 @@ def _queries(p: PlanParams) -> dict[str, str]:
         qv AS (SELECT quantile_cont(Visita_seg, {p.visit_p_cut}) AS q FROM v)
         SELECT v.ClienteClave, v.DiaClave, round(v.Visita_seg, 6) AS Visita_seg, v.Mes, v."Year", v.Dia, v.Semana,
                round(qv.q, 6) AS p_value FROM v, qv WHERE v.Visita_seg <= qv.q"""
+    q.update(_stage_queries(p))
     return q
 
 
+def _stage_queries(p: PlanParams) -> dict[str, str]:
+    days = _days(p)
+    q: dict[str, str] = {}
+    q["num_weeks"] = "SELECT n AS num_semanas FROM nweeks"
+    q["weekly_visits"] = "SELECT * FROM weekly_visits"
+    q["weekday_codes"] = "SELECT * FROM codes"
+    q["visit_plan"] = "SELECT * FROM visit_plan"
+    q["client_weekday_stats"] = f"SELECT ClienteClave, Dia, {_dbl(['Venta_media_por_dia', 'Venta_mediana_por_dia'])} FROM wd_stats"
+    dcols = ["Venta_Total_dia", "Valor_Z_general", "Valor_Z_detalle", "Venta_media_por_dia", "Venta_mediana_por_dia"]
+    base = 'ClienteClave, Semana, Dia, Fecha, UNE, Ruta, EsquemaID, Mes, "Year", Visitas_Semanales'
+    q["daily_dataset"] = f"SELECT {base}, {_dbl(dcols)} FROM daily"
+    q["bands"] = f"SELECT {base}, Categoria, {_dbl(dcols + ['q1', 'q2', 'q3'])} FROM banded"
+    q["band_mode"] = "SELECT * FROM band_mode"
+    q["warm_plan"] = f"SELECT ClienteClave, EsquemaID, Dia, Visitas_Semanales, Categoria, Mes, Semana, {r6('Venta_media_por_dia')} FROM warm"
+    q["cold_clients"] = "SELECT * FROM cold"
+    q["client_attrs"] = "SELECT * FROM client_attrs"
+    q["curve_grid"] = f"SELECT EsquemaID, Visitas_Semanales, Semana, {r6('Venta_Total_dia')} FROM curve_grid"
+    q["curve_filled"] = f"SELECT EsquemaID, Visitas_Semanales, Semana, {r6('Venta_Total_dia')} FROM curve_filled"
+    q["curve_smooth"] = f"SELECT EsquemaID, Visitas_Semanales, Semana, {_dbl(['Venta_Total_dia', 'prediccion'])} FROM curves"
+    q["curve_forecast"] = f"SELECT ClienteClave, EsquemaID, Semana, Dia, Visitas_Semanales, {r6('prediccion')} FROM curve_forecast"
+    q["forecast_union"] = f"SELECT ClienteClave, EsquemaID, Semana, Dia, Visitas_Semanales, {r6('prediccion')} FROM fc"
+    q["weekly_forecast"] = f"SELECT ClienteClave, UNE, Ruta, EsquemaID, Semana, Visitas_Semanales, {r6('prediccion')} FROM weekly"
+    q["day_mix"] = f"SELECT ClienteClave, ProductoClave, {_dbl(days + ['Porcentaje'])} FROM day_mix"
+    q["mix_clean"] = f"""SELECT UNE, ClienteClave, ProductoClave, Fecha, TransProdID, TransProdDetalleID,
+        {_dbl(['KgLts_Total', 'Valor_Z'])} FROM mix_clean"""
+    q["mix_median"] = f"SELECT UNE, ClienteClave, ProductoClave, {r6('KgLts_Total')} FROM mix_median"
+    q["product_mix"] = f"SELECT UNE, ClienteClave, ProductoClave, {r6('Porcentaje')} FROM mix_long"
+    q["cluster_mix"] = f"SELECT UNE, ClienteClave, Cluster, ProductoClave, {r6('Porcentaje_kmeans')} FROM cluster_mix"
+    q["running_share"] = f"SELECT ClienteClave, ProductoClave, {_dbl(days + ['Porcentaje', 'Agg'])} FROM rs"
+    q["unblended_clients"] = f"SELECT ClienteClave, ProductoClave, {_dbl(days + ['Porcentaje'])} FROM unblended"
+    q["blend"] = f"SELECT ClienteClave, ProductoClave, {_dbl(days + ['Porcentaje'])} FROM blend"
+    q["day_volume"] = f"""SELECT ClienteClave, UNE, Ruta, EsquemaID, Semana, Visitas_Semanales, ProductoClave,
+        {_dbl(days + ['Porcentaje'])} FROM day_volume"""
+    q["unit_min"] = f"SELECT ProductoClave, {r6('KgLts')} FROM unit_min"
+    q["pieces"] = f"SELECT UNE, Ruta, ClienteClave, ProductoClave, Dia, {_dbl(['Piezas', 'Litros'])} FROM pieces"
+    q["route_load"] = f"""SELECT UNE, Ruta, Material, Dia,
+        {_dbl(['Piezas', 'Litros', 'Rejas', 'Piezas_en_rejas', 'Litros_en_rejas'])} FROM route_load"""
+    q["crate_round"] = f"SELECT UNE, Ruta, Material, Dia, {_dbl(['Piezas', 'Unidad_de_Carga', 'Rejas'])} FROM crate_round"
+    q["plan_totals"] = f"""SELECT count(*) AS n_rows, {r6('sum(Piezas)', 'Piezas')}, {r6('sum(Litros)', 'Litros')},
+        {r6('sum(Rejas)', 'Rejas')}, {r6('sum(Litros_en_rejas)', 'Litros_en_rejas')},
+        {r6('min(Litros_en_rejas)', 'min_litros_en_rejas')}, {r6('max(Litros_en_rejas)', 'max_litros_en_rejas')} FROM route_load"""
+    # reports
+    q["product_share"] = f"""SELECT ProductoClave, {r6('sum(KgLts_Total)', 'KgLts_Total')},
+        {r6('sum(KgLts_Total) * 100.0 / sum(sum(KgLts_Total)) OVER ()', 'pct')} FROM sales GROUP BY ProductoClave"""
+    q["weekly_trend"] = f"""SELECT "Year", Semana, {r6('sum(KgLts_Total)', 'KgLts_Total')},
+        CAST(make_date("Year", 1, 1) + 7 * Semana AS DATE) AS Fecha FROM sales GROUP BY "Year", Semana"""
+    q["client_weekly"] = f"""SELECT ClienteClave, Semana, "Year", {r6('sum(KgLts_Total)', 'KgLts_Total')} FROM sales
+        GROUP BY ClienteClave, Semana, 3"""
+    q["client_weekly_clean"] = f"""SELECT ClienteClave, Semana, "Year", {r6('sum(KgLts_Total)', 'KgLts_Total')} FROM clean
+        GROUP BY ClienteClave, Semana, 3"""
+    cw = 'SELECT ClienteClave, Semana, "Year", sum(KgLts_Total) AS x FROM sales GROUP BY ClienteClave, Semana, "Year"'
+    q["client_weekly_hist"] = f"""WITH cw AS ({cw}), mm AS (SELECT min(x) AS lo, max(x) AS hi FROM cw),
+        b AS (SELECT CAST(least(floor({HIST_BINS} * (x - lo) / (hi - lo)) + 1, {HIST_BINS}) AS INTEGER) AS bin, lo, hi FROM cw, mm)
+        SELECT bin, {r6('min(lo) + (bin - 1) * ((min(hi) - min(lo)) / ' + str(HIST_BINS) + ')', 'lo')},
+               {r6('min(lo) + bin * ((min(hi) - min(lo)) / ' + str(HIST_BINS) + ')', 'hi')}, count(*) AS n FROM b GROUP BY bin"""
+    q["describe_weekly"] = f"""WITH cw AS ({cw}) SELECT count(x) AS count, {r6('avg(x)', 'mean')}, {r6('stddev_samp(x)', 'std')},
+        {r6('min(x)', 'min')}, {r6('quantile_cont(x, 0.25)', 'p25')}, {r6('quantile_cont(x, 0.5)', 'p50')},
+        {r6('quantile_cont(x, 0.75)', 'p75')}, {r6('max(x)', 'max')} FROM cw"""
+    box = lambda src, stage: f"""SELECT '{stage}' AS stage, count(v) AS n, {r6('min(v)', 'min')}, {r6('q1')}, {r6('q2', 'median')}, {r6('q3')},
+        {r6('max(v)', 'max')}, {r6('q1 - 1.5 * (q3 - q1)', 'fence_lo')}, {r6('q3 + 1.5 * (q3 - q1)', 'fence_hi')},
+        count(CASE WHEN v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1) THEN 1 END) AS n_outliers
+        FROM (SELECT Venta_Total_dia AS v FROM {src}) s, (SELECT quantile_cont(Venta_Total_dia, 0.25) AS q1,
+        quantile_cont(Venta_Total_dia, 0.5) AS q2, quantile_cont(Venta_Total_dia, 0.75) AS q3 FROM {src}) q GROUP BY q1, q2, q3"""
+    q["box_stats"] = box("sales_dt", "before") + " UNION ALL " + box("p_sales", "after")
+    q["channel_trend"] = f"""SELECT EsquemaID, "Year", Semana, {r6('sum(cw)', 'KgLts_Total')}, {r6('stddev_samp(cw)', 'std_cliente')},
+        count(*) AS n_clientes FROM (SELECT EsquemaID, ClienteClave, "Year", Semana, sum(KgLts_Total) AS cw FROM sales
+        GROUP BY 1, 2, 3, 4) t GROUP BY EsquemaID, "Year", Semana"""
+    units = _lst(p.units)
+    dates = f"DATE '{p.start.isoformat()}' AND DATE '{p.end.isoformat()}'"
+    q["parse_dates"] = f"""SELECT ClienteClave, DiaTexto, Fecha, CAST(month(Fecha) AS INTEGER) AS Mes, CAST(year(Fecha) AS INTEGER) AS "Year",
+        CAST(isodow(Fecha) - 1 AS INTEGER) AS Dia, CAST(weekofyear(Fecha) AS INTEGER) AS Semana
+        FROM (SELECT ClienteClave, DiaTexto, CAST(strptime(DiaTexto, '%d/%m/%Y') AS DATE) AS Fecha
+              FROM (SELECT ClienteClave, strftime(DiaClave, '%d/%m/%Y') AS DiaTexto FROM agenda
+                    WHERE ClaveCEDI IN ({units}) AND DiaClave BETWEEN {dates}) a) b"""
+    q["regression_metrics"] = f"""SELECT count(*) AS n,
+        {r6('1.0 - sum((y - yh) * (y - yh)) / sum((y - mu) * (y - mu))', 'R2')},
+        {r6('avg(abs(y - yh))', 'MAE')}, {r6('sqrt(avg((y - yh) * (y - yh)))', 'RMSE')}
+        FROM (SELECT Venta_Total_dia AS y, Venta_media_por_dia AS yh FROM daily) d, (SELECT avg(Venta_Total_dia) AS mu FROM daily) m"""
+    q["compare_weekly"] = f"""WITH f AS (SELECT Semana, sum(Venta_media_por_dia) * {p.uplift!r} AS forecast FROM daily GROUP BY Semana),
+        a AS (SELECT Semana, sum(Venta_Total_dia) AS actual FROM daily GROUP BY Semana),
+        j AS (SELECT f.Semana, forecast, actual, forecast - actual AS error,
+              (forecast - actual) * 100.0 / NULLIF(actual, 0) AS pct_error FROM f JOIN a ON f.Semana = a.Semana)
+        SELECT Semana, {_dbl(['forecast', 'actual', 'error', 'pct_error'])},
+        {r6('avg(abs(pct_error)) OVER ()', 'mape')}, {r6('avg(abs(error)) OVER ()', 'mae')},
+        {r6('sqrt(avg(error * error) OVER ())', 'rmse')},
+        {r6('(sum(forecast) OVER () - sum(actual) OVER ()) * 100.0 / sum(actual) OVER ()', 'bias_pct')} FROM j"""
+    return q
+
+
+HIST_BINS = 20
+
+
 def oracle_sql(p: PlanParams | None = None) -> dict[str, str]:
     p = p or fixture_params()
     out = {}

@@ -45,6 +45,14 @@ def _ctx(spark: SparkSession, sf_dir: str):
     return Tables(spark, sf_dir), fixture_params()
 
 
+def _plan(spark, sf_dir, **kw):
+    from .plans.demand import DemandPlan
+
+    t, p = _ctx(spark, sf_dir)
+    kw.setdefault("materialize_stages", True)
+    return DemandPlan(t, p, **kw)
+
+
 # -- S: sources ----------------------------------------------------------------------
 
 
@@ -127,8 +135,7 @@ def q_day_totals(spark, sf_dir):
 
 @register("p95_sales")
 def q_p95_sales(spark, sf_dir):
-    t, p = _ctx(spark, sf_dir)
-    st = C.clean_sales(C.sales(t, p), p)
+    st = _plan(spark, sf_dir).stages
     return rnd(st.p_sales.withColumn("p_value", F.lit(st.p_value)))
 
 
@@ -136,24 +143,22 @@ def q_p95_sales(spark, sf_dir):
 def q_zscore_client(spark, sf_dir):
     from .operators.stats import zscore
 
-    t, p = _ctx(spark, sf_dir)
-    st = C.clean_sales(C.sales(t, p), p)
+    dp = _plan(spark, sf_dir)
+    st, p = dp.stages, dp.p
     z = zscore(st.p_sales, "Venta_Total_dia", ["ClienteClave"], "Valor_Z_general", p.z_single)
     return rnd(z.select("ClienteClave", "Fecha", "Venta_Total_dia", "Valor_Z_general").distinct())
 
 
 @register("clean_sales")
 def q_clean_sales(spark, sf_dir):
-    t, p = _ctx(spark, sf_dir)
-    return rnd(C.clean_sales(C.sales(t, p), p).clean)
+    return rnd(_plan(spark, sf_dir).stages.clean)
 
 
 @register("retention")
 def q_retention(spark, sf_dir):
     from .plans.report import retention
 
-    t, p = _ctx(spark, sf_dir)
-    return rnd(retention(C.clean_sales(C.sales(t, p), p)))
+    return rnd(retention(_plan(spark, sf_dir).stages))
 
 
 @register("visit_durations")
@@ -161,3 +166,303 @@ def q_visit_durations(spark, sf_dir):
     t, p = _ctx(spark, sf_dir)
     v, q = C.visit_durations(X.visit_log(t, p), p)
     return rnd(v.withColumn("p_value", F.lit(q)))
+
+
+# -- G3-G17 through the lazily staged plan ----------------------------------------------
+
+
+@register("num_weeks")
+def q_num_weeks(spark, sf_dir):
+    from .functions.calendar import weeks_between
+
+    dp = _plan(spark, sf_dir)
+    return dp.sales.agg(weeks_between(F.min("Fecha"), F.max("Fecha")).alias("num_semanas"))
+
+
+@register("weekly_visits")
+def q_weekly_visits(spark, sf_dir):
+    return _plan(spark, sf_dir).weekly_visits
+
+
+@register("weekday_codes")
+def q_weekday_codes(spark, sf_dir):
+    from .plans.dataset import weekday_codes
+
+    return weekday_codes(_plan(spark, sf_dir).seq)
+
+
+@register("visit_plan")
+def q_visit_plan(spark, sf_dir):
+    return _plan(spark, sf_dir).visit_plan
+
+
+@register("client_weekday_stats")
+def q_client_weekday_stats(spark, sf_dir):
+    from .plans.dataset import client_weekday_stats
+
+    return rnd(client_weekday_stats(_plan(spark, sf_dir).stages))
+
+
+@register("daily_dataset")
+def q_daily_dataset(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).daily)
+
+
+@register("bands")
+def q_bands(spark, sf_dir):
+    b = _plan(spark, sf_dir).bands
+    return rnd(b.daily.withColumns({"q1": F.lit(b.q1), "q2": F.lit(b.q2), "q3": F.lit(b.q3)}))
+
+
+@register("band_mode")
+def q_band_mode(spark, sf_dir):
+    from .operators.stats import group_mode
+
+    return group_mode(_plan(spark, sf_dir).bands.daily, ["ClienteClave", "Dia"], "Categoria")
+
+
+@register("warm_plan")
+def q_warm_plan(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).split.warm)
+
+
+@register("cold_clients")
+def q_cold_clients(spark, sf_dir):
+    return _plan(spark, sf_dir).split.cold
+
+
+@register("client_attrs")
+def q_client_attrs(spark, sf_dir):
+    return _plan(spark, sf_dir).client_attrs
+
+
+@register("curve_grid")
+def q_curve_grid(spark, sf_dir):
+    from .plans import curves
+
+    dp = _plan(spark, sf_dir)
+    w0, w1 = dp.week_range
+    return rnd(curves.curve_grid(dp.daily, w0, w1))
+
+
+@register("curve_filled")
+def q_curve_filled(spark, sf_dir):
+    from .plans import curves
+
+    dp = _plan(spark, sf_dir)
+    w0, w1 = dp.week_range
+    return rnd(curves.curve_filled(curves.curve_grid(dp.daily, w0, w1)))
+
+
+@register("curve_smooth")
+def q_curve_smooth(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).curves)
+
+
+@register("curve_forecast")
+def q_curve_forecast(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).curve_forecast)
+
+
+@register("forecast_union")
+def q_forecast_union(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).forecast)
+
+
+@register("weekly_forecast")
+def q_weekly_forecast(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).weekly)
+
+
+@register("day_mix")
+def q_day_mix(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).day_mix)
+
+
+@register("mix_clean")
+def q_mix_clean(spark, sf_dir):
+    from .plans import mix
+
+    dp = _plan(spark, sf_dir)
+    return rnd(mix.mix_clean(dp.stages.p_sales, dp.p).select(
+        "UNE", "ClienteClave", "ProductoClave", "Fecha", "TransProdID", "TransProdDetalleID", "KgLts_Total", "Valor_Z"))
+
+
+@register("mix_median")
+def q_mix_median(spark, sf_dir):
+    from .plans import mix
+
+    dp = _plan(spark, sf_dir)
+    return rnd(mix.mix_median(dp.stages.p_sales, dp.p))
+
+
+@register("product_mix")
+def q_product_mix(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).mix_long)
+
+
+@register("cluster_mix")
+def q_cluster_mix(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).cluster_mix)
+
+
+@register("running_share")
+def q_running_share(spark, sf_dir):
+    from .operators.stats import running_share
+    from .plans import mix
+
+    dp = _plan(spark, sf_dir)
+    j = mix.blended(dp.day_mix, dp.mix_long, dp.assignments, dp.p)
+    allr = j.unionByName(mix.unblended_clients(dp.day_mix, j))
+    return rnd(running_share(allr, "ClienteClave", "Porcentaje", "ProductoClave", "Agg"))
+
+
+@register("unblended_clients")
+def q_unblended_clients(spark, sf_dir):
+    from .plans import mix
+
+    dp = _plan(spark, sf_dir)
+    j = mix.blended(dp.day_mix, dp.mix_long, dp.assignments, dp.p)
+    return rnd(mix.unblended_clients(dp.day_mix, j))
+
+
+@register("blend")
+def q_blend(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).blend)
+
+
+@register("day_volume")
+def q_day_volume(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).day_volume)
+
+
+@register("unit_min")
+def q_unit_min(spark, sf_dir):
+    return _plan(spark, sf_dir).unit_min
+
+
+@register("pieces")
+def q_pieces(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).pieces)
+
+
+@register("route_load")
+def q_route_load(spark, sf_dir):
+    return rnd(_plan(spark, sf_dir).route_load)
+
+
+@register("crate_round")
+def q_crate_round(spark, sf_dir):
+    from .functions.scalar import safe_div, threshold_round
+
+    dp = _plan(spark, sf_dir)
+    g = dp.pieces.groupBy("UNE", "Ruta", "ProductoClave", "Dia").agg(F.sum("Piezas").alias("Piezas"))
+    g = g.withColumn("Material", F.col("ProductoClave").cast("int")).join(dp.t.dim_crates, "Material")
+    x = safe_div("Piezas", "Unidad_de_Carga")
+    return rnd(g.select("UNE", "Ruta", "Material", "Dia", "Piezas", "Unidad_de_Carga",
+                        threshold_round(x, dp.p.crate_round_threshold).alias("Rejas")))
+
+
+@register("plan_totals")
+def q_plan_totals(spark, sf_dir):
+    rl = _plan(spark, sf_dir).route_load
+    return rnd(rl.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("Piezas").alias("Piezas"), F.sum("Litros").alias("Litros"),
+        F.sum("Rejas").alias("Rejas"), F.sum("Litros_en_rejas").alias("Litros_en_rejas"),
+        F.min("Litros_en_rejas").alias("min_litros_en_rejas"), F.max("Litros_en_rejas").alias("max_litros_en_rejas"),
+    ))
+
+
+# -- A1-A7 reports, parse, metrics, compare ----------------------------------------------
+
+HIST_BINS = 20
+
+
+@register("product_share")
+def q_product_share(spark, sf_dir):
+    from .plans.report import product_share
+
+    return rnd(product_share(_plan(spark, sf_dir).sales))
+
+
+@register("weekly_trend")
+def q_weekly_trend(spark, sf_dir):
+    from .plans.report import weekly_trend
+
+    return rnd(weekly_trend(_plan(spark, sf_dir).sales))
+
+
+@register("client_weekly")
+def q_client_weekly(spark, sf_dir):
+    from .plans.report import client_weekly
+
+    return rnd(client_weekly(_plan(spark, sf_dir).sales))
+
+
+@register("client_weekly_clean")
+def q_client_weekly_clean(spark, sf_dir):
+    from .plans.report import client_weekly
+
+    return rnd(client_weekly(_plan(spark, sf_dir).stages.clean))
+
+
+@register("client_weekly_hist")
+def q_client_weekly_hist(spark, sf_dir):
+    from .plans.report import client_weekly, histogram
+
+    return rnd(histogram(client_weekly(_plan(spark, sf_dir).sales), "KgLts_Total", HIST_BINS))
+
+
+@register("describe_weekly")
+def q_describe_weekly(spark, sf_dir):
+    from .plans.report import client_weekly, describe
+
+    return rnd(describe(client_weekly(_plan(spark, sf_dir).sales), "KgLts_Total"))
+
+
+@register("box_stats")
+def q_box_stats(spark, sf_dir):
+    from .plans.clean import day_totals
+    from .plans.report import box_stats
+
+    dp = _plan(spark, sf_dir)
+    before = dp.sales.join(day_totals(dp.sales).select("ClienteClave", "Fecha", "Venta_Total_dia"), ["ClienteClave", "Fecha"])
+    a = box_stats(before, "Venta_Total_dia", "before")
+    b = box_stats(dp.stages.p_sales, "Venta_Total_dia", "after")
+    return rnd(a.unionByName(b))
+
+
+@register("channel_trend")
+def q_channel_trend(spark, sf_dir):
+    from .plans.report import channel_trend
+
+    return rnd(channel_trend(_plan(spark, sf_dir).sales))
+
+
+@register("parse_dates")
+def q_parse_dates(spark, sf_dir):
+    from .functions.calendar import add_calendar, parse_day_first
+
+    t, p = _ctx(spark, sf_dir)
+    a = X.agenda(t, p).select("ClienteClave", F.date_format("DiaClave", "dd/MM/yyyy").alias("DiaTexto"))
+    a = a.withColumn("Fecha", parse_day_first("DiaTexto"))
+    return add_calendar(a, "Fecha")
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark, sf_dir):
+    from .plans.model import regression_metrics
+
+    d = _plan(spark, sf_dir).daily
+    return rnd(regression_metrics(d, "Venta_Total_dia", "Venta_media_por_dia"))
+
+
+@register("compare_weekly")
+def q_compare_weekly(spark, sf_dir):
+    from .plans.report import compare
+
+    dp = _plan(spark, sf_dir)
+    d = dp.daily
+    fc = d.groupBy("Semana").agg((F.sum("Venta_media_por_dia") * F.lit(dp.p.uplift)).alias("Volumen"))
+    ac = d.groupBy("Semana").agg(F.sum("Venta_Total_dia").alias("Volumen"))
+    return rnd(compare(fc, ac))
