@@ -28,17 +28,17 @@ class DemandPlan:
         self.segmenter = segmenter      # callable(vectors long form, sales) -> (UNE, ClienteClave, Cluster)
         self._mat = materialize_stages
 
-    def _m(self, df: DataFrame) -> DataFrame:
+    def _m(self, df: DataFrame, name: str = "stage") -> DataFrame:
         if not self._mat:
             return df
         from ..session import materialize
 
-        return materialize(df)
+        return materialize(df, name)
 
     # -- extracts ---------------------------------------------------------------------
     @cached_property
     def sales(self) -> DataFrame:
-        return self._m(clean.sales(self.t, self.p))
+        return self._m(clean.sales(self.t, self.p), "sales")
 
     @cached_property
     def seq(self) -> DataFrame:
@@ -53,9 +53,8 @@ class DemandPlan:
     def stages(self) -> clean.CleanStages:
         st = clean.clean_sales(self.sales, self.p)
         if self._mat:
-            st.p_sales = self._m(st.p_sales)
-            st.z_client = self._m(st.z_client)
-            st.clean = self._m(st.clean)
+            st.p_sales = self._m(st.p_sales, "p_sales")
+            st.clean = self._m(st.clean, "clean")
         return st
 
     @cached_property
@@ -82,7 +81,7 @@ class DemandPlan:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return self._m(dataset.daily_dataset(self.stages, self.weekly_visits))
+        return self._m(dataset.daily_dataset(self.stages, self.weekly_visits), "daily")
 
     @cached_property
     def bands(self) -> dataset.Bands:
@@ -121,7 +120,7 @@ class DemandPlan:
 
     @cached_property
     def weekly(self) -> DataFrame:
-        return self._m(load.weekly_forecast(self.forecast, self.client_attrs))
+        return self._m(load.weekly_forecast(self.forecast, self.client_attrs), "weekly")
 
     # -- product mix ------------------------------------------------------------------
     @cached_property
@@ -144,7 +143,9 @@ class DemandPlan:
 
     @cached_property
     def blend(self) -> DataFrame:
-        return mix.blend(self.day_mix, self.mix_long, self.assignments, self.forecast, self.p)
+        # clients of the (materialised) weekly forecast: the same set as the
+        # forecast's clients among those with a historical mix
+        return mix.blend(self.day_mix, self.mix_long, self.assignments, self.weekly, self.p)
 
     # -- pieces and crates ------------------------------------------------------------
     @cached_property

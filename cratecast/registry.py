@@ -466,3 +466,83 @@ def q_compare_weekly(spark, sf_dir):
     fc = d.groupBy("Semana").agg((F.sum("Venta_media_por_dia") * F.lit(dp.p.uplift)).alias("Volumen"))
     ac = d.groupBy("Semana").agg(F.sum("Venta_Total_dia").alias("Volumen"))
     return rnd(compare(fc, ac))
+
+
+# -- M: models (rows-only checks; no SQL oracle for fitted models) -------------------------
+
+# Check/bench profile of the model parameters: fewer trees and k-means starts
+# than the production defaults (600 trees of depth 10, 10 starts).
+def _model_params(p):
+    return p.with_(gbt_max_iter=20, gbt_max_depth=5, gbt_patience=5, kmeans_seeds=(0, 1, 2), kmeans_max_iter=50)
+
+
+@register("features")
+def q_features(spark, sf_dir):
+    from .plans.model import _prep, feature_pipeline
+
+    dp = _plan(spark, sf_dir)
+    d = _prep(dp.bands.daily)
+    fm = feature_pipeline().fit(d)
+    x = fm.transform(d)
+    return x.select("ClienteClave", "Semana", "Dia", F.col("features").cast("string").alias("features"))
+
+
+@register("split")
+def q_split(spark, sf_dir):
+    from .plans.model import ROW_KEY, hash_split
+
+    dp = _plan(spark, sf_dir)
+    return hash_split(dp.daily, ROW_KEY, dp.p).select(*ROW_KEY, "split")
+
+
+@register("gbt_metrics")
+def q_gbt_metrics(spark, sf_dir):
+    from .plans.model import fit_gbt
+
+    dp = _plan(spark, sf_dir)
+    f = fit_gbt(dp.bands.daily, _model_params(dp.p))
+    return f.metrics.withColumn("n_trees", F.lit(f.n_trees))
+
+
+@register("gbt_forecast")
+def q_gbt_forecast(spark, sf_dir):
+    from .plans.model import gbt_forecaster
+
+    dp = _plan(spark, sf_dir)
+    dp.forecaster = gbt_forecaster(_model_params(dp.p))
+    return dp.warm_forecast
+
+
+@register("mix_vectors")
+def q_mix_vectors(spark, sf_dir):
+    from .plans.mix import mix_vectors
+
+    v = mix_vectors(_plan(spark, sf_dir).mix_long)
+    return v.select("UNE", "ClienteClave", F.col("features").cast("string").alias("features"))
+
+
+@register("best_k")
+def q_best_k(spark, sf_dir):
+    from .plans.mix import mix_vectors
+    from .plans.segments import fit_segments
+
+    dp = _plan(spark, sf_dir)
+    return fit_segments(mix_vectors(dp.mix_long), _model_params(dp.p)).scores
+
+
+@register("cluster_assign")
+def q_cluster_assign(spark, sf_dir):
+    from .plans.segments import kmeans_segmenter
+
+    dp = _plan(spark, sf_dir)
+    dp.segmenter = kmeans_segmenter(_model_params(dp.p))
+    return dp.assignments
+
+
+@register("cluster_mix_kmeans")
+def q_cluster_mix_kmeans(spark, sf_dir):
+    from .plans.segments import kmeans_segmenter
+
+    dp = _plan(spark, sf_dir)
+    dp.segmenter = kmeans_segmenter(_model_params(dp.p))
+    return dp.cluster_mix

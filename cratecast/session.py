@@ -38,6 +38,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -50,24 +51,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
+    Read from the session (or a checkpoint dir already set on the context).
     A local-mode session without one (tests) gets a fresh folder under the
     system temp dir; a cluster session without one is an error, because a
     machine-local folder does not survive the loss of an executor.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+    if not d:
+        d = sc.getCheckpointDir()
     if not d:
-        master = spark.sparkContext.master or ""
-        if not master.startswith("local"):
+        if not (sc.master or "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before cutting lineage")
         d = tempfile.mkdtemp(prefix="cratecast-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint dir."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage: write the stage as a Parquet table in the shared
+    checkpoint folder and read it back.
+
+    One job (``Dataset.checkpoint`` computes the plan twice unless it is also
+    cached), columnar on re-read, and the files survive the loss of any
+    executor. Each call writes a fresh folder.
+    """
+    import uuid
+
+    d = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{d}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return df.sparkSession.read.parquet(path)
