@@ -1 +1,8 @@
-"""cratecast.streaming."""
+"""cratecast.streaming — intentionally empty.
+
+The demand plan has no stream source, watermark, time window or late-data
+rule: it is a batch job over a date range, run per planning week. Nothing
+streaming is built (see README, "Not built"). New days of sales reach the
+plan through the batch sources (``sources.jdbc.land`` partitions the landed
+sale headers by month, so a re-run over a longer range prunes files).
+"""
