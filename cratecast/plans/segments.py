@@ -46,8 +46,8 @@ def _fit_unit(v: DataFrame, une: str, n: int, p: PlanParams, parallelism: int):
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
         runs = list(ex.map(fit, [(k, s) for k in ks for s in p.kmeans_seeds]))
     best_per_k = {}
-    for k, seed, m, cost in runs:
-        if k not in best_per_k or cost < best_per_k[k][1]:
+    for k, seed, m, cost in runs:  # runs are in (k, seed) order: a tie keeps the lower seed
+        if k not in best_per_k or cost < best_per_k[k][1] * (1 - 1e-9):
             best_per_k[k] = (m, cost)
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction", distanceMeasure="squaredEuclidean")
 
@@ -59,8 +59,19 @@ def _fit_unit(v: DataFrame, une: str, n: int, p: PlanParams, parallelism: int):
         scored = list(ex.map(sil, ks))
     kbest = max(scored, key=lambda r: (r[1], -r[0]))[0]
     rows = [(une, k, float(s), float(c), k == kbest) for k, s, c in scored]
-    assign = best_per_k[kbest][0].transform(v).select("UNE", "ClienteClave", F.col("prediction").cast("int").alias("Cluster"))
-    return rows, assign
+    assign = best_per_k[kbest][0].transform(v).select("UNE", "ClienteClave", F.col("prediction").alias("Cluster"))
+    return rows, canonical_labels(assign)
+
+
+def canonical_labels(assign: DataFrame) -> DataFrame:
+    """Renumber clusters 0.. by their smallest member key, so that the same
+    partition of clients always gets the same labels. The window runs over
+    the k clusters of a unit only."""
+    from pyspark.sql import Window as W
+
+    first = assign.groupBy("UNE", "Cluster").agg(F.min("ClienteClave").alias("_m"))
+    first = first.withColumn("_c", (F.row_number().over(W.partitionBy("UNE").orderBy("_m")) - 1).cast("int"))
+    return assign.join(first, ["UNE", "Cluster"]).select("UNE", "ClienteClave", F.col("_c").alias("Cluster"))
 
 
 def fit_segments(vectors: DataFrame, p: PlanParams, parallelism: int = 8) -> Segments:
