@@ -36,15 +36,19 @@ def weekday_codes(seq: DataFrame) -> DataFrame:
     return code_rank(seq, "FrecuenciaClave", "Dia", desc=True)
 
 
-def plan_days(seq: DataFrame) -> DataFrame:
-    """(client, code, channel, weekday) rows of the visit plan; NULL codes drop."""
-    return seq.join(weekday_codes(seq), "FrecuenciaClave")
+def plan_days(seq: DataFrame, codes: DataFrame | None = None) -> DataFrame:
+    """(client, code, channel, weekday) rows of the visit plan; NULL codes drop.
 
+    By default a code's weekday is its position in the descending list of
+    codes (right only when codes sort Monday-last without gaps); ``codes``
+    (FrecuenciaClave, Dia) gives the mapping explicitly instead."""
+    return seq.join(codes if codes is not None else weekday_codes(seq), "FrecuenciaClave")
 
-def visit_plan(seq: DataFrame) -> DataFrame:
+
+def visit_plan(seq: DataFrame, codes: DataFrame | None = None) -> DataFrame:
     """Planned (client, channel, weekday) with visits per week counted
     without NULL codes (G9)."""
-    days = plan_days(seq)
+    days = plan_days(seq, codes)
     vs = distinct_size(days, [CLIENT], "FrecuenciaClave", count_null=False, out="Visitas_Semanales")
     return days.drop("FrecuenciaClave").join(vs, CLIENT, "left")
 

@@ -29,11 +29,15 @@ def weekly_trend(s: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Litres per (year, ISO week) with a representative date (Jan 1 + 7*week)."""
     keys = [*(by or []), "Year", "Semana"]
     g = s.groupBy(*keys).agg(F.sum("KgLts_Total").alias("KgLts_Total"))
-    return g.withColumn("Fecha", week_date("Year", "Semana"))
+    # one row per week: the final sort is over a bounded result
+    return g.withColumn("Fecha", week_date("Year", "Semana")).orderBy(*keys)
 
 
-def client_weekly(s: DataFrame) -> DataFrame:
-    return s.groupBy("ClienteClave", "Semana", "Year").agg(F.sum("KgLts_Total").alias("KgLts_Total"))
+def client_weekly(s: DataFrame, ordered: bool = False) -> DataFrame:
+    """Litres per (client, ISO week, year); ``ordered`` sorts by (year, week)
+    with a range-partitioned sort, as the original listing was."""
+    g = s.groupBy("ClienteClave", "Semana", "Year").agg(F.sum("KgLts_Total").alias("KgLts_Total"))
+    return g.orderBy("Year", "Semana", "ClienteClave") if ordered else g
 
 
 def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
@@ -122,8 +126,8 @@ def compare(forecast: DataFrame, actual: DataFrame, key: str = "Semana", value:
     """Forecast vs actual per key, with error aggregates on every row.
 
     ``forecast``/``actual`` are (key, value) series; only keys present in
-    both are compared. The aggregate is one row joined back on a constant
-    key of a bounded series (one row per week).
+    both are compared. The error aggregates are windows over the whole
+    series, which is bounded (one row per week).
     """
     f = forecast.select(key, F.col(value).alias("forecast"))
     a = actual.select(key, F.col(value).alias("actual"))

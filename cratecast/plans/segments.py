@@ -30,37 +30,47 @@ class Segments:
     assignments: DataFrame   # (UNE, ClienteClave, Cluster)
 
 
-def _fit_unit(v: DataFrame, une: str, n: int, p: PlanParams, parallelism: int):
+def _fit_all(vectors: DataFrame, counts: list[tuple[str, int]], p: PlanParams, parallelism: int):
+    """Fit every (unit, k, seed) concurrently; return per-unit score rows
+    and the assignments of each unit's chosen model."""
     from pyspark.ml.clustering import KMeans
     from pyspark.ml.evaluation import ClusteringEvaluator
 
-    ks = list(range(p.k_min, min(p.k_max, n - 1) + 1))
-    if not ks:
-        return [], v.select("UNE", "ClienteClave", F.lit(0).alias("Cluster"))
+    subsets = {une: vectors.filter(F.col("UNE") == une) for une, _ in counts}
+    ks = {une: list(range(p.k_min, min(p.k_max, n - 1) + 1)) for une, n in counts}
+    tasks = [(une, k, seed) for une, _ in counts for k in ks[une] for seed in p.kmeans_seeds]
 
     def fit(args):
-        k, seed = args
-        m = KMeans(k=k, seed=seed, maxIter=p.kmeans_max_iter, featuresCol="features", initMode="k-means||").fit(v)
-        return k, seed, m, m.summary.trainingCost
+        une, k, seed = args
+        m = KMeans(k=k, seed=seed, maxIter=p.kmeans_max_iter, featuresCol="features", initMode="k-means||").fit(subsets[une])
+        return une, k, seed, m, m.summary.trainingCost
 
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        runs = list(ex.map(fit, [(k, s) for k in ks for s in p.kmeans_seeds]))
-    best_per_k = {}
-    for k, seed, m, cost in runs:  # runs are in (k, seed) order: a tie keeps the lower seed
-        if k not in best_per_k or cost < best_per_k[k][1] * (1 - 1e-9):
-            best_per_k[k] = (m, cost)
+        runs = list(ex.map(fit, tasks))
+    best = {}
+    for une, k, seed, m, cost in runs:  # runs are in (unit, k, seed) order: a tie keeps the lower seed
+        if (une, k) not in best or cost < best[(une, k)][1] * (1 - 1e-9):
+            best[(une, k)] = (m, cost)
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction", distanceMeasure="squaredEuclidean")
 
-    def sil(k):
-        m, cost = best_per_k[k]
-        return k, ev.evaluate(m.transform(v)), cost
+    def sil(key):
+        une, k = key
+        m, cost = best[key]
+        return une, k, ev.evaluate(m.transform(subsets[une])), cost
 
     with ThreadPoolExecutor(max_workers=parallelism) as ex:
-        scored = list(ex.map(sil, ks))
-    kbest = max(scored, key=lambda r: (r[1], -r[0]))[0]
-    rows = [(une, k, float(s), float(c), k == kbest) for k, s, c in scored]
-    assign = best_per_k[kbest][0].transform(v).select("UNE", "ClienteClave", F.col("prediction").alias("Cluster"))
-    return rows, canonical_labels(assign)
+        scored = list(ex.map(sil, sorted(best)))
+    rows, assigns = [], []
+    for une, _ in counts:
+        mine = [r for r in scored if r[0] == une]
+        if not mine:  # fewer than 3 clients: one segment
+            assigns.append(subsets[une].select("UNE", "ClienteClave", F.lit(0).alias("Cluster")))
+            continue
+        kbest = max(mine, key=lambda r: (r[2], -r[1]))[1]
+        rows += [(une, k, float(s_), float(c), k == kbest) for _, k, s_, c in mine]
+        a = best[(une, kbest)][0].transform(subsets[une])
+        assigns.append(canonical_labels(a.select("UNE", "ClienteClave", F.col("prediction").alias("Cluster"))))
+    return rows, assigns
 
 
 def canonical_labels(assign: DataFrame) -> DataFrame:
@@ -77,13 +87,8 @@ def canonical_labels(assign: DataFrame) -> DataFrame:
 def fit_segments(vectors: DataFrame, p: PlanParams, parallelism: int = 8) -> Segments:
     spark = vectors.sparkSession
     vectors = vectors.cache()
-    counts = vectors.groupBy("UNE").count().orderBy("UNE").collect()  # one row per business unit
-    rows, assigns = [], []
-    for une, n in counts:
-        v = vectors.filter(F.col("UNE") == une)
-        r, a = _fit_unit(v, une, n, p, parallelism)
-        rows += r
-        assigns.append(a)
+    counts = [tuple(r) for r in vectors.groupBy("UNE").count().orderBy("UNE").collect()]  # one row per business unit
+    rows, assigns = _fit_all(vectors, counts, p, parallelism)
     scores = spark.createDataFrame(rows, "UNE string, k int, silhouette double, cost double, chosen boolean")
     assign = assigns[0]
     for a in assigns[1:]:
@@ -91,7 +96,7 @@ def fit_segments(vectors: DataFrame, p: PlanParams, parallelism: int = 8) -> Seg
     # pin the assignments (k-means results must not be recomputed lazily)
     from ..session import materialize
 
-    assign = materialize(assign, "segments")
+    assign = materialize(assign.select("UNE", "ClienteClave", F.col("Cluster").cast("int").alias("Cluster")), "segments")
     vectors.unpersist()
     return Segments(scores, assign)
 

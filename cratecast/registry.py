@@ -396,7 +396,7 @@ def q_weekly_trend(spark, sf_dir):
 def q_client_weekly(spark, sf_dir):
     from .plans.report import client_weekly
 
-    return rnd(client_weekly(_plan(spark, sf_dir).sales))
+    return rnd(client_weekly(_plan(spark, sf_dir).sales, ordered=True))
 
 
 @register("client_weekly_clean")
@@ -546,3 +546,17 @@ def q_cluster_mix_kmeans(spark, sf_dir):
     dp = _plan(spark, sf_dir)
     dp.segmenter = kmeans_segmenter(_model_params(dp.p))
     return dp.cluster_mix
+
+
+@register("route_load_model")
+def q_route_load_model(spark, sf_dir):
+    """End to end with the fitted models: GBT forecast for warm clients and
+    k-means segments for the mix blend."""
+    from .plans.model import gbt_forecaster
+    from .plans.segments import kmeans_segmenter
+
+    dp = _plan(spark, sf_dir)
+    mp = _model_params(dp.p)
+    dp.forecaster = gbt_forecaster(mp)
+    dp.segmenter = kmeans_segmenter(mp)
+    return rnd(dp.route_load)
