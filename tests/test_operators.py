@@ -122,3 +122,12 @@ def test_nan_never_enters(spark):
     got = [r.q for r in df.select(safe_div("a", "b").alias("q")).collect()]
     assert got == [None, None]
     assert not any(isinstance(v, float) and math.isnan(v) for v in got)
+
+
+def test_quantile_with_hot_value(spark):
+    # a third of all rows hold one value: the bracket collapses onto it
+    xs = [5.0] * 400 + [float(i) for i in range(800)]
+    df = spark.createDataFrame([(v,) for v in xs], "x double")
+    for p in (0.1, 0.3, 0.5, 0.95):
+        got = exact_quantiles(df, "x", [p], max_collect=16, bins=8)[0]
+        assert got == pytest.approx(float(np.quantile(np.array(xs), p)))
