@@ -9,7 +9,7 @@ were actually applied are the ones below.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # The 20 client channel codes with their names.
 CHANNELS: tuple[tuple[str, str], ...] = (

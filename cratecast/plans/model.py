@@ -74,7 +74,7 @@ class Fitted:
 
 
 def fit_gbt(daily: DataFrame, p: PlanParams, seed: int = 0) -> Fitted:
-    from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
+    from pyspark.ml.regression import GBTRegressor
 
     d = hash_split(_prep(daily), ROW_KEY, p).withColumn(LABEL, F.col(LABEL).cast("double"))
     fm = feature_pipeline().fit(d)

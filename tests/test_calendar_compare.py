@@ -42,3 +42,18 @@ def test_compare_reproduces_published_errors(spark):
     assert r.mae == pytest.approx(139844, abs=1)
     assert r.rmse == pytest.approx(149137, abs=1)
     assert round(r.bias_pct, 2) == 13.44
+
+
+def test_visit_seconds_clamped(spark):
+    from cratecast.params import fixture_params
+    from cratecast.plans.clean import visit_durations
+
+    rows = [
+        ("c", dt.date(2024, 1, 2), dt.datetime(2024, 1, 2, 10, 0, 0), dt.datetime(2024, 1, 2, 9, 0, 0)),
+        ("c", dt.date(2024, 1, 3), dt.datetime(2024, 1, 3, 10, 0, 0), dt.datetime(2024, 1, 3, 10, 0, 1, 500000)),
+    ]
+    log = spark.createDataFrame(rows, "ClienteClave string, DiaClave date, FechaHoraInicial timestamp_ntz, FechaHoraFinal timestamp_ntz")
+    v, q = visit_durations(log, fixture_params(visit_p_cut=1.0))
+    got = sorted(r.Visita_seg for r in v.collect())
+    assert got == [0.0, 1.5]
+    assert q == 1.5
