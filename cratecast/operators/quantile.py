@@ -115,14 +115,20 @@ def exact_quantile(df: DataFrame, col: str, p: float, weight: str | None = None,
 
 
 def quantile_cut(df: DataFrame, col: str, p: float, strict: bool, weight_df: DataFrame | None = None,
-                 weight: str | None = None) -> tuple[DataFrame, float | None]:
+                 weight: str | None = None, exact: bool = True) -> tuple[DataFrame, float | None]:
     """Keep rows with ``col`` below (``strict``) or at most the p-quantile.
 
     The quantile is taken over ``weight_df`` when given (e.g. a pre-aggregated
     table with a line-count ``weight``), else over ``df`` itself. The cut is
     a literal predicate, so it stays inside the scan/codegen stage.
+    ``exact=False`` takes a one-pass ``percentile_approx`` instead.
     """
-    q = exact_quantile(weight_df if weight_df is not None else df, col, p, weight=weight)
+    src = weight_df if weight_df is not None else df
+    if exact:
+        q = exact_quantile(src, col, p, weight=weight)
+    else:
+        # one-pass sketch (rank error <= n / 10000); unweighted only
+        q = src.agg(F.percentile_approx(F.col(col).cast("double"), p, 10000)).first()[0]
     if q is None:
         return df.limit(0), None
     c = F.col(col)

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import half_even
+from ..operators.reshape import complete_grid
 from ..operators.stats import fill_group_mean, interpolate, zscore
 from ..params import PlanParams
 
@@ -27,8 +28,7 @@ def week_range(s: DataFrame) -> tuple[int | None, int | None]:
 def curve_grid(daily: DataFrame, w0: int, w1: int) -> DataFrame:
     """(channel, visits) combinations of the daily set x weeks w0..w1, with
     the mean day total where observed (NULL elsewhere)."""
-    combos = daily.select(*KEYS).distinct()
-    grid = combos.select(*KEYS, F.explode(F.sequence(F.lit(w0), F.lit(w1))).alias("Semana"))
+    grid = complete_grid(daily, KEYS, "Semana", w0, w1)
     mean = daily.groupBy("EsquemaID", "Semana", "Visitas_Semanales").agg(F.avg("Venta_Total_dia").alias("Venta_Total_dia"))
     return grid.join(mean, ["EsquemaID", "Semana", "Visitas_Semanales"], "left")
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import code_to_int, half_even, safe_div, threshold_round
+from ..operators.reshape import melt_days
 from ..operators.stats import min_row_by
 from ..params import PlanParams
 
@@ -47,7 +48,7 @@ def pieces(vol: DataFrame, umin: DataFrame, p: PlanParams) -> DataFrame:
     """Weekday litres -> whole pieces (half-even) and their litres, days
     without pieces dropped (R3, F11, F12, P14)."""
     names = [name for _, name in p.days]
-    m = vol.unpivot(["UNE", "Ruta", CLIENT, PRODUCT], names, "Dia", "Total")
+    m = melt_days(vol, ["UNE", "Ruta", CLIENT, PRODUCT], names)
     x = m.join(umin, PRODUCT)
     pz = F.ceil(half_even(F.round(safe_div("Total", "KgLts"), p.share_decimals), 0)).cast("double")
     x = x.withColumn("Piezas", pz).withColumn("Litros", F.col("Piezas") * F.col("KgLts"))

@@ -14,7 +14,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import safe_div
-from ..operators.stats import band_filter, first_by, running_share, share_of_total, zscore
+from ..operators.reshape import cut_share, pivot_days
+from ..operators.stats import band_filter, first_by, share_of_total, zscore
 from ..params import PlanParams
 
 CLIENT, PRODUCT = "ClienteClave", "ProductoClave"
@@ -27,10 +28,7 @@ def day_mix(p_sales: DataFrame, p: PlanParams) -> DataFrame:
     The pivot is a single conditional aggregation over explicit weekday
     values (no value scan; a weekday with no sales is 0). Sunday has no name
     in ``p.days`` and is therefore not distributed, as in the original."""
-    g = p_sales.groupBy(CLIENT, PRODUCT).agg(
-        F.sum("KgLts_Total").alias("kg"),
-        *[F.coalesce(F.sum(F.when(F.col("Dia") == d, F.col("KgLts_Total"))), F.lit(0.0)).alias(name) for d, name in p.days],
-    )
+    g = pivot_days(p_sales, [CLIENT, PRODUCT], "KgLts_Total", p.days, extra=[F.sum("KgLts_Total").alias("kg")])
     # percent of the client's litres; the weekday fractions are ratios of
     # litre sums (equal to the ratio of summed percents, without their noise)
     g = share_of_total(g, [CLIENT], "kg", "Porcentaje")
@@ -96,6 +94,11 @@ def cluster_centres(mix_long: DataFrame, assign: DataFrame) -> DataFrame:
     )
 
 
+def segment_mix(mix_long: DataFrame, assign: DataFrame) -> DataFrame:
+    """Alias of ``cluster_mix``."""
+    return cluster_mix(mix_long, assign)
+
+
 def cluster_mix(mix_long: DataFrame, assign: DataFrame) -> DataFrame:
     """Recommended mix per client: its cluster's centre (long form)."""
     return assign.join(cluster_centres(mix_long, assign), ["UNE", "Cluster"]).select(
@@ -127,13 +130,11 @@ def blend(hist: DataFrame, mix_long: DataFrame, assign: DataFrame, forecast: Dat
     clients in the forecast."""
     j = blended(hist, mix_long, assign, p)
     allr = j.unionByName(unblended_clients(hist, j))
-    r = running_share(allr, CLIENT, "Porcentaje", PRODUCT, "Agg")
-    kept = r.filter(F.round("Agg", p.share_decimals) < F.lit(p.share_cut)).drop("Agg")
+    kept, out = cut_share(allr, CLIENT, "Porcentaje", p.share_cut, PRODUCT, p.share_decimals)
     tot = kept.groupBy(CLIENT).agg(F.sum("Porcentaje").alias("Total"))
     kept = kept.join(tot, CLIENT).withColumn(
         "Porcentaje", (F.col("Porcentaje") * 100.0 / F.col("Total")) / 100.0
     ).drop("Total")
-    out = allr.join(kept.select(CLIENT).distinct(), CLIENT, "left_anti")
     cols = [c for c in allr.columns if c not in (CLIENT,)]
     top = first_by(out.withColumn("_neg", -F.col("Porcentaje")), [CLIENT], ["_neg", PRODUCT], cols)
     top = top.withColumn("Porcentaje", F.lit(1.0))

@@ -40,15 +40,20 @@ def client_weekly(s: DataFrame, ordered: bool = False) -> DataFrame:
     return g.orderBy("Year", "Semana", "ClienteClave") if ordered else g
 
 
-def histogram(df: DataFrame, col: str, bins: int) -> DataFrame:
-    """Equal-width histogram over [min, max]; the max lands in the last bin."""
-    lo, hi = df.agg(F.min(col), F.max(col)).first()
+def histogram(df: DataFrame, col: str, bins: int, lo: float | None = None, hi: float | None = None) -> DataFrame:
+    """Equal-width histogram over [lo, hi] (default: the data's min and max);
+    the max lands in the last bin, values outside the range in bins 0 / n+1."""
+    if lo is None or hi is None:
+        mn, mx = df.agg(F.min(col), F.max(col)).first()
+        lo = mn if lo is None else lo
+        hi = mx if hi is None else hi
     if lo is None:
         return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, n long")
     if lo == hi:
         hi = lo + 1.0
     width = (hi - lo) / bins
-    b = F.least(F.width_bucket(F.col(col), F.lit(lo), F.lit(hi), F.lit(bins)), F.lit(bins)).cast("int")
+    wb = F.width_bucket(F.col(col), F.lit(lo), F.lit(hi), F.lit(bins))
+    b = F.when(F.col(col) == F.lit(hi), F.lit(bins)).otherwise(wb).cast("int")
     g = df.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return g.select(
         "bin",
