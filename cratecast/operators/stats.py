@@ -146,7 +146,3 @@ def interpolate(df: DataFrame, col: str, keys: Sequence[str] | str, order: str,
     )
     return x.withColumn(out, val).drop("_pv", "_pp", "_nv", "_np")
 
-
-def retention(counts: dict[str, Column]) -> list[Column]:
-    """Helper for retention reports: named count columns (see plans.report)."""
-    return [c.alias(k) for k, c in counts.items()]
