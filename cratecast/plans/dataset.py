@@ -110,7 +110,11 @@ class Split:
 def split_clients(plan: DataFrame, banded: DataFrame, p: PlanParams) -> Split:
     """Warm/cold split (G5): a client with *any* planned weekday lacking
     history is cold as a whole."""
-    x = plan.join(prediction_inputs(banded), [CLIENT, "Dia"], "left")
+    return split_from_planned(plan.join(prediction_inputs(banded), [CLIENT, "Dia"], "left"), p)
+
+
+def split_from_planned(x: DataFrame, p: PlanParams) -> Split:
+    """Warm/cold split of plan rows already joined with their features."""
     missing = x.filter(F.col("Categoria").isNull())
     cold = first_by(missing, [CLIENT], ["EsquemaID", "Visitas_Semanales"], ["EsquemaID", "Visitas_Semanales"])
     warm = x.dropna().join(cold.select(CLIENT), CLIENT, "left_anti")

@@ -42,7 +42,8 @@ class DemandPlan:
 
     @cached_property
     def seq(self) -> DataFrame:
-        return extracts.visit_sequence(self.t, self.p)
+        # read by the weekly visits, the plan days and the visit plan
+        return self._m(extracts.visit_sequence(self.t, self.p), "seq")
 
     @cached_property
     def units(self) -> DataFrame:
@@ -89,7 +90,11 @@ class DemandPlan:
 
     @cached_property
     def split(self) -> dataset.Split:
-        return dataset.split_clients(self.visit_plan, self.bands.daily, self.p)
+        sp = dataset.split_clients(self.visit_plan, self.bands.daily, self.p)
+        if self._mat:
+            # warm and cold both derive from the planned rows: cut once
+            return dataset.split_from_planned(self._m(sp.planned, "planned"), self.p)
+        return sp
 
     # -- curves -----------------------------------------------------------------------
     @cached_property
