@@ -42,9 +42,19 @@ def clamp_seconds(start: Column | str, end: Column | str) -> Column:
     return F.when(secs <= 0, F.lit(0.0)).otherwise(secs)
 
 
-def half_even(x: Column | str, scale: int = 0) -> Column:
-    """Round half to even, the rule of NumPy's round."""
-    return F.bround(_c(x), scale)
+def half_even(x: Column | str, scale: int = 0, snap: int | None = 9) -> Column:
+    """NumPy's ``round``: half to even on the binary value scaled by
+    10^scale (``rint``), after snapping float noise at ``snap`` decimals.
+
+    Snapping first makes the result independent of summation order: a mean
+    that two engines compute 1 ulp apart rounds the same way. ``bround``
+    is not used because it rounds the decimal text of the double, which
+    differs from NumPy on binary near-ties."""
+    v = _c(x) if snap is None else F.round(_c(x), snap)
+    if scale == 0:
+        return F.rint(v)
+    m = F.lit(float(10**scale))
+    return F.rint(v * m) / m
 
 
 def code_to_int(c: Column | str) -> Column:

@@ -189,7 +189,7 @@ def curve_ctes(p: PlanParams) -> list[tuple[str, str]]:
         ("curves0", """SELECT EsquemaID, Visitas_Semanales, Semana, CASE WHEN v IS NOT NULL THEN v
               WHEN pv IS NOT NULL AND nv IS NOT NULL THEN pv + (nv - pv) * (Semana - pp) / (np_ - pp)
               WHEN pv IS NOT NULL THEN pv ELSE nv END AS Venta_Total_dia FROM cint"""),
-        ("curves", "SELECT *, round_even(Venta_Total_dia, 3) AS prediccion FROM curves0"),
+        ("curves", "SELECT *, round_even(round(Venta_Total_dia, 9) * CAST(1000 AS DOUBLE), 0) / CAST(1000 AS DOUBLE) AS prediccion FROM curves0"),
         ("curve_forecast", f"""SELECT d.ClienteClave, c.EsquemaID, cv.Semana, d.Dia, c.Visitas_Semanales,
               cv.prediccion / c.Visitas_Semanales AS prediccion
               FROM plan_days d JOIN cold c ON d.ClienteClave = c.ClienteClave
@@ -294,7 +294,8 @@ def with_chain(select: str, p: PlanParams | None = None) -> str:
 
 
 def r6(col: str, alias: str | None = None) -> str:
-    return f"round({col}, 6) AS {alias or col}"
+    """Half-even at 6 decimals on the binary value, as ``registry.rnd``."""
+    return f"round_even(({col}) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) AS {alias or col}"
 
 
 # -- per-query statements ----------------------------------------------------------------
@@ -308,7 +309,7 @@ def _queries(p: PlanParams) -> dict[str, str]:
     dates = f"DATE '{p.start.isoformat()}' AND DATE '{p.end.isoformat()}'"
     sales_cols = "Fecha, UNE, Ruta, ClienteClave, EsquemaID, ProductoClave, TransProdID, TransProdDetalleID, Mes, \"Year\", Dia, Semana"
     q: dict[str, str] = {}
-    q["sales_detail"] = """SELECT Fecha, UNE, Ruta, ClienteClave, EsquemaID, ProductoClave, round(KgLts_Total, 6) AS KgLts_Total,
+    q["sales_detail"] = """SELECT Fecha, UNE, Ruta, ClienteClave, EsquemaID, ProductoClave, round_even((KgLts_Total) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) AS KgLts_Total,
         TransProdID, TransProdDetalleID FROM sales_detail"""
     q["channel_codes"] = """SELECT cc.ClienteClave, cc.EsquemaID, d.Nombre FROM channel_codes cc JOIN dim_channels d ON cc.EsquemaID = d.Id"""
     q["visit_sequence"] = f"""SELECT c.ClienteClave, s.FrecuenciaClave, ce.EsquemaID FROM client c
@@ -322,7 +323,7 @@ def _queries(p: PlanParams) -> dict[str, str]:
     q["active_routes"] = f"""SELECT DISTINCT d.AlmacenID, CAST(d.AlmacenID AS VARCHAR) AS ID FROM sequence c
         JOIN warehouse d ON c.RUTClave = d.AlmacenID WHERE d.AlmacenPadreid IN ({units})"""
     q["sales_history"] = f"""SELECT l.TransProdID, l.TransProdDetalleID, h.ClienteClave, ce.EsquemaID, l.ProductoClave, l.TipoUnidad,
-        round(l.Cantidad, 6) AS Cantidad, round(l.Precio, 6) AS Precio, round(l.Total, 6) AS Total, l.MFechaHora, l.MUsuarioID,
+        round_even((l.Cantidad) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) AS Cantidad, round_even((l.Precio) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) AS Precio, round_even((l.Total) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) AS Total, l.MFechaHora, l.MUsuarioID,
         a.AlmacenPadreid AS AlmacenPadreId, h.Tipo, h.TipoFaseIntSal, h.TipoFase, h.TipoMovimiento
         FROM sale_line l JOIN sale_header h ON l.TransProdID = h.TransProdID JOIN warehouse a ON l.MUsuarioID = a.AlmacenID
         JOIN client_channel ce ON h.ClienteClave = ce.ClienteClave
@@ -333,16 +334,16 @@ def _queries(p: PlanParams) -> dict[str, str]:
         WHERE ClaveCEDI IN ({units}) AND DiaClave BETWEEN {dates}"""
     q["preview"] = "SELECT ClienteClave, EsquemaID FROM client_channel ORDER BY ClienteClave, EsquemaID LIMIT 100"
     q["calendar"] = 'SELECT DISTINCT Fecha, Mes, "Year", Dia, Semana FROM sales'
-    q["day_totals"] = "SELECT ClienteClave, Fecha, round(Venta_Total_dia, 6) AS Venta_Total_dia, n_lines FROM day_totals"
-    q["p95_sales"] = f"""SELECT {sales_cols}, {_dbl(['KgLts_Total', 'Venta_Total_dia'])}, round(p95.q, 6) AS p_value
+    q["day_totals"] = "SELECT ClienteClave, Fecha, round_even((Venta_Total_dia) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) AS Venta_Total_dia, n_lines FROM day_totals"
+    q["p95_sales"] = f"""SELECT {sales_cols}, {_dbl(['KgLts_Total', 'Venta_Total_dia'])}, round_even((p95.q) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) AS p_value
         FROM p_sales, p95"""
     q["zscore_client"] = f"""SELECT DISTINCT ClienteClave, Fecha, {_dbl(['Venta_Total_dia', 'Valor_Z_general'])} FROM zc"""
     q["clean_sales"] = f"""SELECT {sales_cols}, {_dbl(['KgLts_Total', 'Venta_Total_dia', 'Valor_Z_general', 'Valor_Z_detalle'])}
         FROM clean"""
-    q["retention"] = """SELECT n_sales, n_p, n_z_client, n_clean,
-        round(round_even(n_z_client * 100.0 / n_p, 2), 6) AS pct_z_client,
-        round(round_even(n_clean * 100.0 / n_p, 2), 6) AS pct_clean,
-        round(round_even(100.0 - n_clean * 100.0 / n_sales, 2), 6) AS pct_removed
+    q["retention"] = f"""SELECT n_sales, n_p, n_z_client, n_clean,
+        {r6('round_even(round(n_z_client * 100.0 / n_p, 9) * CAST(100 AS DOUBLE), 0) / CAST(100 AS DOUBLE)', 'pct_z_client')},
+        {r6('round_even(round(n_clean * 100.0 / n_p, 9) * CAST(100 AS DOUBLE), 0) / CAST(100 AS DOUBLE)', 'pct_clean')},
+        {r6('round_even(round(100.0 - n_clean * 100.0 / n_sales, 9) * CAST(100 AS DOUBLE), 0) / CAST(100 AS DOUBLE)', 'pct_removed')}
         FROM (SELECT (SELECT count(*) FROM sales) AS n_sales, (SELECT count(*) FROM p_sales) AS n_p,
                      (SELECT count(*) FROM z_client) AS n_z_client, (SELECT count(*) FROM clean) AS n_clean) c"""
     q["visit_durations"] = f"""WITH v AS (
@@ -353,8 +354,8 @@ def _queries(p: PlanParams) -> dict[str, str]:
                  CAST(isodow(vl.DiaClave) - 1 AS INTEGER) AS Dia, CAST(weekofyear(vl.DiaClave) AS INTEGER) AS Semana
           FROM ({q['visit_log']}) vl),
         qv AS (SELECT quantile_cont(Visita_seg, {p.visit_p_cut}) AS q FROM v)
-        SELECT v.ClienteClave, v.DiaClave, round(v.Visita_seg, 6) AS Visita_seg, v.Mes, v."Year", v.Dia, v.Semana,
-               round(qv.q, 6) AS p_value FROM v, qv WHERE v.Visita_seg <= qv.q"""
+        SELECT v.ClienteClave, v.DiaClave, round_even((v.Visita_seg) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) AS Visita_seg, v.Mes, v."Year", v.Dia, v.Semana,
+               round_even((qv.q) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) AS p_value FROM v, qv WHERE v.Visita_seg <= qv.q"""
     q.update(_stage_queries(p))
     return q
 

@@ -35,6 +35,15 @@ class DemandPlan:
 
         return materialize(df, name)
 
+    def _c(self, df: DataFrame) -> DataFrame:
+        """Lazy cache for small tables read several times by one plan (no
+        extra job; recomputed from lineage if an executor is lost)."""
+        if not self._mat:
+            return df
+        from pyspark import StorageLevel
+
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+
     # -- extracts ---------------------------------------------------------------------
     @cached_property
     def sales(self) -> DataFrame:
@@ -43,7 +52,7 @@ class DemandPlan:
     @cached_property
     def seq(self) -> DataFrame:
         # read by the weekly visits, the plan days and the visit plan
-        return self._m(extracts.visit_sequence(self.t, self.p), "seq")
+        return self._c(extracts.visit_sequence(self.t, self.p))
 
     @cached_property
     def units(self) -> DataFrame:
@@ -93,7 +102,7 @@ class DemandPlan:
         sp = dataset.split_clients(self.visit_plan, self.bands.daily, self.p)
         if self._mat:
             # warm and cold both derive from the planned rows: cut once
-            return dataset.split_from_planned(self._m(sp.planned, "planned"), self.p)
+            return dataset.split_from_planned(self._c(sp.planned), self.p)
         return sp
 
     # -- curves -----------------------------------------------------------------------

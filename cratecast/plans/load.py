@@ -50,7 +50,7 @@ def pieces(vol: DataFrame, umin: DataFrame, p: PlanParams) -> DataFrame:
     names = [name for _, name in p.days]
     m = melt_days(vol, ["UNE", "Ruta", CLIENT, PRODUCT], names)
     x = m.join(umin, PRODUCT)
-    pz = F.ceil(half_even(F.round(safe_div("Total", "KgLts"), p.share_decimals), 0)).cast("double")
+    pz = F.ceil(half_even(safe_div("Total", "KgLts"), 0, p.share_decimals)).cast("double")
     x = x.withColumn("Piezas", pz).withColumn("Litros", F.col("Piezas") * F.col("KgLts"))
     return x.filter(F.col("Piezas") > 0).select("UNE", "Ruta", CLIENT, PRODUCT, "Dia", "Piezas", "Litros")
 

@@ -31,10 +31,14 @@ def register(name: str):
 
 
 def rnd(df: DataFrame, decimals: int = 6) -> DataFrame:
-    """Round every double column (presentation step of checked outputs)."""
+    """Round every double column (presentation step of checked outputs).
+
+    Half-even on the binary value scaled by 10^decimals (``rint``), the same
+    formula the oracle SQL uses, so both engines round a given double alike."""
+    m = F.lit(float(10**decimals))
     return df.select(
         *[
-            F.round(F.col(f.name), decimals).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+            (F.rint(F.col(f.name) * m) / m).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
             for f in df.schema.fields
         ]
     )
