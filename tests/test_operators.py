@@ -131,3 +131,15 @@ def test_quantile_with_hot_value(spark):
     for p in (0.1, 0.3, 0.5, 0.95):
         got = exact_quantiles(df, "x", [p], max_collect=16, bins=8)[0]
         assert got == pytest.approx(float(np.quantile(np.array(xs), p)))
+
+
+def test_quantile_cut_exact_and_approx(spark):
+    from cratecast.operators.quantile import quantile_cut
+
+    df = spark.createDataFrame([(float(v),) for v in range(1, 1001)], "x double")
+    kept, q = quantile_cut(df, "x", 0.95, strict=True)
+    assert q == pytest.approx(950.05)
+    assert kept.count() == 950
+    kept2, q2 = quantile_cut(df, "x", 0.95, strict=False, exact=False)
+    assert abs(q2 - 950.05) <= 1.0
+    assert kept2.count() == int(q2)
