@@ -1,13 +1,14 @@
 """Repeated passages by a sparse suffix array.
 
 Only suffixes that start at a minimiser are kept: a position whose hash of
-``GRAM`` words is the least of a window of ``WINDOW`` positions, which depends
-on content alone, so two texts that share GRAM + WINDOW - 1 words keep a suffix
-at the same place of the shared run. The kept suffixes are sorted over the
-whole cluster by their next words (hashes of 8, 8, 16 and 32 words), ties by
-document and place, so that one frequent passage spreads over many partitions.
-Each suffix is compared with its two neighbours; the closer one is its match,
-which is then extended word by word to the left and the right on whole texts.
+``GRAM`` words is the least of a window of ``WINDOW`` positions. That depends on
+content alone, so two texts that share GRAM + WINDOW - 1 words keep a suffix at
+the same place of the shared run, fewer than WINDOW words from its start. The
+kept suffixes are sorted over the whole cluster by their next words (hashes of
+32, 16 and 32 words), ties by document and place, so that one frequent passage
+spreads over many partitions. A suffix and its neighbour that agree in the first
+32 words match; matches are extended word by word to the left and the right on
+whole texts.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ from .common import python_workers, keep_ids, land
 from .words import mix, slices, word_hashes
 
 MIN_WORDS = 50
-GRAM, WINDOW = 8, 32
+GRAM, WINDOW = 8, 16
 #: Words covered by each part of a suffix's sort key.
-BLOCKS = (8, 8, 16, 32)
+BLOCKS = (32, 16, 32)
 _U = np.uint64
 _K = _U(0xD6E8FEB86659FD93)
 
@@ -68,7 +69,7 @@ def minimisers(h: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> np.ndar
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
-    """(key, b1..b4, doc, pos) of the kept suffixes. docs: doc, text."""
+    """(b1, b2, b3, doc, pos) of the kept suffixes. docs: doc, text."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -90,68 +91,51 @@ def suffixes(docs: DataFrame) -> DataFrame:
                     cols.append(mix(g))
                     at += n
                 signed = [c.view(np.int64) for c in cols]
-                key = mix(cols[0] ^ (cols[1] * _K)).view(np.int64)
-                yield pd.DataFrame({"key": key, **{f"b{i + 1}": c for i, c in enumerate(signed)}, "doc": ids[a + of], "pos": (pos - first[:-1][of]).astype(np.int32)})
+                yield pd.DataFrame({**{f"b{i + 1}": c for i, c in enumerate(signed)}, "doc": ids[a + of], "pos": (pos - first[:-1][of]).astype(np.int32)})
 
-    return docs.mapInPandas(cut, "key long, b1 long, b2 long, b3 long, b4 long, doc long, pos int")
+    return docs.mapInPandas(cut, "b1 long, b2 long, b3 long, doc long, pos int")
 
 
 def neighbours(kept: DataFrame) -> DataFrame:
-    """(doc, pos, mdoc, mpos): each suffix's closer neighbour in the sorted order, if at least two blocks agree.
+    """(doc, pos, mdoc, mpos): each suffix with each neighbour in the sorted order whose first block agrees.
 
-    Ranges are cut on all of the order, so a suffix that very many texts
-    share is spread; the first and last suffix of each partition are compared across the border.
+    Ranges are cut on all of the order, so a suffix that very many texts share
+    is spread; the first and last suffix of each partition are compared across the border.
     """
-    order = ["b1", "b2", "b3", "b4", "doc", "pos"]
-    out = "kind int, part int, b1 long, b2 long, b3 long, b4 long, doc long, pos int, mdoc long, mpos int"
+    order = ["b1", "b2", "b3", "doc", "pos"]
+    out = "kind int, part int, b1 long, doc long, pos int, mdoc long, mpos int"
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        held: dict[str, np.ndarray] | None = None
-        before: np.ndarray | None = None  # common blocks of the held row and the one above it
-        above: tuple[int, int] = (0, 0)
 
-        def rows(kind, c, i, mdoc, mpos):
-            return pa.RecordBatch.from_pydict({"kind": pa.array(np.full(len(i), kind), pa.int32()), "part": pa.array(np.full(len(i), part), pa.int32()), **{k: pa.array(c[k][i]) for k in order[:5]}, "pos": pa.array(c["pos"][i], pa.int32()), "mdoc": pa.array(mdoc), "mpos": pa.array(mpos, pa.int32())})
+        def rows(kind, b1, doc, pos, mdoc, mpos):
+            n = len(doc)
+            ints = lambda x: pa.array(x, pa.int32())
+            return pa.RecordBatch.from_arrays([ints(np.full(n, kind)), ints(np.full(n, part)), pa.array(b1), pa.array(doc), ints(pos), pa.array(mdoc), ints(mpos)], names=["kind", "part", "b1", "doc", "pos", "mdoc", "mpos"])
 
+        held = None
         for b in batches:
             if not b.num_rows:
                 continue
-            c = {k: np.asarray(b.column(k)) for k in order}
-            if held is not None:
-                c = {k: np.concatenate((held[k], c[k])) for k in order}
+            b1, doc, pos = (np.asarray(b.column(k)) for k in ("b1", "doc", "pos"))
+            if held is None:
+                yield rows(1, b1[:1], doc[:1], pos[:1], doc[:1], pos[:1])
             else:
-                yield rows(1, c, np.array([0]), np.zeros(1, np.int64), np.zeros(1, np.int32))
-            n = len(c["doc"])
-            same, common = np.ones(n - 1, dtype=bool), np.zeros(n - 1, dtype=np.int64)
-            for k in order[:4]:
-                same = same & (c[k][1:] == c[k][:-1])
-                common += same
-            up = np.concatenate(([before[0] if before is not None else 0], common))
-            # the last row waits for what follows
-            i = np.arange(n - 1)
-            down = common
-            nearer = np.where(down > up[:-1], i + 1, i - 1)
-            good = np.maximum(down, up[:-1]) >= 2
-            i, nearer = i[good], nearer[good]
-            mdoc = np.where(nearer >= 0, c["doc"][np.maximum(nearer, 0)], above[0])
-            mpos = np.where(nearer >= 0, c["pos"][np.maximum(nearer, 0)], above[1])
-            yield rows(0, c, i, mdoc, mpos)
-            if n > 1:
-                above = (int(c["doc"][-2]), int(c["pos"][-2]))
-                before = common[-1:]
-            held = {k: c[k][-1:] for k in order}
+                b1, doc, pos = (np.concatenate((x[-1:], y)) for x, y in zip(held, (b1, doc, pos)))
+            up = np.flatnonzero(b1[1:] == b1[:-1])
+            yield rows(0, b1[up], doc[up], pos[up], doc[up + 1], pos[up + 1])
+            yield rows(0, b1[up], doc[up + 1], pos[up + 1], doc[up], pos[up])
+            held = (b1, doc, pos)
         if held is not None:
-            if before is not None and before[0] >= 2:
-                yield rows(0, held, np.array([0]), np.array([above[0]]), np.array([above[1]], np.int32))
-            yield rows(2, held, np.array([0]), np.zeros(1, np.int64), np.zeros(1, np.int32))
+            last = [x[-1:] for x in held]
+            yield rows(2, *last, last[1], last[2])
 
     found = kept.select(*order).repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compare, out)
     found = land(found, "suffix_pairs")
     # two rows a partition
     w = Window.orderBy("part", "kind")
-    ends = found.where("kind > 0").withColumn("_next", F.lead(F.struct("kind", "b1", "b2", "doc", "pos")).over(w))
-    ends = ends.where("kind = 2 and _next.kind = 1 and _next.b1 = b1 and _next.b2 = b2")
+    ends = found.where("kind > 0").withColumn("_next", F.lead(F.struct("kind", "b1", "doc", "pos")).over(w))
+    ends = ends.where("kind = 2 and _next.kind = 1 and _next.b1 = b1")
     here, there = F.struct("doc", "pos"), F.struct(F.col("_next.doc").alias("doc"), F.col("_next.pos").alias("pos"))
     across = ends.select(here.alias("x"), there.alias("y"))
     pair = lambda df, x, y: df.select(F.col(f"{x}.doc").alias("doc"), F.col(f"{x}.pos").alias("pos"), F.col(f"{y}.doc").alias("mdoc"), F.col(f"{y}.pos").alias("mpos"))
@@ -180,17 +164,18 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", te
     """doc_id, start, n_words, match_doc_id, match_start, n_copies of the passages that occur again.
 
     Words are as in ``words``; start counts words from 0. A passage has
-    ``min_words`` words or more (39 at least: shorter ones may share no kept
-    suffix) and cannot be extended on either side; its match lies in another
-    document, or at another place of the same one. Texts that are equal as a
+    ``min_words`` words or more (47 at least: of shorter ones no kept suffix has
+    32 words in common) and cannot be extended on either side; its match lies in another
+    document, or at another place of the same one (a run of one repeated word is
+    no match of itself). Texts that are equal as a
     whole are one class: each copy gets one row with its whole text (match: the
     smallest other id) and n_copies, the number of texts in the class; other
     rows have n_copies 1 or the class's size and are given for its smallest id. Null ids,
     null and empty texts and texts shorter than min_words give no rows; a
     repeated row is a copy like any other, with itself as the match if there is no other id. No rows: no rows.
     """
-    if min_words < GRAM + WINDOW - 1:
-        raise ValueError(f"min_words must be {GRAM + WINDOW - 1} at least")
+    if min_words < BLOCKS[0] + WINDOW - 1:
+        raise ValueError(f"min_words must be {BLOCKS[0] + WINDOW - 1} at least")
     spark = docs.sparkSession
     python_workers(spark, 1000)
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null and text <> ''")
@@ -211,8 +196,8 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", te
     once = keep_ids(once, twice, "doc", how="left_anti").union(keep_ids(once, twice, "doc").groupBy("doc").agg(F.max("text").alias("text")))
 
     kept = land(suffixes(once), "suffix_rows")
-    often = land(kept.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "suffix_keys")
-    near = neighbours(keep_ids(kept, often, "key"))
+    often = land(kept.groupBy("b1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("b1"), "suffix_keys")
+    near = neighbours(keep_ids(kept, often, "b1"))
     # a document's matches with one other: no more than its own kept suffixes
     pairs = land(near.groupBy("doc", "mdoc").agg(F.sort_array(F.collect_set(F.struct("pos", "mpos"))).alias("at")), "suffix_matches")
     ids = land(pairs.select("doc").union(pairs.select("mdoc")).distinct(), "suffix_ids")
