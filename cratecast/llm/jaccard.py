@@ -6,12 +6,16 @@ size - ceil(threshold * size) + 1 shingles of each (in the order of their
 hashes), so documents meet under these shingles: the top of the tree, dealt out
 by Spark. Under a shingle, documents are first linked to the smallest of them,
 which settles groups of copies with one comparison a document. Where a
-shingle's documents are not all in one component after that, a signature tree
-is built over them: nodes hold OR-combined token bitmaps and size ranges, and a
+shingle's documents are not all in one component after that, up to ``LEAF`` of
+them are a leaf, whose documents are compared if their sizes allow; over more, a
+signature tree is built: nodes hold OR-combined token bitmaps and size ranges, and a
 dual traversal prunes pairs of nodes whose largest possible overlap is too
 small. Pairs of documents that stay are verified on their whole texts.
 
-A bitmap holds a quarter of a document's shingles in about one bit a shingle.
+A node's bitmap holds a quarter of its documents' shingles. Two documents are
+also compared by parity bitmaps of all their shingles (a bit is set if an odd
+number of shingles hash to it): each bit that differs needs a shingle that only
+one of them has. Both take one to two bits a shingle.
 A frequent shingle's documents are dealt by size band and, within a band, into
 pairs of chunks of ``CHUNK`` documents at most: no task holds more.
 """
@@ -30,7 +34,7 @@ from .components import components
 from .words import mix, text_shingles
 
 N, PERCENT = 4, 85
-CHUNK, FAN, FRONTIER = 1024, 8, 1 << 13
+LEAF, CHUNK, FAN, FRONTIER = 32, 1024, 8, 1 << 13
 _U = np.uint64
 
 
@@ -52,13 +56,19 @@ def bitmap(tokens: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
-def folded(bits: bytes, words: int) -> np.ndarray:
-    """A bitmap OR-folded to a smaller power of two."""
-    return np.bitwise_or.reduce(np.frombuffer(bits, dtype="<u8").reshape(-1, words), axis=0)
+def parity(tokens: np.ndarray) -> bytes:
+    """The parity of the number of tokens hashed to each of ``width`` bits."""
+    bits = np.bincount((mix(tokens) & _U(width(len(tokens)) - 1)).astype(np.int64), minlength=width(len(tokens)))
+    return np.packbits((bits & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(bits: bytes, words: int, how=np.bitwise_or) -> np.ndarray:
+    """A bitmap folded to a smaller power of two: by OR, or by XOR if it is a parity."""
+    return how.reduce(np.frombuffer(bits, dtype="<u8").reshape(-1, words), axis=0)
 
 
 def sketches(docs: DataFrame, n: int, percent: int) -> DataFrame:
-    """(doc, size, d1, d2, bits, prefix) of the rows of docs (doc, text)."""
+    """(doc, size, d1, d2, bits, odd, prefix) of the rows of docs (doc, text)."""
 
     def make(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -66,17 +76,18 @@ def sketches(docs: DataFrame, n: int, percent: int) -> DataFrame:
             for t in text_shingles(b["text"].tolist(), n):
                 d1, d2 = mix(t).sum(dtype=_U), mix(t ^ _U(0xA5A5A5A5A5A5A5A5)).sum(dtype=_U)
                 prefix = t[: len(t) - -(-percent * len(t) // 100) + 1] if len(t) else t
-                rows.append((len(t), int(d1) - (1 << 63), int(d2) - (1 << 63), bitmap(t) if len(t) else b"", prefix.view(np.int64)))
-            yield pd.DataFrame({"doc": b["doc"], "size": [r[0] for r in rows], "d1": [r[1] for r in rows], "d2": [r[2] for r in rows], "bits": [r[3] for r in rows], "prefix": [r[4] for r in rows]})
+                rows.append((len(t), int(d1) - (1 << 63), int(d2) - (1 << 63), bitmap(t) if len(t) else b"", parity(t) if len(t) else b"", prefix.view(np.int64)))
+            yield pd.DataFrame({"doc": b["doc"], "size": [r[0] for r in rows], "d1": [r[1] for r in rows], "d2": [r[2] for r in rows], "bits": [r[3] for r in rows], "odd": [r[4] for r in rows], "prefix": [r[5] for r in rows]})
 
-    return docs.mapInPandas(make, "doc long, size long, d1 long, d2 long, bits binary, prefix array<long>")
+    return docs.mapInPandas(make, "doc long, size long, d1 long, d2 long, bits binary, odd binary, prefix array<long>")
 
 
 class Tree:
     """Levels of nodes over documents sorted by size; level 0 is the documents."""
 
-    def __init__(self, size: np.ndarray, bits: np.ndarray, comp: np.ndarray, fan: int = FAN):
-        self.fan = fan
+    def __init__(self, size: np.ndarray, bits: np.ndarray, odd: list[bytes], comp: np.ndarray, fan: int = FAN):
+        self.fan, self.odd, self.words = fan, odd, np.array([len(x) // 8 for x in odd])
+        self.parity: dict[int, np.ndarray] = {}
         self.levels = [(size, size, bits, np.bitwise_count(bits).sum(axis=1, dtype=np.int64), comp, comp)]
         while len(self.levels[-1][0]) > 1:
             lo, hi, b, least, c0, c1 = self.levels[-1]
@@ -84,6 +95,24 @@ class Tree:
             self.levels.append((np.minimum.reduceat(lo, cut), np.maximum.reduceat(hi, cut), np.bitwise_or.reduceat(b, cut, axis=0), np.minimum.reduceat(least, cut), np.minimum.reduceat(c0, cut), np.maximum.reduceat(c1, cut)))
 
 
+    def parities(self, words: int, i: np.ndarray) -> np.ndarray:
+        """Parities of documents of this many words or twice as many, as documents of this size class see them."""
+        if words not in self.parity:
+            m = self.parity[words] = np.zeros((len(self.odd), words), dtype=_U)
+            for d in np.flatnonzero((self.words == words) | (self.words == 2 * words)).tolist():
+                m[d] = folded(self.odd[d], words, np.bitwise_xor)
+        return self.parity[words][i]
+
+
+def apart(x: Tree, y: Tree, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """A lower bound of the symmetric difference of documents i of x and j of y, of sizes in ratio 1 : 2 at most."""
+    out, words = np.zeros(len(i), dtype=np.int64), np.minimum(x.words[i], y.words[j])
+    for w in np.unique(words).tolist():
+        at = np.flatnonzero(words == w)
+        out[at] = np.bitwise_count(x.parities(w, i[at]) ^ y.parities(w, j[at])).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def possible(x: Tree, y: Tree, level: int, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
     """Which node pairs may hold a pair of documents that reaches the threshold and lies in two components."""
     lx, hx, bx, px, cx, dx = (a[i] for a in x.levels[level])
@@ -96,8 +125,7 @@ def possible(x: Tree, y: Tree, level: int, i: np.ndarray, j: np.ndarray, percent
         ok[at] = (px[at] - both <= hx[at] - least_overlap(hx[at], ly[at], percent)) & (py[at] - both <= hy[at] - least_overlap(hy[at], lx[at], percent))
         if level == 0:
             at = np.flatnonzero(ok)
-            apart = px[at] + py[at] - 2 * np.bitwise_count(bx[at] & by[at]).sum(axis=1, dtype=np.int64)
-            ok[at] = apart <= lx[at] + ly[at] - 2 * least_overlap(lx[at], ly[at], percent)
+            ok[at] = apart(x, y, i[at], j[at]) <= lx[at] + ly[at] - 2 * least_overlap(lx[at], ly[at], percent)
     return ok
 
 
@@ -133,7 +161,7 @@ def traverse(x: Tree, y: Tree, same: bool, percent: int) -> tuple[np.ndarray, np
 
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b) of the pairs that reach the threshold on their whole texts. pairs: a, b, distinct."""
-    side = lambda x: sets.select(F.col("doc").alias(x), F.col("size").alias(f"s{x}"), F.col("bits").alias(f"b{x}"))
+    side = lambda x: sets.select(F.col("doc").alias(x), F.col("size").alias(f"s{x}"), F.col("odd").alias(f"b{x}"))
 
     def likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for p in batches:
@@ -142,7 +170,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, percen
             keep = []
             for s, t, x, y in zip(p["sa"], p["sb"], p["ba"], p["bb"]):
                 words = min(len(x), len(y)) // 8
-                u, v = folded(x, words), folded(y, words)
+                u, v = folded(x, words, np.bitwise_xor), folded(y, words, np.bitwise_xor)
                 keep.append(int(np.bitwise_count(u ^ v).sum()) <= s + t - 2 * least_overlap(s, t, percent))
             yield p[["a", "b"]][np.array(keep, dtype=bool)]
 
@@ -182,31 +210,36 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
     full = sets.where("size > 0 and doc is not null")
     cls = land(full.groupBy("d1", "d2", "size").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("m")), "jac_classes")
     others = full.select("doc", "d1", "d2", "size").join(cls.where("m > 1"), ["d1", "d2", "size"]).where("doc <> rep").select("doc").distinct()
-    reps = keep_ids(full, land(others, "jac_others"), "doc", how="left_anti").select("doc", "size", "bits", "prefix")
+    reps = keep_ids(full, land(others, "jac_others"), "doc", how="left_anti").select("doc", "size", "bits", "odd", "prefix")
     # one row of an id that repeats
     twice = land(full.groupBy("doc").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("doc"), "jac_twice")
-    once = keep_ids(reps, twice, "doc").groupBy("doc").agg(F.min(F.struct("size", "bits", "prefix")).alias("o")).select("doc", "o.*")
-    reps = land(keep_ids(reps, twice, "doc", how="left_anti").union(once), "jac_reps")
-    under = reps.select("doc", F.explode("prefix").alias("tok"))
+    if not twice.isEmpty():
+        once = keep_ids(reps, twice, "doc").groupBy("doc").agg(F.min(F.struct("size", "bits", "odd", "prefix")).alias("o")).select("doc", "o.*")
+        reps = land(keep_ids(reps, twice, "doc", how="left_anti").union(once), "jac_reps")
+    under = reps.select("doc", F.col("size").cast("int").alias("size"), F.explode("prefix").alias("tok"))
     shared = land(under.groupBy("tok").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("hub")).where("n > 1"), "jac_shared")
-    met = land(under.join(shared, "tok").select("tok", "doc", "hub"), "jac_met")
-    first = _verified(met.where("doc <> hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), rows, reps, n, percent)
-    comp = land(components(first), "jac_comp")
-
-    met = met.join(comp.withColumnRenamed("node", "doc"), "doc", "left").select("tok", "doc", F.coalesce("comp", "doc").alias("comp"))
-    met = land(met, "jac_met2")
-    # shingles with the same documents are one; settled ones need no more
-    open_ = met.groupBy("tok").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("h1"), F.sum(F.hash("doc").cast("long")).alias("h2")).where("c0 < c1 and n > 2")  # of two documents one is the hub
+    met = land(under.join(shared, "tok").select("tok", "doc", "size", "hub"), "jac_met")
+    links = _verified(met.where("doc <> hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), rows, reps, n, percent)
+
+    comp = land(components(links), "jac_comp").withColumnRenamed("node", "doc")
+    met = land(met.join(comp, "doc", "left").select("tok", "doc", "size", F.coalesce("comp", "doc").alias("comp")), "jac_now")
+    # shingles with the same documents are one; settled ones need no more, and of two documents one is the hub
+    same = F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("h1"), F.sum(F.hash("doc").cast("long")).alias("h2")
+    open_ = met.groupBy("tok").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), *same).where("c0 < c1 and n > 2")
     open_ = land(open_.groupBy("n", "h1", "h2").agg(F.min("tok").alias("tok")).select("tok", "n"), "jac_open")
+    small = met.join(open_.where(F.col("n") <= LEAF).select("tok"), "tok")
+    x, y = small.alias("x"), small.alias("y")
+    near = (F.col("x.doc") < F.col("y.doc")) & (F.col("x.comp") != F.col("y.comp")) & (100 * F.col("x.size") >= percent * F.col("y.size")) & (100 * F.col("y.size") >= percent * F.col("x.size"))
+    leaves = x.join(y, (F.col("x.tok") == F.col("y.tok")) & near).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
+
     # documents of sizes in ratio percent / 100 lie in one band or two adjacent ones; up to a chunk of documents are one band
     band = F.when(F.col("n") <= chunk, 0).otherwise(F.floor(F.log("size") / float(np.log(100 / percent)) + 1e-9)).cast("int")
-    inside = met.join(open_, "tok").join(reps.select("doc", "size", "bits"), "doc").withColumn("band", band).drop("n")
-    inside = land(inside, "jac_inside")
+    inside = land(met.join(open_.where(F.col("n") > LEAF), "tok").withColumn("band", band).drop("n"), "jac_inside")
     per = land(inside.groupBy("tok", "band").agg(F.count(F.lit(1)).alias("m")), "jac_bands")
     # pairs lie within a band or between a band and the next; chunks of the two sides meet pairwise
     meets = per.join(per.select("tok", (F.col("band") - 1).alias("band"), F.col("m").alias("up")), ["tok", "band"], "left")
     meets = land(meets.select("tok", "band", "m", F.ceil(F.col("m") / chunk).cast("int").alias("k"), F.ceil(F.coalesce("up", F.lit(0)) / chunk).cast("int").alias("ku")), "jac_meets")
-    carried = ["doc", "comp", "size", "bits"]
+    carried = ["doc", "comp", "size"]
 
     def to(df: DataFrame, kind: int, n: str, task) -> DataFrame:
         """A row for each of the n tasks of the other side that a document goes to: task(o) = (i, j, side)."""
@@ -225,17 +258,17 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
     dealt = dealt.union(to(lower.where("ku > 0"), 1, "ku", lambda o: (F.col("c"), o, F.lit(0))))
     dealt = dealt.union(to(upper, 1, "k", lambda o: (o, F.col("c"), F.lit(1))))
 
-    def meet(size: np.ndarray, comp: np.ndarray, ids: np.ndarray, side: np.ndarray, same: bool, packed: list[bytes]) -> np.ndarray:
+    def meet(size: np.ndarray, comp: np.ndarray, ids: np.ndarray, side: np.ndarray, same: bool, packed: list[bytes], odd: list[bytes]) -> np.ndarray:
         half = int((side == 0).sum())
         if not same and half in (0, len(ids)):
             return np.empty((0, 2), dtype=np.int64)
         words = min(map(len, packed)) // 8
         bits = np.stack([folded(x, words) for x in packed])
         if same:
-            x = Tree(size, bits, comp)
+            x = Tree(size, bits, odd, comp)
             i, j = traverse(x, x, True, percent)
         else:
-            i, j = traverse(Tree(size[:half], bits[:half], comp[:half]), Tree(size[half:], bits[half:], comp[half:]), False, percent)
+            i, j = traverse(Tree(size[:half], bits[:half], odd[:half], comp[:half]), Tree(size[half:], bits[half:], odd[half:], comp[half:]), False, percent)
             j = j + half
         i, j = i[comp[i] != comp[j]], j[comp[i] != comp[j]]
         return np.sort(np.stack((ids[i], ids[j]), axis=1), axis=1)
@@ -247,8 +280,8 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
 
         def done(df: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
             size, comp, ids, side = (df[c].to_numpy() for c in ("size", "comp", "doc", "side"))
-            packed, kind, i, j = df["bits"].tolist(), df["kind"].to_numpy(), df["i"].to_numpy(), df["j"].to_numpy()
-            found = [meet(size[a:b], comp[a:b], ids[a:b], side[a:b], kind[a] == 0 and i[a] == j[a], packed[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            packed, odd, kind, i, j = df["bits"].tolist(), df["odd"].tolist(), df["kind"].to_numpy(), df["i"].to_numpy(), df["j"].to_numpy()
+            found = [meet(size[a:b], comp[a:b], ids[a:b], side[a:b], kind[a] == 0 and i[a] == j[a], packed[a:b], odd[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
             return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
         held = None
@@ -264,10 +297,10 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
         if held is not None and len(held):
             yield done(held, np.array([0, len(held)]))
 
-    dealt = dealt.repartition(*task).sortWithinPartitions(*task, "side", "size", "doc")
-    more = dealt.mapInPandas(met_in, "a long, b long").distinct()
-    second = _verified(land(more, "jac_pairs"), rows, reps, n, percent)
-    comp = land(components(first.union(second)), "jac_comp")
+    dealt = dealt.join(reps.select("doc", "bits", "odd"), "doc").repartition(*task).sortWithinPartitions(*task, "side", "size", "doc")
+    more = dealt.mapInPandas(met_in, "a long, b long").union(leaves).distinct()
+    links = links.union(_verified(land(more, "jac_pairs"), rows, reps, n, percent))
+    comp = land(components(links), "jac_comp")
 
     cls = land(cls.select("d1", "d2", "size", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "size", F.coalesce("comp", "rep").alias("comp")), "jac_result")
     by = full.select("doc", "d1", "d2", "size").join(cls, ["d1", "d2", "size"]).groupBy("doc").agg(F.min("comp").alias("comp"))
