@@ -49,8 +49,8 @@ def width(size: int) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    """A quarter of the tokens, hashed to ``width`` bits, as little-endian words."""
-    bits = np.zeros(width(len(tokens)), dtype=np.uint8)
+    """A quarter of the tokens, hashed to half of ``width`` bits, as little-endian words."""
+    bits = np.zeros(max(64, width(len(tokens)) // 2), dtype=np.uint8)
     some = tokens[(tokens & _U(3)) == 0]
     bits[((some >> _U(2)) & _U(len(bits) - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
