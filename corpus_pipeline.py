@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratecast.llm.classify import scored
-from cratecast.llm.common import land, read
+from cratecast.llm.common import broadcast_checked, keep_ids, land, read
 from cratecast.llm.jaccard import joined
 from cratecast.llm.linededup import line_deduped
 from cratecast.llm.mixing import mixed
@@ -36,13 +36,14 @@ def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One document of each group of near-duplicates: the one with the smallest doc_id."""
     groups = joined(docs, WORDS, PERCENT)
     gone = land(groups.where("doc_id <> component_id").select("doc_id").distinct(), "pipeline_gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return keep_ids(docs, gone, "doc_id", how="left_anti").select(*docs.columns)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each document as often as it is taken, whole epochs and the sampled rest."""
     taken = mixed(docs).where("copies > 0").groupBy(F.struct("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
-    rows = docs.withColumn("_id", F.struct("doc_id")).join(land(taken, "pipeline_copies"), "_id")
+    taken = land(taken, "pipeline_copies")
+    rows = docs.withColumn("_id", F.struct("doc_id")).join(broadcast_checked(taken), "_id")
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
 
 

@@ -40,14 +40,16 @@ def n_words(text: str | Column) -> Column:
     return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-#: Id lists up to this many rows (8 bytes each) are broadcast by ``keep_ids``; longer ones are joined by a shuffle.
+#: Landed tables of an id and a number up to this many rows (16 bytes each) are broadcast; longer ones are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 
 
+def broadcast_checked(small: DataFrame, limit: int = BROADCAST_IDS) -> DataFrame:
+    """A landed table of narrow rows, marked for broadcast if a count shows ``limit`` rows or fewer."""
+    return F.broadcast(small) if small.limit(limit + 1).count() <= limit else small
+
+
 def keep_ids(df: DataFrame, ids: DataFrame, key: str, limit: int = BROADCAST_IDS, how: str = "left_semi") -> DataFrame:
     """Rows of df whose key is in ids (one landed column of that name), or not
-    in it (how="left_anti"). The number of ids is counted first: the list is
-    broadcast up to ``limit`` rows and joined by a shuffle beyond that, with the
-    same result."""
-    small = ids.limit(limit + 1).count() <= limit
-    return df.join(F.broadcast(ids) if small else ids, key, how)
+    in it (how="left_anti"), by a broadcast of a checked size or a shuffle."""
+    return df.join(broadcast_checked(ids, limit), key, how)
