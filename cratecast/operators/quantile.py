@@ -2,12 +2,13 @@
 
 A global exact percentile aggregate keeps every distinct value in one final
 task. Here the k-th order statistic is found instead by narrowing a value
-bracket: each pass is one aggregation over the rows inside the bracket
-(equal-width ``width_bucket`` histogram with per-bucket count/min/max), which
-Spark partially aggregates map-side. The driver only ever receives one
-histogram (``bins`` rows) per pass, and at the end the value counts of a
-bracket holding at most ``max_collect`` rows. A hot value collapses the
-bracket to a single point, so heavy ties end the search early.
+bracket: each pass is one aggregation (equal-width ``width_bucket`` histogram
+with per-bucket count/min/max, partially aggregated map-side) that serves the
+brackets of all requested quantiles. The driver receives at most ``bins + 1``
+rows per quantile and pass. The next bracket is the min and max of the bucket
+that holds rank k, so it is at least ``bins`` times narrower or ends at data
+values closer than that; a hot value collapses it at once. The value above
+rank k, where interpolation needs it, is one more aggregate.
 
 The result equals pandas/NumPy ``quantile`` (method 'linear') and DuckDB
 ``quantile_cont``: with ``pos = p * (n - 1)``, ``k = floor(pos)``,
@@ -28,107 +29,78 @@ def _values(df: DataFrame, col: str, weight: str | None) -> DataFrame:
     return x.filter(F.col("x").isNotNull() & ~F.isnan("x") & (F.col("w") > 0))
 
 
-def _order_stats(x: DataFrame, ranks: list[int], n: int, lo: float, hi: float, max_collect: int, bins: int,
-                 first_collect: bool = False) -> list[float]:
-    """Values at the given 0-based ranks (sorted, within [0, n))."""
-    below, cnt = 0, n
-    first = True
-    while True:
-        sub = x if first else x.filter(F.col("x").between(lo, hi))
-        if lo == hi:
-            return [lo for _ in ranks]
-        if cnt <= max_collect or (first and first_collect):
-            rows = sub.groupBy("x").agg(F.sum("w").alias("c")).orderBy("x").collect()
-            out, cum, i = [], below, 0
-            for v, c in rows:
-                cum += c
-                while i < len(ranks) and ranks[i] < cum:
-                    out.append(v)
-                    i += 1
-                if i == len(ranks):
+def _histograms(x: DataFrame, brackets: list[tuple[float, float]], bins: int) -> dict[int, list]:
+    """Per bracket (by position) its non-empty buckets (count, min, max) in order."""
+    cells = []
+    for i, (lo, hi) in enumerate(brackets):
+        s = 2.0**-20 if hi / 2 - lo / 2 > 1e300 else 1.0  # bins * range must stay a double
+        b = F.width_bucket(F.col("x") * s, F.lit(lo * s), F.lit(hi * s), F.lit(bins))
+        cells.append(F.when(F.col("x").between(lo, hi), F.struct(F.lit(i).alias("i"), b.alias("b"))))
+    at = x.select("x", "w", F.explode(F.array_compact(F.array(*cells))).alias("c"))
+    rows = at.groupBy("c.i", "c.b").agg(F.sum("w").alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx")).collect()
+    out: dict[int, list] = {}
+    for r in sorted(rows, key=lambda r: (r["i"], r["b"])):
+        out.setdefault(r["i"], []).append((r["n"], r["mn"], r["mx"]))
+    return out
+
+
+def order_statistics(x: DataFrame, ranks: list[int], lo: float, hi: float, bins: int = 2048) -> tuple[dict[int, tuple[float, int]], int]:
+    """For each 0-based rank (value there, number of values up to and including it), and the number of passes."""
+    found: dict[int, tuple[float, int]] = {}
+    todo = {k: (lo, hi, 0) for k in ranks}  # bracket and number of values below it
+    passes = 0
+    while todo:
+        passes += 1
+        brackets = sorted({(a, b) for a, b, _ in todo.values()})
+        hists = _histograms(x, [(a, b if a < b else math.nextafter(b, math.inf)) for a, b in brackets], bins)
+        for k, (a, b, below) in list(todo.items()):
+            for n, mn, mx in hists[brackets.index((a, b))]:
+                if k < below + n:
                     break
-            return out
-        first = False
-        b = F.width_bucket(F.col("x"), F.lit(lo), F.lit(hi), F.lit(bins))
-        hist = (
-            sub.groupBy(b.alias("b"))
-            .agg(F.sum("w").alias("c"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-            .orderBy("b")
-            .collect()
-        )
-        cum = below
-        new_lo = new_hi = None
-        new_below, new_cnt = below, 0
-        for _, c, mn, mx in hist:
-            if new_lo is None and ranks[0] < cum + c:
-                new_lo, new_below = mn, cum
-            if new_lo is not None:
-                new_cnt += c
-                new_hi = mx
-            cum += c
-            if new_lo is not None and ranks[-1] < cum:
-                break
-        lo, hi, below, cnt = new_lo, new_hi, new_below, new_cnt
-
-
-def exact_quantiles(
-    df: DataFrame,
-    col: str,
-    probs: list[float],
-    weight: str | None = None,
-    max_collect: int = 100_000,
-    bins: int = 2048,
-) -> list[float | None]:
-    """Exact linear-interpolated quantiles of ``col``.
+                below += n
+            if mn == mx:
+                found[k] = (mn, below + n)
+                del todo[k]
+            else:
+                todo[k] = (mn, mx, below)
+    return found, passes
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: list[float], weight: str | None = None, bins: int = 2048) -> list[float | None]:
+    """Exact linear-interpolated quantiles of ``col``; None for an empty input.
 
     ``weight`` (a non-negative integer column) counts each row that many
     times: the quantile of line-level values can be taken on a pre-aggregated
     table of (value, number of lines).
-
-    One pass gets the count, range and an estimate of distinct values; when
-    few distinct values exist, one more pass returns their counts and every
-    quantile is read from them. Otherwise each quantile narrows its own
-    bracket with histogram passes.
     """
     x = _values(df, col, weight)
-    n, lo, hi, nd = x.agg(F.sum("w"), F.min("x"), F.max("x"), F.approx_count_distinct("x", 0.02)).first()
+    n, lo, hi = x.agg(F.sum("w"), F.min("x"), F.max("x")).first()
     if not n:
         return [None for _ in probs]
-    targets = []
-    for p in probs:
-        pos = p * (n - 1)
-        k = int(math.floor(pos))
-        targets.append((k, min(k + 1, n - 1), pos - k))
-    if nd <= max_collect // 2:
-        ranks = sorted({r for k, k1, _ in targets for r in (k, k1)})
-        vals = dict(zip(ranks, _order_stats(x, ranks, n, lo, hi, 2 * max_collect, bins, first_collect=True)))
-    else:
-        vals = {}
-        for k, k1, _ in targets:
-            rs = sorted({k, k1})
-            vals.update(zip(rs, _order_stats(x, rs, n, lo, hi, max_collect, bins)))
-    return [vals[k] + (vals[k1] - vals[k]) * frac for k, k1, frac in targets]
+    at = [p * (n - 1) for p in probs]
+    found, _ = order_statistics(x, sorted({math.floor(a) for a in at}), lo, hi, bins)
+    above = sorted({found[math.floor(a)][0] for a in at if a > math.floor(a) and math.floor(a) + 1 >= found[math.floor(a)][1]})
+    nxt = dict(zip(above, x.agg(*[F.min(F.when(F.col("x") > v, F.col("x"))) for v in above]).first())) if above else {}
+    out = []
+    for a in at:
+        v, upto = found[math.floor(a)]
+        up = nxt[v] if a > math.floor(a) and math.floor(a) + 1 >= upto else v
+        out.append(v + (up - v) * (a - math.floor(a)))
+    return out
 
 
 def exact_quantile(df: DataFrame, col: str, p: float, weight: str | None = None, **kw) -> float | None:
     return exact_quantiles(df, col, [p], weight=weight, **kw)[0]
 
 
-def quantile_cut(df: DataFrame, col: str, p: float, strict: bool, weight_df: DataFrame | None = None,
-                 weight: str | None = None, exact: bool = True) -> tuple[DataFrame, float | None]:
+def quantile_cut(df: DataFrame, col: str, p: float, strict: bool, weight_df: DataFrame | None = None, weight: str | None = None) -> tuple[DataFrame, float | None]:
     """Keep rows with ``col`` below (``strict``) or at most the p-quantile.
 
     The quantile is taken over ``weight_df`` when given (e.g. a pre-aggregated
     table with a line-count ``weight``), else over ``df`` itself. The cut is
     a literal predicate, so it stays inside the scan/codegen stage.
-    ``exact=False`` takes a one-pass ``percentile_approx`` instead.
     """
-    src = weight_df if weight_df is not None else df
-    if exact:
-        q = exact_quantile(src, col, p, weight=weight)
-    else:
-        # one-pass sketch (rank error <= n / 10000); unweighted only
-        q = src.agg(F.percentile_approx(F.col(col).cast("double"), p, 10000)).first()[0]
+    q = exact_quantile(weight_df if weight_df is not None else df, col, p, weight=weight)
     if q is None:
         return df.limit(0), None
     c = F.col(col)

@@ -2,8 +2,10 @@
 
 Rule used throughout: statistics over *fact* rows keyed by client (or any
 key that can be hot) are computed with ``groupBy().agg()`` — partially
-aggregated map-side — and joined back, never with an unbounded window; AQE's
-skew join splits a hot key's partition on the fact side of that join.
+aggregated map-side — and joined back, never with an unbounded window. Where
+a key can be hot the statistics are landed first: both sides of the join are
+then plain exchanges, the only shape whose hot partitions AQE's skew join
+splits (it does not where an aggregate sits on one side).
 Windows are used only where a group is bounded by construction (products of
 one client, weeks of one curve, the distinct code list).
 """
@@ -16,19 +18,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
 def _cols(xs: Sequence[str] | str) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
 
 
-def zscore(df: DataFrame, col: str, keys: Sequence[str] | str, out: str, single: float = 10.0) -> DataFrame:
+def zscore(df: DataFrame, col: str, keys: Sequence[str] | str, out: str, single: float = 10.0, hot: bool = False) -> DataFrame:
     """Group z-score of ``col``: ``single`` if the group has at most one row,
-    0 if its sample standard deviation is 0, else (x - mean) / std."""
+    0 if its sample standard deviation is 0, else (x - mean) / std.
+
+    ``hot``: a key may hold a large part of the rows; lands the statistics
+    (one row a key) so that the join back can split it."""
     keys = _cols(keys)
     st = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_zn"), F.avg(col).alias("_zm"), F.stddev_samp(col).alias("_zs")
     )
-    x = df.join(st, keys, "left")
+    x = df.join(materialize(st, "zstats") if hot else st, keys, "left")
     z = (
         F.when(F.col("_zn") <= 1, F.lit(float(single)))
         .when(F.col("_zs") == 0, F.lit(0.0))
@@ -48,13 +55,6 @@ def band_filter(df: DataFrame, col: str, lo: float | None = None, hi: float | No
     return df.filter(cond)
 
 
-def group_total(df: DataFrame, keys: Sequence[str] | str, col: str, out: str) -> DataFrame:
-    """Attach the group sum of ``col`` to every row (aggregate + join back)."""
-    keys = _cols(keys)
-    t = df.groupBy(*keys).agg(F.sum(col).alias(out))
-    return df.join(t, keys, "left")
-
-
 def first_by(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
     """One row per key: the first in the explicit total ``order``.
 

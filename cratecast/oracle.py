@@ -386,6 +386,12 @@ def _stage_queries(p: PlanParams) -> dict[str, str]:
     q["mix_clean"] = f"""SELECT UNE, ClienteClave, ProductoClave, Fecha, TransProdID, TransProdDetalleID,
         {_dbl(['KgLts_Total', 'Valor_Z'])} FROM mix_clean"""
     q["mix_median"] = f"SELECT UNE, ClienteClave, ProductoClave, {r6('KgLts_Total')} FROM mix_median"
+    q["mix_vectors"] = f"""SELECT c.UNE, c.ClienteClave, CAST(u.idx AS INT) AS idx, {r6('coalesce(m.Porcentaje, 0.0)', 'valor')}
+        FROM (SELECT DISTINCT UNE, ClienteClave FROM mix_long) c
+        JOIN (SELECT UNE, ProductoClave, row_number() OVER (PARTITION BY UNE ORDER BY ProductoClave) - 1 AS idx FROM (SELECT DISTINCT UNE, ProductoClave FROM mix_long)) u ON c.UNE = u.UNE
+        LEFT JOIN mix_long m ON m.UNE = c.UNE AND m.ClienteClave = c.ClienteClave AND m.ProductoClave = u.ProductoClave"""
+    q["split"] = f"""SELECT ClienteClave, Semana, Dia, CASE WHEN b < {p.split_train} THEN 'train' WHEN b < {p.split_train + p.split_val} THEN 'val' ELSE 'test' END AS split
+        FROM (SELECT ClienteClave, Semana, Dia, CAST('0x' || substr(md5(concat_ws('|', ClienteClave, CAST(Semana AS VARCHAR), CAST(Dia AS VARCHAR))), 1, 8) AS BIGINT) % {p.split_buckets} AS b FROM daily)"""
     q["product_mix"] = f"SELECT UNE, ClienteClave, ProductoClave, {r6('Porcentaje')} FROM mix_long"
     q["cluster_mix"] = f"SELECT UNE, ClienteClave, Cluster, ProductoClave, {r6('Porcentaje_kmeans')} FROM cluster_mix"
     q["running_share"] = f"SELECT ClienteClave, ProductoClave, {_dbl(days + ['Porcentaje', 'Agg'])} FROM rs"

@@ -91,18 +91,18 @@ class PlanParams:
     gbt_max_depth: int = 10
     gbt_step: float = 0.1
     gbt_patience: int = 100
+    gbt_block: int = 10             # trees between two looks at the validation error
+    gbt_max_bins: int = 256         # split candidates per feature
     split_buckets: int = 25         # 16 train / 4 validation / 5 test
     split_train: int = 16
     split_val: int = 4
     # result rounding used by the checked outputs
-    out_decimals: int = 6
     iso_year: bool = False
 
     def with_(self, **kw) -> "PlanParams":
         return replace(self, **kw)
 
 
-DEFAULT = PlanParams()
 
 
 def fixture_params(**kw) -> PlanParams:

@@ -9,7 +9,7 @@ which equals the quantile over lines but scans far fewer rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,26 +36,44 @@ def day_totals(s: DataFrame) -> DataFrame:
     )
 
 
-@dataclass
 class CleanStages:
-    sales: DataFrame          # every extracted line, with calendar
-    day_totals: DataFrame     # (client, day, total, lines) before the cut
-    p_value: float | None     # the quantile of the day total over lines
-    p_sales: DataFrame        # lines of client-days strictly below the quantile
-    z_client: DataFrame       # after the client z band
-    clean: DataFrame          # after the (client, product) z band
-
-
-def clean_sales(s: DataFrame, p: PlanParams) -> CleanStages:
-    dt = day_totals(s)
-    q = exact_quantile(dt, "Venta_Total_dia", p.p_cut, weight="n_lines")
-    kept = dt.filter(F.col("Venta_Total_dia") < F.lit(q)).select(CLIENT, DAY, "Venta_Total_dia")
-    p_sales = s.join(kept, [CLIENT, DAY])
-    z1 = zscore(p_sales, "Venta_Total_dia", [CLIENT], "Valor_Z_general", p.z_single)
-    f1 = band_filter(z1, "Valor_Z_general", p.z_lo, p.z_hi)
-    z2 = zscore(f1, "KgLts_Total", [CLIENT, PRODUCT], "Valor_Z_detalle", p.z_single)
-    f2 = band_filter(z2, "Valor_Z_detalle", p.z_lo, p.z_hi)
-    return CleanStages(s, dt, q, p_sales, f1, f2)
+    """The stages of the cleaning; ``land`` (or nothing) cuts the lineage of those read more than once."""
+
+    def __init__(self, s: DataFrame, p: PlanParams, land=None):
+        self.p, self._land = p, land or (lambda df, name: df)
+        self.sales = s                                              # every extracted line, with calendar
+        self.day_totals = self._land(day_totals(s), "day_totals")   # (client, day, total, lines) before the cut
+
+    @cached_property
+    def p_value(self) -> float | None:
+        """The quantile of the day total over lines."""
+        return exact_quantile(self.day_totals, "Venta_Total_dia", self.p.p_cut, weight="n_lines")
+
+    @cached_property
+    def kept_days(self) -> DataFrame:
+        """(client, day, total) strictly below the quantile."""
+        return self.day_totals.filter(F.col("Venta_Total_dia") < F.lit(self.p_value)).select(CLIENT, DAY, "Venta_Total_dia")
+
+    @cached_property
+    def p_sales(self) -> DataFrame:
+        """Lines of the kept days."""
+        return self._land(self.sales.join(self.kept_days, [CLIENT, DAY]), "p_sales")
+
+    @cached_property
+    def z_client(self) -> DataFrame:
+        """After the client z band."""
+        z = zscore(self.p_sales, "Venta_Total_dia", [CLIENT], "Valor_Z_general", self.p.z_single, hot=True)
+        return band_filter(z, "Valor_Z_general", self.p.z_lo, self.p.z_hi)
+
+    @cached_property
+    def clean(self) -> DataFrame:
+        """After the (client, product) z band."""
+        z = zscore(self.z_client, "KgLts_Total", [CLIENT, PRODUCT], "Valor_Z_detalle", self.p.z_single, hot=True)
+        return band_filter(z, "Valor_Z_detalle", self.p.z_lo, self.p.z_hi)
+
+
+def clean_sales(s: DataFrame, p: PlanParams, land=None) -> CleanStages:
+    return CleanStages(s, p, land)
 
 
 def visit_durations(log: DataFrame, p: PlanParams) -> tuple[DataFrame, float | None]:

@@ -55,8 +55,7 @@ def curve_forecast(cold: DataFrame, curves: DataFrame, days: DataFrame, p: PlanP
     """Per planned weekday of each cold client: the curve value of its
     (channel, visits) at the forecast week, divided by its weekly visits."""
     cc = cold.join(curves.filter(F.col("Semana") == p.forecast_week), KEYS)
-    d = days.select("ClienteClave", "Dia").join(cc.select("ClienteClave"), "ClienteClave", "left_semi")
-    x = d.join(cc, "ClienteClave")
+    x = days.select("ClienteClave", "Dia").join(cc, "ClienteClave")
     return x.select(
         "ClienteClave", "EsquemaID", "Semana", "Dia", "Visitas_Semanales",
         (F.col("prediccion") / F.col("Visitas_Semanales")).alias("prediccion"),

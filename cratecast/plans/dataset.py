@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import weeks_between
+from ..functions.calendar import add_calendar
 from ..functions.scalar import band
 from ..operators.quantile import exact_quantiles
 from ..operators.stats import code_rank, distinct_size, first_by, group_mode
@@ -55,7 +56,7 @@ def visit_plan(seq: DataFrame, codes: DataFrame | None = None) -> DataFrame:
 
 def client_weekday_stats(st: CleanStages) -> DataFrame:
     """Mean and median day total per (client, weekday) over the cut days."""
-    days = st.p_sales.select(CLIENT, "Fecha", "Dia", "Venta_Total_dia").distinct()
+    days = add_calendar(st.kept_days, "Fecha", st.p.iso_year)
     return days.groupBy(CLIENT, "Dia").agg(
         F.avg("Venta_Total_dia").alias("Venta_media_por_dia"),
         F.median("Venta_Total_dia").alias("Venta_mediana_por_dia"),
@@ -69,14 +70,11 @@ def daily_dataset(st: CleanStages, visits: DataFrame) -> DataFrame:
     Years are not part of the key (as in the original): the first row of all
     years' same week and weekday is kept.
     """
-    x = st.clean.join(client_weekday_stats(st), [CLIENT, "Dia"], "left").join(
-        visits.select(CLIENT, "Visitas_Semanales"), CLIENT
-    )
-    keep = [
-        "Fecha", "UNE", "Ruta", "EsquemaID", "Mes", "Year", "Venta_Total_dia", "Valor_Z_general",
-        "Valor_Z_detalle", "Venta_media_por_dia", "Venta_mediana_por_dia", "Visitas_Semanales",
-    ]
-    return first_by(x, [CLIENT, "Semana", "Dia"], LINE_ORDER, keep)
+    keep = ["Fecha", "UNE", "Ruta", "EsquemaID", "Mes", "Year", "Venta_Total_dia", "Valor_Z_general", "Valor_Z_detalle"]
+    # reduce first: the joins depend on keys of the result only
+    x = first_by(st.clean, [CLIENT, "Semana", "Dia"], LINE_ORDER, keep)
+    x = x.join(client_weekday_stats(st), [CLIENT, "Dia"], "left").join(visits.select(CLIENT, "Visitas_Semanales"), CLIENT)
+    return x.select(CLIENT, "Semana", "Dia", *keep, "Venta_media_por_dia", "Venta_mediana_por_dia", "Visitas_Semanales")
 
 
 @dataclass

@@ -2,9 +2,10 @@
 
 ``DemandPlan(tables, params)`` exposes each stage as a property; nothing
 runs until a stage (or a scalar it needs: a quantile, the week range) is
-asked for. ``run`` materialises the big intermediate stages with reliable
-checkpoints in the cluster's checkpoint folder, so the loss of an executor
-late in the plan does not replay the whole lineage.
+asked for. ``materialize_stages`` lands what is read more than once (day
+totals, kept lines, the daily set, the weekly forecast) as Parquet tables in
+the cluster's checkpoint folder, so the loss of an executor late in the plan
+does not replay the whole lineage.
 """
 
 from __future__ import annotations
@@ -47,7 +48,8 @@ class DemandPlan:
     # -- extracts ---------------------------------------------------------------------
     @cached_property
     def sales(self) -> DataFrame:
-        return self._m(clean.sales(self.t, self.p), "sales")
+        # lazy: the day totals and the kept lines are landed, not all lines
+        return clean.sales(self.t, self.p)
 
     @cached_property
     def seq(self) -> DataFrame:
@@ -61,11 +63,7 @@ class DemandPlan:
     # -- cleaning ---------------------------------------------------------------------
     @cached_property
     def stages(self) -> clean.CleanStages:
-        st = clean.clean_sales(self.sales, self.p)
-        if self._mat:
-            st.p_sales = self._m(st.p_sales, "p_sales")
-            st.clean = self._m(st.clean, "clean")
-        return st
+        return clean.clean_sales(self.sales, self.p, self._m)
 
     @cached_property
     def client_attrs(self) -> DataFrame:

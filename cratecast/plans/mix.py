@@ -14,8 +14,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scalar import safe_div
-from ..operators.reshape import cut_share, pivot_days
-from ..operators.stats import band_filter, first_by, share_of_total, zscore
+from ..operators.reshape import pivot_days
+from ..operators.stats import band_filter, running_share, share_of_total, zscore
 from ..params import PlanParams
 
 CLIENT, PRODUCT = "ClienteClave", "ProductoClave"
@@ -37,7 +37,7 @@ def day_mix(p_sales: DataFrame, p: PlanParams) -> DataFrame:
 
 def mix_clean(p_sales: DataFrame, p: PlanParams) -> DataFrame:
     """Lines kept for the mix: z of line litres per (unit, client) <= 2."""
-    z = zscore(p_sales, "KgLts_Total", ["UNE", CLIENT], "Valor_Z", p.z_single)
+    z = zscore(p_sales, "KgLts_Total", ["UNE", CLIENT], "Valor_Z", p.z_single, hot=True)
     return band_filter(z, "Valor_Z", hi=p.z_mix)
 
 
@@ -94,11 +94,6 @@ def cluster_centres(mix_long: DataFrame, assign: DataFrame) -> DataFrame:
     )
 
 
-def segment_mix(mix_long: DataFrame, assign: DataFrame) -> DataFrame:
-    """Alias of ``cluster_mix``."""
-    return cluster_mix(mix_long, assign)
-
-
 def cluster_mix(mix_long: DataFrame, assign: DataFrame) -> DataFrame:
     """Recommended mix per client: its cluster's centre (long form)."""
     return assign.join(cluster_centres(mix_long, assign), ["UNE", "Cluster"]).select(
@@ -106,16 +101,23 @@ def cluster_mix(mix_long: DataFrame, assign: DataFrame) -> DataFrame:
     )
 
 
+def with_centres(hist: DataFrame, mix_long: DataFrame, assign: DataFrame) -> DataFrame:
+    """Historical rows with their segment centre's share, null where the
+    product is not in the unit's vector space or the client has no segment."""
+    centres = cluster_centres(mix_long, assign)
+    return hist.join(assign, CLIENT, "left").join(centres, ["UNE", "Cluster", PRODUCT], "left").drop("UNE", "Cluster")
+
+
+def _mixed(p: PlanParams):
+    w = p.blend_weight
+    return F.lit(1.0 - w) * F.col("Porcentaje") + F.lit(w) * F.col("Porcentaje_kmeans")
+
+
 def blended(hist: DataFrame, mix_long: DataFrame, assign: DataFrame, p: PlanParams) -> DataFrame:
     """Historical share blended with the segment centre on the client's
     historical products that exist in its unit's vector space (J11)."""
-    centres = cluster_centres(mix_long, assign)
-    km = hist.select(CLIENT, PRODUCT).join(assign, CLIENT).join(centres, ["UNE", "Cluster", PRODUCT])
-    j = hist.join(km.select(CLIENT, PRODUCT, "Porcentaje_kmeans"), [CLIENT, PRODUCT])
-    w = p.blend_weight
-    return j.withColumn(
-        "Porcentaje", F.lit(1.0 - w) * F.col("Porcentaje") + F.lit(w) * F.col("Porcentaje_kmeans")
-    ).drop("Porcentaje_kmeans")
+    j = with_centres(hist, mix_long, assign).filter(F.col("Porcentaje_kmeans").isNotNull())
+    return j.withColumn("Porcentaje", _mixed(p)).drop("Porcentaje_kmeans")
 
 
 def unblended_clients(hist: DataFrame, joined: DataFrame) -> DataFrame:
@@ -127,16 +129,22 @@ def blend(hist: DataFrame, mix_long: DataFrame, assign: DataFrame, forecast: Dat
     """Blend, then keep products while the running share (largest first) is
     below ``share_cut``; clients left with none keep their top product at
     share 1; kept shares are renormalised to sum 1 (G14, T4). Restricted to
-    clients in the forecast."""
-    j = blended(hist, mix_long, assign, p)
-    allr = j.unionByName(unblended_clients(hist, j))
-    kept, out = cut_share(allr, CLIENT, "Porcentaje", p.share_cut, PRODUCT, p.share_decimals)
-    tot = kept.groupBy(CLIENT).agg(F.sum("Porcentaje").alias("Total"))
-    kept = kept.join(tot, CLIENT).withColumn(
-        "Porcentaje", (F.col("Porcentaje") * 100.0 / F.col("Total")) / 100.0
-    ).drop("Total")
-    cols = [c for c in allr.columns if c not in (CLIENT,)]
-    top = first_by(out.withColumn("_neg", -F.col("Porcentaje")), [CLIENT], ["_neg", PRODUCT], cols)
-    top = top.withColumn("Porcentaje", F.lit(1.0))
-    res = kept.unionByName(top.select(*kept.columns))
-    return res.join(forecast.select(CLIENT).distinct(), CLIENT, "left_semi")
+    clients in the forecast.
+
+    One left join to the centres and one set of windows per client, bounded by
+    the catalogue (times the client's segments). A client without any blended
+    row keeps its historical ones."""
+    x = with_centres(hist, mix_long, assign).join(forecast.select(CLIENT).distinct(), CLIENT, "left_semi")
+    per = W.partitionBy(CLIENT)
+    matched = F.col("Porcentaje_kmeans").isNotNull()
+    x = x.withColumn("_any", F.max(matched).over(per))
+    x = x.withColumn("_again", F.row_number().over(W.partitionBy(CLIENT, PRODUCT).orderBy(F.lit(1))))
+    x = x.filter(F.when(F.col("_any"), matched).otherwise(F.col("_again") == 1))
+    x = x.withColumn("Porcentaje", F.coalesce(_mixed(p), F.col("Porcentaje"))).drop("Porcentaje_kmeans", "_any", "_again")
+    x = running_share(x, CLIENT, "Porcentaje", PRODUCT, "_agg")
+    kept = F.round("_agg", p.share_decimals) < F.lit(p.share_cut)
+    first = F.row_number().over(per.orderBy(F.col("Porcentaje").desc(), F.col(PRODUCT)))
+    x = x.withColumns({"_kept": kept, "_first": first}).withColumn("_total", F.sum(F.when(F.col("_kept"), F.col("Porcentaje"))).over(per))
+    x = x.filter(F.col("_kept") | (F.col("_total").isNull() & (F.col("_first") == 1)))
+    share = F.when(F.col("_kept"), (F.col("Porcentaje") * 100.0 / F.col("_total")) / 100.0).otherwise(F.lit(1.0))
+    return x.withColumn("Porcentaje", share).drop("_agg", "_kept", "_first", "_total")

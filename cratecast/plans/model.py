@@ -3,11 +3,12 @@
 * Features: one-hot (all levels kept; an unseen level is an error) of
   channel, week, month, weekday and band, plus visits per week and the
   weekday mean, assembled into one vector (M1, M2).
-* Split: a repeatable hash of the row key into 25 buckets, 16 train / 4
+* Split: a repeatable hash (MD5) of the row key into 25 buckets, 16 train / 4
   validation / 5 test (M4). ``randomSplit`` depends on partitioning.
-* Model: gradient-boosted trees, squared error (M3); early stopping picks
-  the tree count with the lowest validation error and stops after
-  ``patience`` trees without gain (M5); R2 / MAE / RMSE on test (M6).
+* Model: boosting by trees fitted to the residuals, squared error (M3), in
+  blocks. After each block the validation error of each of its trees is
+  measured; fitting stops ``patience`` trees after the lowest error, and the
+  trees up to it are the model (M5); R2 / MAE / RMSE on test (M6).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import PlanParams
+from ..session import materialize
 
 CATS = ["EsquemaID", "Semana", "Mes", "Dia", "Categoria"]
 NUMS = ["Visitas_Semanales", "Venta_media_por_dia"]
@@ -43,7 +45,8 @@ def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
 
 def hash_split(df: DataFrame, keys: list[str], p: PlanParams) -> DataFrame:
     """Add ``split`` in {train, val, test} from a hash of the row key."""
-    b = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(p.split_buckets))
+    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
+    b = F.pmod(F.conv(F.substring(digest, 1, 8), 16, 10).cast("long"), F.lit(p.split_buckets))
     s = F.when(b < p.split_train, "train").when(b < p.split_train + p.split_val, "val").otherwise("test")
     return df.withColumn("split", s)
 
@@ -68,56 +71,75 @@ def _prep(df: DataFrame) -> DataFrame:
 @dataclass
 class Fitted:
     features: object        # fitted feature PipelineModel
-    model: object           # GBTRegressionModel with the chosen tree count
-    n_trees: int
+    model: object           # GBTRegressionModel of the kept trees
+    base: float             # mean label: the prediction before the first tree
+    n_trees: int            # trees kept
+    errors: list[float]     # validation error after each fitted tree
     metrics: DataFrame      # one row: n, R2, MAE, RMSE on the test split
 
+    def predict(self, x: DataFrame) -> DataFrame:
+        return self.model.transform(x).withColumn("prediction", F.col("prediction") + F.lit(self.base))
+
+
+def _ensemble(spark, trees: list, step: float):
+    """A Spark GBT model of the trees, each weighted by the step."""
+    from pyspark.ml.regression import GBTRegressionModel
+
+    sc = spark.sparkContext
+    ml = sc._jvm.org.apache.spark.ml.regression
+    ts = sc._gateway.new_array(ml.DecisionTreeRegressionModel, len(trees))
+    ws = sc._gateway.new_array(sc._jvm.double, len(trees))
+    for i, t in enumerate(trees):
+        ts[i], ws[i] = t._java_obj, float(step)
+    java = ml.GBTRegressionModel(f"gbt_{len(trees)}_trees", ts, ws)
+    return GBTRegressionModel(java).setFeaturesCol("features").setPredictionCol("prediction")
+
 
 def fit_gbt(daily: DataFrame, p: PlanParams, seed: int = 0) -> Fitted:
-    from pyspark.ml.regression import GBTRegressor
+    from pyspark.ml.regression import DecisionTreeRegressor
 
+    spark = daily.sparkSession
     d = hash_split(_prep(daily), ROW_KEY, p).withColumn(LABEL, F.col(LABEL).cast("double"))
     fm = feature_pipeline().fit(d)
-    x = fm.transform(d).select("features", LABEL, "split").cache()
-    train, val, test = (x.filter(F.col("split") == s) for s in ("train", "val", "test"))
-    gbt = GBTRegressor(
-        featuresCol="features", labelCol=LABEL, maxIter=p.gbt_max_iter, maxDepth=p.gbt_max_depth,
-        stepSize=p.gbt_step, lossType="squared", seed=seed, maxBins=64,
+    x = materialize(fm.transform(d).select("features", LABEL, "split"), "gbt_rows")
+    base = x.filter("split = 'train'").agg(F.avg(LABEL)).first()[0] or 0.0
+    fitter = DecisionTreeRegressor(
+        featuresCol="features", labelCol="_residual", predictionCol="_tree", maxDepth=p.gbt_max_depth, maxBins=p.gbt_max_bins, seed=seed,
     )
-    m = gbt.fit(train)
-    # early stopping by patience on the validation error curve
-    errs = m.evaluateEachIteration(val, "squared")
-    best, best_i, since = float("inf"), 0, 0
-    for i, e in enumerate(errs):
-        if e < best:
-            best, best_i, since = e, i, 0
-        else:
-            since += 1
-            if since >= p.gbt_patience:
-                break
-    n = best_i + 1
-    if n < len(errs):
-        # refit at the best tree count: same data and seed give the same first n trees
-        m = gbt.copy().setMaxIter(n).fit(train)
-    pred = m.transform(test)
-    met = regression_metrics(pred, LABEL, "prediction")
-    return Fitted(fm, m, n, met)
+    now, trees, errors = x.withColumn("_at", F.lit(float(base))), [], []
+    while len(trees) < p.gbt_max_iter and len(errors) - _best(errors) <= p.gbt_patience:
+        curve = []
+        for _ in range(min(p.gbt_block, p.gbt_max_iter - len(trees))):
+            train = now.filter("split = 'train'").withColumn("_residual", F.col(LABEL) - F.col("_at"))
+            trees.append(fitter.fit(train))
+            now = trees[-1].transform(now).withColumn("_at", F.col("_at") + F.lit(p.gbt_step) * F.col("_tree")).drop("_tree")
+            e = F.col(LABEL) - F.col("_at")
+            curve.append(f"_e{len(trees)}")
+            now = now.withColumn(curve[-1], e * e)
+        # one table a block: the trees' predictions are not replayed
+        now = materialize(now, "gbt_block")
+        errors += [r if r is not None else 0.0 for r in now.filter("split = 'val'").agg(*[F.avg(c) for c in curve]).first()]
+        now = now.drop(*curve)
+    n = _best(errors)
+    f = Fitted(fm, _ensemble(spark, trees[:n], p.gbt_step), float(base), n, errors, None)
+    f.metrics = regression_metrics(f.predict(x.filter("split = 'test'")), LABEL, "prediction")
+    return f
+
+
+def _best(errors: list[float]) -> int:
+    """Trees up to the first lowest validation error."""
+    return 1 + min(range(len(errors)), key=lambda i: (errors[i], i)) if errors else 0
 
 
 def score(f: Fitted, warm: DataFrame) -> DataFrame:
     """Predict the warm plan rows (M7); an unseen category fails loudly."""
     x = f.features.transform(_prep(warm))
-    y = f.model.transform(x)
-    return y.select(*[F.col(c) for c in warm.columns], F.col("prediction").alias("prediccion"))
+    y = f.predict(x)
+    # the plan rows keep their column types
+    return y.select(*[F.col(c).cast(warm.schema[c].dataType).alias(c) for c in warm.columns], F.col("prediction").alias("prediccion"))
 
 
 def gbt_forecaster(p: PlanParams, seed: int = 0):
     """A ``DemandPlan`` forecaster: fit on the banded daily set, score warm rows."""
 
-    def run(banded: DataFrame, warm: DataFrame) -> DataFrame:
-        f = fit_gbt(banded, p, seed)
-        out = score(f, warm)
-        # restore the original column types of the plan rows
-        return out.select(*[F.col(c).cast(warm.schema[c].dataType).alias(c) for c in warm.columns], "prediccion")
-
-    return run
+    return lambda banded, warm: score(fit_gbt(banded, p, seed), warm)

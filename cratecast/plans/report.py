@@ -83,17 +83,16 @@ def describe(df: DataFrame, col: str) -> DataFrame:
 def box_stats(df: DataFrame, col: str, stage: str) -> DataFrame:
     """Quartiles, 1.5 IQR fences and the number of points outside them."""
     q1, q2, q3 = exact_quantiles(df, col, [0.25, 0.5, 0.75])
-    iqr = q3 - q1
-    lo, hi = q1 - 1.5 * iqr, q3 + 1.5 * iqr
+    lo, hi = (None, None) if q1 is None else (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
     c = F.col(col)
     return df.agg(
         F.count(c).alias("n"),
         F.min(c).alias("min"),
         F.max(c).alias("max"),
-        F.count(F.when((c < F.lit(lo)) | (c > F.lit(hi)), 1)).alias("n_outliers"),
+        F.count(F.when((c < F.lit(lo).cast("double")) | (c > F.lit(hi).cast("double")), 1)).alias("n_outliers"),
     ).select(
-        F.lit(stage).alias("stage"), "n", "min", F.lit(q1).alias("q1"), F.lit(q2).alias("median"),
-        F.lit(q3).alias("q3"), "max", F.lit(lo).alias("fence_lo"), F.lit(hi).alias("fence_hi"), "n_outliers",
+        F.lit(stage).alias("stage"), "n", "min", F.lit(q1).cast("double").alias("q1"), F.lit(q2).cast("double").alias("median"),
+        F.lit(q3).cast("double").alias("q3"), "max", F.lit(lo).cast("double").alias("fence_lo"), F.lit(hi).cast("double").alias("fence_hi"), "n_outliers",
     )
 
 

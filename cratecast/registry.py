@@ -9,6 +9,7 @@ so that summation order cannot flip a compared digit.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,6 +58,11 @@ def _plan(spark, sf_dir, **kw):
     return DemandPlan(t, p, **kw)
 
 
+def _lazy(spark, sf_dir):
+    """For reports and scalars that read each stage once: nothing is landed."""
+    return _plan(spark, sf_dir, materialize_stages=False)
+
+
 # -- S: sources ----------------------------------------------------------------------
 
 
@@ -179,13 +185,13 @@ def q_visit_durations(spark, sf_dir):
 def q_num_weeks(spark, sf_dir):
     from .functions.calendar import weeks_between
 
-    dp = _plan(spark, sf_dir)
+    dp = _lazy(spark, sf_dir)
     return dp.sales.agg(weeks_between(F.min("Fecha"), F.max("Fecha")).alias("num_semanas"))
 
 
 @register("weekly_visits")
 def q_weekly_visits(spark, sf_dir):
-    return _plan(spark, sf_dir).weekly_visits
+    return _lazy(spark, sf_dir).weekly_visits
 
 
 @register("weekday_codes")
@@ -237,7 +243,7 @@ def q_cold_clients(spark, sf_dir):
 
 @register("client_attrs")
 def q_client_attrs(spark, sf_dir):
-    return _plan(spark, sf_dir).client_attrs
+    return _lazy(spark, sf_dir).client_attrs
 
 
 @register("curve_grid")
@@ -386,21 +392,21 @@ HIST_BINS = 20
 def q_product_share(spark, sf_dir):
     from .plans.report import product_share
 
-    return rnd(product_share(_plan(spark, sf_dir).sales))
+    return rnd(product_share(_lazy(spark, sf_dir).sales))
 
 
 @register("weekly_trend")
 def q_weekly_trend(spark, sf_dir):
     from .plans.report import weekly_trend
 
-    return rnd(weekly_trend(_plan(spark, sf_dir).sales))
+    return rnd(weekly_trend(_lazy(spark, sf_dir).sales))
 
 
 @register("client_weekly")
 def q_client_weekly(spark, sf_dir):
     from .plans.report import client_weekly
 
-    return rnd(client_weekly(_plan(spark, sf_dir).sales, ordered=True))
+    return rnd(client_weekly(_lazy(spark, sf_dir).sales, ordered=True))
 
 
 @register("client_weekly_clean")
@@ -414,14 +420,14 @@ def q_client_weekly_clean(spark, sf_dir):
 def q_client_weekly_hist(spark, sf_dir):
     from .plans.report import client_weekly, histogram
 
-    return rnd(histogram(client_weekly(_plan(spark, sf_dir).sales), "KgLts_Total", HIST_BINS))
+    return rnd(histogram(client_weekly(_lazy(spark, sf_dir).sales), "KgLts_Total", HIST_BINS))
 
 
 @register("describe_weekly")
 def q_describe_weekly(spark, sf_dir):
     from .plans.report import client_weekly, describe
 
-    return rnd(describe(client_weekly(_plan(spark, sf_dir).sales), "KgLts_Total"))
+    return rnd(describe(client_weekly(_lazy(spark, sf_dir).sales), "KgLts_Total"))
 
 
 @register("box_stats")
@@ -440,7 +446,7 @@ def q_box_stats(spark, sf_dir):
 def q_channel_trend(spark, sf_dir):
     from .plans.report import channel_trend
 
-    return rnd(channel_trend(_plan(spark, sf_dir).sales))
+    return rnd(channel_trend(_lazy(spark, sf_dir).sales))
 
 
 @register("parse_dates")
@@ -474,10 +480,31 @@ def q_compare_weekly(spark, sf_dir):
 
 # -- M: models (rows-only checks; no SQL oracle for fitted models) -------------------------
 
-# Check/bench profile of the model parameters: fewer trees and k-means starts
-# than the production defaults (600 trees of depth 10, 10 starts).
-def _model_params(p):
-    return p.with_(gbt_max_iter=20, gbt_max_depth=5, gbt_patience=5, kmeans_seeds=(0, 1, 2), kmeans_max_iter=50)
+@lru_cache(maxsize=4)
+def _fitted(app: str, sf_dir: str) -> tuple:
+    """The plan of a folder with its forecast model and its segments, fitted
+    once per session with the plan's own parameters and shared by the queries below."""
+    from .plans.mix import mix_vectors
+    from .plans.model import fit_gbt, score
+    from .plans.segments import fit_segments
+
+    dp = _plan(SparkSession.getActiveSession(), sf_dir)
+
+    @lru_cache(maxsize=1)
+    def model():
+        return fit_gbt(dp.bands.daily, dp.p)
+
+    @lru_cache(maxsize=1)
+    def segments():
+        return fit_segments(mix_vectors(dp.mix_long), dp.p)
+
+    dp.forecaster = lambda banded, warm: score(model(), warm)
+    dp.segmenter = lambda mix_long, sales: segments().assignments
+    return dp, model, segments
+
+
+def _models(spark, sf_dir):
+    return _fitted(spark.sparkContext.applicationId, sf_dir)
 
 
 @register("features")
@@ -501,66 +528,42 @@ def q_split(spark, sf_dir):
 
 @register("gbt_metrics")
 def q_gbt_metrics(spark, sf_dir):
-    from .plans.model import fit_gbt
-
-    dp = _plan(spark, sf_dir)
-    f = fit_gbt(dp.bands.daily, _model_params(dp.p))
+    f = _models(spark, sf_dir)[1]()
     return f.metrics.withColumn("n_trees", F.lit(f.n_trees))
 
 
 @register("gbt_forecast")
 def q_gbt_forecast(spark, sf_dir):
-    from .plans.model import gbt_forecaster
-
-    dp = _plan(spark, sf_dir)
-    dp.forecaster = gbt_forecaster(_model_params(dp.p))
-    return dp.warm_forecast
+    return _models(spark, sf_dir)[0].warm_forecast
 
 
 @register("mix_vectors")
 def q_mix_vectors(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+
     from .plans.mix import mix_vectors
 
     v = mix_vectors(_plan(spark, sf_dir).mix_long)
-    return v.select("UNE", "ClienteClave", F.col("features").cast("string").alias("features"))
+    return rnd(v.select("UNE", "ClienteClave", F.posexplode(vector_to_array("features")).alias("idx", "valor")))
 
 
 @register("best_k")
 def q_best_k(spark, sf_dir):
-    from .plans.mix import mix_vectors
-    from .plans.segments import fit_segments
-
-    dp = _plan(spark, sf_dir)
-    return fit_segments(mix_vectors(dp.mix_long), _model_params(dp.p)).scores
+    return _models(spark, sf_dir)[2]().scores
 
 
 @register("cluster_assign")
 def q_cluster_assign(spark, sf_dir):
-    from .plans.segments import kmeans_segmenter
-
-    dp = _plan(spark, sf_dir)
-    dp.segmenter = kmeans_segmenter(_model_params(dp.p))
-    return dp.assignments
+    return _models(spark, sf_dir)[0].assignments
 
 
 @register("cluster_mix_kmeans")
 def q_cluster_mix_kmeans(spark, sf_dir):
-    from .plans.segments import kmeans_segmenter
-
-    dp = _plan(spark, sf_dir)
-    dp.segmenter = kmeans_segmenter(_model_params(dp.p))
-    return dp.cluster_mix
+    return _models(spark, sf_dir)[0].cluster_mix
 
 
 @register("route_load_model")
 def q_route_load_model(spark, sf_dir):
     """End to end with the fitted models: GBT forecast for warm clients and
     k-means segments for the mix blend."""
-    from .plans.model import gbt_forecaster
-    from .plans.segments import kmeans_segmenter
-
-    dp = _plan(spark, sf_dir)
-    mp = _model_params(dp.p)
-    dp.forecaster = gbt_forecaster(mp)
-    dp.segmenter = kmeans_segmenter(mp)
-    return rnd(dp.route_load)
+    return rnd(_models(spark, sf_dir)[0].route_load)

@@ -7,6 +7,7 @@ live session.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -61,7 +62,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getCheckpointDir()
     if not d:
-        if not (sc.master or "").startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master or ""):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder before cutting lineage")
         d = tempfile.mkdtemp(prefix="cratecast-ckpt-")
     if sc.getCheckpointDir() is None:

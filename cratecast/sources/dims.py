@@ -5,15 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..params import CHANNELS
 from .schemas import check
 
 
-def dim_channels(spark: SparkSession) -> DataFrame:
-    """The 20 client channels (fixed values in ``params.CHANNELS``)."""
-    return check("dim_channels", spark.createDataFrame(list(CHANNELS), "Id string, Nombre string"))
-
-
 def read_crates(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Pieces per crate by material, from the user's own file.
 
@@ -36,7 +30,8 @@ def write_plan(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tup
 
     Replaces the original spreadsheet export: each unit's rows land in their
     own folder, written in parallel by the executors."""
-    w = df.write.mode("overwrite")
+    # a run for one unit replaces that unit's folder and no other
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
@@ -46,5 +41,5 @@ def write_plan(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tup
 
 def write_series(df: DataFrame, path: str) -> None:
     """A (week, litres) series as CSV with a header (S14). The series has
-    one row per week, so a single output file is written."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    one row per week; it is shuffled into one file, so the stages before it keep their tasks."""
+    df.repartition(1).write.mode("overwrite").option("header", True).csv(path)

@@ -18,8 +18,8 @@ from ..params import PlanParams
 def channel_codes(t, p: PlanParams) -> DataFrame:
     """Client channel rows whose code has exactly 3 characters (trailing
     blanks ignored, as a SQL Server LEN does) and is in the channel list."""
-    cc = t.client_channel
-    return cc.filter((F.length(F.rtrim("EsquemaID")) == 3) & F.col("EsquemaID").isin(list(p.channels)))
+    cc = t.client_channel.withColumn("EsquemaID", F.rtrim("EsquemaID"))
+    return cc.filter((F.length("EsquemaID") == 3) & F.col("EsquemaID").isin(list(p.channels)))
 
 
 def sales_detail(t, p: PlanParams) -> DataFrame:

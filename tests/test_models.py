@@ -7,7 +7,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from cratecast.params import fixture_params
-from cratecast.plans.model import fit_gbt, hash_split
+from cratecast.plans.model import _prep, fit_gbt, hash_split
 from cratecast.plans.segments import fit_segments
 
 
@@ -50,6 +50,23 @@ def test_gbt_beats_mean_on_noiseless_signal(spark):
     m = f.metrics.first()
     assert m.R2 > 0.8
     assert 1 <= f.n_trees <= 15
+    assert len(f.errors) <= 15 and f.errors[f.n_trees - 1] == min(f.errors)
+
+
+def test_gbt_stops_fitting(spark):
+    rnd = random.Random(5)
+    # a label that is noise: the validation error soon rises
+    rows = [(f"c{i}", "D02", 1 + i % 5, 1, i % 3, "Bajo", 1 + i % 4, float(rnd.randint(1, 9)), rnd.random()) for i in range(300)]
+    d = spark.createDataFrame(
+        rows,
+        "ClienteClave string, EsquemaID string, Semana int, Mes int, Dia int, Categoria string, "
+        "Visitas_Semanales long, Venta_media_por_dia double, Venta_Total_dia double",
+    )
+    f = fit_gbt(d, fixture_params(gbt_max_iter=60, gbt_max_depth=4, gbt_patience=3, gbt_block=4))
+    assert len(f.errors) < 60 and f.n_trees < len(f.errors)
+    assert f.errors[f.n_trees - 1] == min(f.errors)
+    x = f.features.transform(_prep(d))
+    assert x.count() == f.predict(x).filter("prediction is not null").count()
 
 
 def test_hash_split_is_repeatable_and_proportional(spark):

@@ -58,8 +58,7 @@ def test_quantile_hand_case(spark):
 )
 def test_quantile_histogram_path_equals_numpy(spark, xs, p):
     df = spark.createDataFrame([(float(v),) for v in xs], "x double")
-    # force the bracket-narrowing path with a tiny collect budget
-    got = exact_quantiles(df, "x", [p], max_collect=4, bins=4)[0]
+    got = exact_quantiles(df, "x", [p], bins=4)[0]
     assert got == pytest.approx(float(np.quantile(np.array(xs, dtype=float), p)), rel=1e-12, abs=1e-9)
 
 
@@ -129,17 +128,42 @@ def test_quantile_with_hot_value(spark):
     xs = [5.0] * 400 + [float(i) for i in range(800)]
     df = spark.createDataFrame([(v,) for v in xs], "x double")
     for p in (0.1, 0.3, 0.5, 0.95):
-        got = exact_quantiles(df, "x", [p], max_collect=16, bins=8)[0]
+        got = exact_quantiles(df, "x", [p], bins=8)[0]
         assert got == pytest.approx(float(np.quantile(np.array(xs), p)))
 
 
-def test_quantile_cut_exact_and_approx(spark):
+def test_quantile_cut(spark):
     from cratecast.operators.quantile import quantile_cut
 
     df = spark.createDataFrame([(float(v),) for v in range(1, 1001)], "x double")
     kept, q = quantile_cut(df, "x", 0.95, strict=True)
     assert q == pytest.approx(950.05)
     assert kept.count() == 950
-    kept2, q2 = quantile_cut(df, "x", 0.95, strict=False, exact=False)
-    assert abs(q2 - 950.05) <= 1.0
-    assert kept2.count() == int(q2)
+    assert quantile_cut(df.limit(0), "x", 0.95, strict=False)[1] is None
+
+
+@pytest.mark.parametrize("xs,most", [
+    ([1.0 + i * 1e-9 for i in range(400)] + [1e9 + i * 1e-3 for i in range(400)], 6),   # two tight groups, rank k at the gap
+    ([float(i) for i in range(500)] + [1e300], 5),                                       # one huge outlier
+    ([-1e308, -1e308, 0.0, 1.0, 1e308], 4),                                              # a range beyond the largest double
+    ([7.0] * 1000 + [8.0], 2),                                                           # a hot value
+])
+def test_quantile_search_ends(spark, xs, most):
+    from cratecast.operators.quantile import _values, order_statistics
+
+    df = spark.createDataFrame([(v,) for v in xs], "x double")
+    s = sorted(xs)
+    ranks = sorted({0, len(s) // 2 - 1, len(s) // 2, len(s) - 1})
+    found, passes = order_statistics(_values(df, "x", None), ranks, s[0], s[-1], bins=16)
+    assert {k: v for k, (v, _) in found.items()} == {k: s[k] for k in ranks}
+    assert all(n == sum(v <= s[k] for v in s) for k, (_, n) in found.items())
+    assert passes <= 3 * most
+    for p in (0.25, 0.5, 0.95):
+        assert exact_quantiles(df, "x", [p])[0] == pytest.approx(float(np.quantile(np.array(xs), p)), rel=1e-12)
+
+
+def test_box_stats_of_nothing(spark):
+    from cratecast.plans.report import box_stats
+
+    r = box_stats(spark.createDataFrame([], "x double"), "x", "none").first()
+    assert r.n == 0 and r.q1 is None and r.fence_hi is None and r.n_outliers == 0

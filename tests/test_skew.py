@@ -1,5 +1,5 @@
-"""A client holding a third of all rows: results equal pandas, and the
-skew-join split of AQE is exercised (thresholds lowered for the test)."""
+"""A client holding a third of all rows: results equal pandas, and AQE splits
+its partition in the join back (thresholds lowered, broadcast off)."""
 
 import random
 
@@ -9,18 +9,32 @@ import pytest
 from cratecast.operators.stats import first_by, zscore
 
 
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_client_zscore_and_first(spark):
     rnd = random.Random(11)
     rows = [("hot", i, float(rnd.randint(1, 50))) for i in range(6000)]
     rows += [(f"c{k}", i, float(rnd.randint(1, 50))) for k in range(200) for i in range(60)]
     pdf = pd.DataFrame(rows, columns=["k", "o", "x"])
     old = {k: spark.conf.get(k) for k in (
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.autoBroadcastJoinThreshold",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled")}
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1KB")
     spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2KB")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         df = spark.createDataFrame(pdf).repartition(16)
-        got = zscore(df, "x", ["k"], "z").toPandas().sort_values(["k", "o"]).reset_index(drop=True)
+        z = zscore(df, "x", ["k"], "z", hot=True)
+        got = z.toPandas().sort_values(["k", "o"]).reset_index(drop=True)
+        assert "skew=true" in final_plan(z)
+        two = zscore(z.filter("z <= 1.75").drop("z"), "x", ["k", "o"], "z", hot=True)  # as the two bands of the cleaning
+        two.collect()
+        assert "skew=true" in final_plan(two)
         exp = pdf.copy()
         exp["z"] = exp.groupby("k")["x"].transform(lambda s: (s - s.mean()) / s.std())
         exp = exp.sort_values(["k", "o"]).reset_index(drop=True)
