@@ -195,9 +195,9 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", te
     twice = land(sums.groupBy("doc").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"), "suffix_twice")
     once = keep_ids(once, twice, "doc", how="left_anti").union(keep_ids(once, twice, "doc").groupBy("doc").agg(F.max("text").alias("text")))
 
-    kept = land(suffixes(once), "suffix_rows")
-    often = land(kept.groupBy("b1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("b1"), "suffix_keys")
-    near = neighbours(keep_ids(kept, often, "b1"))
+    # suffixes are cut twice: most share their first words with no other, and landing them all would take as much disk as the texts
+    often = land(suffixes(once).groupBy("b1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("b1"), "suffix_keys")
+    near = neighbours(land(keep_ids(suffixes(once), often, "b1"), "suffix_rows"))
     # a document's matches with one other: no more than its own kept suffixes
     pairs = land(near.groupBy("doc", "mdoc").agg(F.sort_array(F.collect_set(F.struct("pos", "mpos"))).alias("at")), "suffix_matches")
     ids = land(pairs.select("doc").union(pairs.select("mdoc")).distinct(), "suffix_ids")
