@@ -22,11 +22,12 @@ from . import clean, curves, dataset, load, mix
 
 
 class DemandPlan:
-    def __init__(self, tables, p: PlanParams, forecaster=None, segmenter=None, materialize_stages: bool = False):
+    def __init__(self, tables, p: PlanParams, forecaster=None, segmenter=None, materialize_stages: bool = False, codes: DataFrame | None = None):
         self.t = tables
         self.p = p
         self.forecaster = forecaster    # callable(daily_banded, warm) -> warm with 'prediccion'
         self.segmenter = segmenter      # callable(vectors long form, sales) -> (UNE, ClienteClave, Cluster)
+        self.codes = codes              # (FrecuenciaClave, Dia), or None: by the codes' order
         self._mat = materialize_stages
 
     def _m(self, df: DataFrame, name: str = "stage") -> DataFrame:
@@ -81,11 +82,11 @@ class DemandPlan:
 
     @cached_property
     def plan_days(self) -> DataFrame:
-        return dataset.plan_days(self.seq)
+        return dataset.plan_days(self.seq, self.codes)
 
     @cached_property
     def visit_plan(self) -> DataFrame:
-        return dataset.visit_plan(self.seq)
+        return dataset.visit_plan(self.seq, self.codes)
 
     @cached_property
     def daily(self) -> DataFrame:

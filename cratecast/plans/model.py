@@ -131,8 +131,17 @@ def _best(errors: list[float]) -> int:
     return 1 + min(range(len(errors)), key=lambda i: (errors[i], i)) if errors else 0
 
 
+def unseen(f: Fitted, warm: DataFrame) -> dict[str, list[str]]:
+    """Levels of the plan rows that the features were not fitted on, by column (at most 20 each)."""
+    labels = {m.getInputCol(): list(m.labels) for m in f.features.stages[: len(CATS)]}
+    new = _prep(warm).agg(*[F.slice(F.collect_set(F.when(~F.col(c).isin(labels[c]), F.col(c))), 1, 20).alias(c) for c in CATS]).first()
+    return {c: sorted(new[c]) for c in CATS if new[c]}
+
+
 def score(f: Fitted, warm: DataFrame) -> DataFrame:
-    """Predict the warm plan rows (M7); an unseen category fails loudly."""
+    """Predict the warm plan rows (M7); unseen categories are an error that names them."""
+    if new := unseen(f, warm):
+        raise ValueError(f"plan rows have levels without history: {new}")
     x = f.features.transform(_prep(warm))
     y = f.predict(x)
     # the plan rows keep their column types

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.calendar import week_date
 from ..functions.scalar import half_even
 from ..operators.quantile import exact_quantiles
+from ..sources.extracts import channel_codes
+from ..sources.schemas import SCHEMAS
 from .clean import CleanStages
 
 
@@ -147,3 +149,16 @@ def compare(forecast: DataFrame, actual: DataFrame, key: str = "Semana", value:
         F.sqrt(F.avg(F.col("error") * F.col("error")).over(w)).alias("rmse"),
         F.try_divide((F.sum("forecast").over(w) - F.sum("actual").over(w)) * 100.0, F.sum("actual").over(w)).alias("bias_pct"),
     )
+
+
+def load_checks(t, p, tables: tuple[str, ...] = ("sale_header", "sale_line", "client_channel", "warehouse", "sequence", "visit")) -> DataFrame:
+    """What to look at after a load: (check, n) rows with the number of nulls
+    in each non-nullable column, and of clients in more than one channel."""
+    out = None
+    for name in tables:
+        keys = [f.name for f in SCHEMAS[name].fields if not f.nullable]
+        one = getattr(t, name).agg(*[F.count_if(F.col(k).isNull()).alias(k) for k in keys])
+        one = one.unpivot([], keys, "check", "n").withColumn("check", F.concat(F.lit(f"{name}."), "check"))
+        out = one if out is None else out.unionByName(one)
+    twice = channel_codes(t, p).groupBy("ClienteClave").agg(F.count_distinct("EsquemaID").alias("k")).filter("k > 1")
+    return out.unionByName(twice.agg(F.count(F.lit(1)).alias("n")).select(F.lit("clients in several channels").alias("check"), "n"))

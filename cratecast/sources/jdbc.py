@@ -1,11 +1,12 @@
 """Relational source (S1): the domain tables read over JDBC.
 
 The original pulled whole query results into one process over ODBC. Here
-each table is a Spark JDBC relation read in parallel slices of a numeric
-column (``partitionColumn`` / bounds / ``numPartitions``); Spark pushes the
-plan's filters and column lists into the generated SQL. For repeated use,
-``land`` writes every table once to Parquet (sales partitioned by date
-month) and ``ParquetTables`` reads them back with partition pruning.
+each table is a Spark JDBC relation read in parallel slices of a numeric, date
+or timestamp column (``partitionColumn`` / bounds / ``numPartitions``); Spark
+pushes the plan's filters and column lists into the generated SQL. For repeated
+use, ``land`` writes every table once to Parquet (sale headers and visits
+partitioned by day) and ``ParquetTables`` reads them back: a filter on
+``DiaClave`` reads only those days' folders.
 
 Credentials come only from Spark conf / the caller, never from code.
 """
@@ -36,12 +37,20 @@ SOURCE_NAMES = {
 
 @dataclass
 class Slicing:
+    """Bounds are numbers, or dates / timestamps in ISO form, as the column is."""
+
     column: str
-    lower: int
-    upper: int
+    lower: int | str
+    upper: int | str
     partitions: int
 
 
+#: Tables too large for one connection: reading them unsliced is an error.
+SLICED = ("sale_line",)
+#: Landed by day; filters on the column prune folders.
+BY_DAY = ("sale_header", "visit")
+
+
 @dataclass
 class JdbcTables:
     """Domain tables backed by JDBC relations (lazy)."""
@@ -50,17 +59,20 @@ class JdbcTables:
     url: str
     options: dict = field(default_factory=dict)          # user, password, driver, fetchsize ...
     slicing: dict[str, Slicing] = field(default_factory=dict)
+    crates: DataFrame | None = None                       # see sources.dims.read_crates
 
     def _read(self, name: str) -> DataFrame:
         r = self.spark.read.format("jdbc").option("url", self.url).option("dbtable", SOURCE_NAMES[name])
         for k, v in self.options.items():
             r = r.option(k, v)
         s = self.slicing.get(name)
+        if s is None and name in SLICED:
+            raise ValueError(f"{name}: give a Slicing (e.g. on its timestamp MFechaHora); one connection cannot carry it")
         if s is not None:
             r = (
                 r.option("partitionColumn", s.column)
-                .option("lowerBound", s.lower)
-                .option("upperBound", s.upper)
+                .option("lowerBound", str(s.lower))
+                .option("upperBound", str(s.upper))
                 .option("numPartitions", s.partitions)
             )
         df = r.load()
@@ -70,18 +82,23 @@ class JdbcTables:
     def __getattr__(self, name: str) -> DataFrame:
         if name in SOURCE_NAMES:
             return self._read(name)
+        if name == "dim_crates":
+            if self.crates is None:
+                raise AttributeError("dim_crates: pass the crate table as crates (see sources.dims.read_crates)")
+            return self.crates
         raise AttributeError(name)
 
 
 def land(tables, path: str) -> None:
     """Write every domain table once to Parquet under ``path``; sale headers
-    are partitioned by month so date filters prune files."""
+    and visits by day. A day's rows are spread over up to 8 files, so that a
+    large day is not one task."""
     for name in SOURCE_NAMES:
         df = getattr(tables, name)
-        w = df.write.mode("overwrite")
-        if name == "sale_header":
-            df = df.withColumn("mes_particion", F.date_format("DiaClave", "yyyy-MM"))
-            w = df.write.mode("overwrite").partitionBy("mes_particion")
+        if name in BY_DAY:
+            w = df.repartition("DiaClave", (F.rand(0) * 8).cast("int")).write.mode("overwrite").partitionBy("DiaClave")
+        else:
+            w = df.write.mode("overwrite")
         w.parquet(f"{path.rstrip('/')}/{name}")
 
 
@@ -97,6 +114,6 @@ class ParquetTables:
                 raise AttributeError("dim_crates: pass the crate table (see sources.dims.read_crates)")
             return self._crates
         if name in SOURCE_NAMES:
-            df = self.spark.read.parquet(f"{self.path}/{name}")
-            return check(name, df.drop("mes_particion") if "mes_particion" in df.columns else df)
+            # the schema is given: the day in the folder's name is a date
+            return check(name, self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}"))
         raise AttributeError(name)

@@ -50,8 +50,7 @@ def check(name: str, df: DataFrame) -> DataFrame:
     """Assert column names and types of a domain table; reorder columns.
 
     Nullability is not compared (Parquet readers mark everything nullable);
-    key columns are asserted non-null lazily by the operators that join on
-    them.
+    ``plans.report.load_checks`` counts the nulls of the non-nullable columns.
     """
     want = SCHEMAS[name]
     have = {f.name: f.dataType for f in df.schema.fields}

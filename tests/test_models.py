@@ -7,7 +7,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from cratecast.params import fixture_params
-from cratecast.plans.model import _prep, fit_gbt, hash_split
+from cratecast.plans.model import _prep, fit_gbt, hash_split, score
 from cratecast.plans.segments import fit_segments
 
 
@@ -65,6 +65,8 @@ def test_gbt_stops_fitting(spark):
     f = fit_gbt(d, fixture_params(gbt_max_iter=60, gbt_max_depth=4, gbt_patience=3, gbt_block=4))
     assert len(f.errors) < 60 and f.n_trees < len(f.errors)
     assert f.errors[f.n_trees - 1] == min(f.errors)
+    with pytest.raises(ValueError, match="Semana.*99"):
+        score(f, d.withColumn("Semana", F.lit(99)))
     x = f.features.transform(_prep(d))
     assert x.count() == f.predict(x).filter("prediction is not null").count()
 
