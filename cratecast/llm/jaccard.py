@@ -7,7 +7,7 @@ hashes), so documents meet under these shingles: the top of the tree, dealt out
 by Spark. Under a shingle, documents are first linked to the smallest of them,
 which settles groups of copies with one comparison a document. Where a
 shingle's documents are not all in one component after that, up to ``LEAF`` of
-them are a leaf, whose documents are compared if their sizes allow; over more, a
+them are a leaf, whose documents are compared if sizes and places allow; over more, a
 signature tree is built: nodes hold OR-combined token bitmaps and size ranges, and a
 dual traversal prunes pairs of nodes whose largest possible overlap is too
 small. Pairs of documents that stay are verified on their whole texts.
@@ -34,7 +34,7 @@ from .components import components
 from .words import mix, text_shingles
 
 N, PERCENT = 4, 85
-LEAF, CHUNK, FAN, FRONTIER = 32, 1024, 8, 1 << 13
+LEAF, CHUNK, FAN, FRONTIER = 96, 4096, 8, 1 << 13
 _U = np.uint64
 
 
@@ -216,13 +216,13 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
     if not twice.isEmpty():
         once = keep_ids(reps, twice, "doc").groupBy("doc").agg(F.min(F.struct("size", "bits", "odd", "prefix")).alias("o")).select("doc", "o.*")
         reps = land(keep_ids(reps, twice, "doc", how="left_anti").union(once), "jac_reps")
-    under = reps.select("doc", F.col("size").cast("int").alias("size"), F.explode("prefix").alias("tok"))
+    under = reps.select("doc", F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("at", "tok"))
     shared = land(under.groupBy("tok").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("hub")).where("n > 1"), "jac_shared")
-    met = land(under.join(shared, "tok").select("tok", "doc", "size", "hub"), "jac_met")
+    met = land(under.join(shared, "tok").select("tok", "doc", "size", "at", "hub"), "jac_met")
     links = _verified(met.where("doc <> hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), rows, reps, n, percent)
 
     comp = land(components(links), "jac_comp").withColumnRenamed("node", "doc")
-    met = land(met.join(comp, "doc", "left").select("tok", "doc", "size", F.coalesce("comp", "doc").alias("comp")), "jac_now")
+    met = land(met.join(comp, "doc", "left").select("tok", "doc", "size", "at", F.coalesce("comp", "doc").alias("comp")), "jac_now")
     # shingles with the same documents are one; settled ones need no more, and of two documents one is the hub
     same = F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("h1"), F.sum(F.hash("doc").cast("long")).alias("h2")
     open_ = met.groupBy("tok").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), *same).where("c0 < c1 and n > 2")
@@ -230,11 +230,15 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
     small = met.join(open_.where(F.col("n") <= LEAF).select("tok"), "tok")
     x, y = small.alias("x"), small.alias("y")
     near = (F.col("x.doc") < F.col("y.doc")) & (F.col("x.comp") != F.col("y.comp")) & (100 * F.col("x.size") >= percent * F.col("y.size")) & (100 * F.col("y.size") >= percent * F.col("x.size"))
+    # under the first shingle that two documents share, all before it differ, and so does what one has more after it
+    before, rest = F.col("x.at") + F.col("y.at"), F.abs((F.col("x.size") - F.col("x.at")) - (F.col("y.size") - F.col("y.at")))
+    both = F.col("x.size") + F.col("y.size")
+    near &= before + rest <= both - 2 * F.ceil(percent * both / (100 + percent) - 1e-9)
     leaves = x.join(y, (F.col("x.tok") == F.col("y.tok")) & near).select(F.col("x.doc").alias("a"), F.col("y.doc").alias("b"))
 
     # documents of sizes in ratio percent / 100 lie in one band or two adjacent ones; up to a chunk of documents are one band
     band = F.when(F.col("n") <= chunk, 0).otherwise(F.floor(F.log("size") / float(np.log(100 / percent)) + 1e-9)).cast("int")
-    inside = land(met.join(open_.where(F.col("n") > LEAF), "tok").withColumn("band", band).drop("n"), "jac_inside")
+    inside = land(met.join(open_.where(F.col("n") > LEAF), "tok").withColumn("band", band).drop("n", "at"), "jac_inside")
     per = land(inside.groupBy("tok", "band").agg(F.count(F.lit(1)).alias("m")), "jac_bands")
     # pairs lie within a band or between a band and the next; chunks of the two sides meet pairwise
     meets = per.join(per.select("tok", (F.col("band") - 1).alias("band"), F.col("m").alias("up")), ["tok", "band"], "left")
