@@ -9,6 +9,12 @@ kept suffixes are sorted over the whole cluster by their next words (hashes of
 spreads over many partitions. A suffix and its neighbour that agree in the first
 32 words match; matches are extended word by word to the left and the right on
 whole texts.
+
+A neighbour need not be the text with the longest match on the left. So where
+three or more suffixes share 32 words, the windows of min_words words about them
+that no match covers yet are looked up by their hashes among the windows at the
+same places of the other texts, and what is found is extended alike: no window
+of min_words words that occurs again stays uncovered.
 """
 
 from __future__ import annotations
@@ -160,6 +166,75 @@ def _extended(h: np.ndarray, g: np.ndarray, at: list[tuple[int, int]], least: in
     return out
 
 
+def _uncovered(pos: np.ndarray, seen: np.ndarray, least: int) -> np.ndarray:
+    """For each suffix the offsets o < WINDOW, as bits, whose window [pos - o, pos - o + least) no passage (start, end) holds."""
+    a = pos[:, None] - np.arange(WINDOW)
+    free = a >= 0
+    if len(seen):
+        seen = seen[np.argsort(seen[:, 0], kind="stable")]
+        reach = np.maximum.accumulate(seen[:, 1])
+        k = np.searchsorted(seen[:, 0], a, side="right") - 1
+        free &= (k < 0) | (reach[k] < a + least)
+    return (free << np.arange(WINDOW)).sum(axis=1)
+
+
+def _windows(h: np.ndarray, at: list[tuple[int, int, int]], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, start, whether uncovered) of the windows of one text asked for: at has (pos, offsets, uncovered offsets).
+
+    Of windows that one repeated word fills only the first of its run counts.
+    """
+    if len(h) < least:
+        return np.empty(0, _U), np.empty(0, np.int64), np.empty(0, bool)
+    g = mix(_grams(h, least)[: len(h) - least + 1])
+    x = np.array(at, dtype=np.int64)
+    bit = np.arange(WINDOW)
+    a, want, free = x[:, :1] - bit, (x[:, 1:2] >> bit) & 1 == 1, (x[:, 2:] >> bit) & 1 == 1
+    want &= (a >= 0) & (a < len(g))
+    starts, of = np.unique(a[want], return_inverse=True)
+    open_ = np.zeros(len(starts), dtype=bool)
+    np.logical_or.at(open_, of, free[want])
+    first = (starts == 0) | (g[starts] != g[starts - 1])
+    return g[starts[first]], starts[first], open_[first]
+
+
+def overlooked(kept: DataFrame, parts: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
+    """(doc, pos, mdoc, mpos): places of the windows of min_words words that occur again and that parts does not cover.
+
+    kept: doc, pos, b1 of the suffixes whose first words three or more share;
+    parts: doc, start, n_words; texts: doc, text. The mate is the smallest
+    other place of the window. A document's lists are bounded by its own suffixes.
+    """
+    lists = kept.groupBy("doc").agg(F.collect_list(F.struct("pos", "b1")).alias("at"))
+    seen = parts.groupBy("doc").agg(F.collect_list(F.struct("start", (F.col("start") + F.col("n_words")).alias("end"))).alias("seen"))
+
+    def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for doc, at, old in zip(b["doc"], b["at"], b["seen"]):
+                pos = np.array([r["pos"] for r in at], dtype=np.int64)
+                old = np.array([(r["start"], r["end"]) for r in old] if old is not None else [], dtype=np.int64).reshape(-1, 2)
+                yield pd.DataFrame({"doc": doc, "pos": pos, "b1": [r["b1"] for r in at], "own": _uncovered(pos, old, min_words)})
+
+    marks = lists.join(seen, "doc", "left").select("doc", "at", "seen").mapInPandas(mark, "doc long, pos int, b1 long, own int")
+    marks = land(marks, "suffix_marks")
+    asked = land(marks.groupBy("b1").agg(F.bit_or("own").alias("asked")).where("asked <> 0"), "suffix_asked")
+    asked = marks.join(asked, "b1").groupBy("doc").agg(F.collect_list(F.struct("pos", "asked", "own")).alias("at"))
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for doc, at, text in zip(b["doc"], b["at"], b["text"]):
+                h = word_hashes([text.encode("utf-8", "surrogatepass")])[0]
+                g, starts, open_ = _windows(h, [(r["pos"], r["asked"], r["own"]) for r in at], min_words)
+                yield pd.DataFrame({"key": g.view(np.int64), "doc": doc, "pos": starts, "open": open_})
+
+    found = land(asked.join(texts, "doc").select("doc", "at", "text").mapInPandas(cut, "key long, doc long, pos int, open boolean"), "suffix_windows")
+    again = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("open").cast("int")).alias("any")).where("n > 1 and any = 1").select("key")
+    found = land(keep_ids(found, land(again, "suffix_again"), "key"), "suffix_found")
+    place = F.struct("doc", "pos")
+    ends = land(found.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi")), "suffix_ends")
+    mates = found.where("open").join(ends, "key").withColumn("mate", F.when(F.col("lo") == place, F.col("hi")).otherwise(F.col("lo")))
+    return mates.select("doc", "pos", F.col("mate.doc").alias("mdoc"), F.col("mate.pos").alias("mpos"))
+
+
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, start, n_words, match_doc_id, match_start, n_copies of the passages that occur again.
 
@@ -196,13 +271,16 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", te
     once = keep_ids(once, twice, "doc", how="left_anti").union(keep_ids(once, twice, "doc").groupBy("doc").agg(F.max("text").alias("text")))
 
     # suffixes are cut twice: most share their first words with no other, and landing them all would take as much disk as the texts
-    often = land(suffixes(once).groupBy("b1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("b1"), "suffix_keys")
-    near = neighbours(land(keep_ids(suffixes(once), often, "b1"), "suffix_rows"))
-    # a document's matches with one other: no more than its own kept suffixes
-    pairs = land(near.groupBy("doc", "mdoc").agg(F.sort_array(F.collect_set(F.struct("pos", "mpos"))).alias("at")), "suffix_matches")
+    often = land(suffixes(once).groupBy("b1").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix_keys")
+    kept = land(keep_ids(suffixes(once), often.select("b1"), "b1"), "suffix_rows")
+
+    def matches(near: DataFrame, name: str) -> DataFrame:
+        """A document's matches with one other, one row: no more than its own kept suffixes, or windows about them."""
+        return land(near.groupBy("doc", "mdoc").agg(F.sort_array(F.collect_set(F.struct("pos", "mpos"))).alias("at")), name)
+
+    pairs = matches(neighbours(kept), "suffix_matches")
     ids = land(pairs.select("doc").union(pairs.select("mdoc")).distinct(), "suffix_ids")
     texts = land(keep_ids(once, ids, "doc").groupBy("doc").agg(F.max("text").alias("text")), "suffix_texts")
-    both = pairs.join(texts, "doc").join(texts.select(F.col("doc").alias("mdoc"), F.col("text").alias("mtext")), "mdoc")
 
     def extend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -215,7 +293,13 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", te
             if out:
                 yield pd.DataFrame(out, columns=["doc", "start", "n_words", "mdoc", "mstart"])
 
-    parts = both.select("doc", "mdoc", "at", "text", "mtext").mapInPandas(extend, "doc long, start int, n_words int, mdoc long, mstart int")
+    def extended(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(texts, "doc").join(texts.select(F.col("doc").alias("mdoc"), F.col("text").alias("mtext")), "mdoc")
+        return both.select("doc", "mdoc", "at", "text", "mtext").mapInPandas(extend, "doc long, start int, n_words int, mdoc long, mstart int")
+
+    parts = land(extended(pairs), "suffix_parts")
+    many = keep_ids(kept, often.where("n > 2").select("b1"), "b1").select("doc", "pos", "b1")
+    parts = parts.union(extended(matches(overlooked(many, parts, texts, min_words), "suffix_overlooked")))
     parts = parts.join(reps.select(F.col("rep").alias("doc"), "copies"), "doc")
     out = whole.select("doc", "start", "n_words", "mdoc", "mstart", "copies").union(parts.select("doc", "start", "n_words", "mdoc", "mstart", "copies"))
     return out.select(F.col("doc").alias("doc_id"), "start", "n_words", F.col("mdoc").alias("match_doc_id"), F.col("mstart").alias("match_start"), F.col("copies").alias("n_copies"))

@@ -115,6 +115,36 @@ def test_suffix_repeats(frame):
         repeats(frame([], SCHEMA), min_words=20)
 
 
+def test_suffix_no_repeated_window_stays_uncovered(frame):
+    rng = random.Random(11)
+    vocabulary = ["v%d" % i for i in range(500)]
+    draw = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    texts = []
+    for _ in range(6):
+        # texts share 40 words with all, and what is before or after them with one other
+        core, tails = draw(40), [draw(30) for _ in range(4)]
+        for head in (draw(30) for _ in range(6)):
+            for _ in range(2):
+                texts.append(" ".join(draw(20) + head[rng.randrange(10, 22) :] + core + rng.choice(tails)[: rng.randrange(12)] + draw(20)))
+    texts += ["q " * 300, "q " * 200 + "z"]
+    where = {}
+    for d, t in enumerate(texts):
+        w = words(t)
+        for i in range(len(w) - 49):
+            where.setdefault(tuple(w[i : i + 50]), []).append((d, i))
+    rows = repeats(frame(documents(texts), SCHEMA)).collect()
+    assert len(rows) == len(set(rows))
+    covered = {}
+    for r in rows:
+        w, o = words(texts[r["doc_id"]]), words(texts[r["match_doc_id"]])
+        assert r["n_words"] >= 50 and w[r["start"] : r["start"] + r["n_words"]] == o[r["match_start"] : r["match_start"] + r["n_words"]]
+        covered.setdefault(r["doc_id"], []).append((r["start"], r["start"] + r["n_words"]))
+    again = [(d, i) for window, at in where.items() if len(at) > 1 and len(set(window)) > 1 for d, i in at]
+    assert len(again) > 50
+    assert [x for x in again if not any(a <= x[1] and x[1] + 50 <= b for a, b in covered.get(x[0], []))] == []
+    assert {r["match_doc_id"] for r in rows if r["doc_id"] == len(texts) - 2} == {len(texts) - 1}
+
+
 def test_suffix_one_passage_in_every_document(frame):
     rng = random.Random(4)
     fresh = lambda n: ["y%d" % rng.randrange(10**9) for _ in range(n)]
