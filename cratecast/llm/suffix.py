@@ -57,24 +57,35 @@ def _slide(x: np.ndarray, n: int, pick) -> np.ndarray:
     return x
 
 
-def minimisers(h: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> np.ndarray:
-    """Positions of one text's kept suffixes. In a run of one repeated gram only its first position competes."""
+def minimisers(h: np.ndarray, gram: int = GRAM, window: int = WINDOW, least: int = MIN_WORDS) -> np.ndarray:
+    """Positions of one text's kept suffixes.
+
+    In a run of one repeated gram only the first position competes. Kept beside
+    the least hashes are the last position of a run and those whole windows
+    before it, so that a match of ``least`` words that begins within a run and
+    goes on after it has a suffix in its first window too.
+    """
     m = len(h) - gram + 1
     if m < 1:
         return np.empty(0, dtype=np.int64)
     g = mix(_grams(h, gram)[:m])
     same = np.zeros(m, dtype=bool)
     same[1:] = g[1:] == g[:-1]
+    starts, lasts = np.flatnonzero(same & ~np.concatenate(([False], same[:-1]))), np.flatnonzero(same & ~np.concatenate((same[1:], [False])))
+    back = lasts[:, None] - np.arange(0, max(least - gram, 1), window)
+    ends = back[back >= starts[:, None]]
     g = np.where(same, _U(np.iinfo(np.uint64).max), g)
     if m < window:
-        return np.flatnonzero((g == g.min()) & ~same)
-    low = _slide(g, window, np.minimum)
-    pad = np.zeros(window - 1, dtype=_U)
-    best = _slide(np.concatenate((pad, low, pad)), window, np.maximum)
-    return np.flatnonzero((g == best) & ~same)
+        kept = np.flatnonzero((g == g.min()) & ~same)
+    else:
+        low = _slide(g, window, np.minimum)
+        pad = np.zeros(window - 1, dtype=_U)
+        best = _slide(np.concatenate((pad, low, pad)), window, np.maximum)
+        kept = np.flatnonzero((g == best) & ~same)
+    return np.union1d(kept, ends) if len(ends) else kept
 
 
-def suffixes(docs: DataFrame) -> DataFrame:
+def suffixes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(b1, b2, b3, doc, pos) of the kept suffixes. docs: doc, text."""
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -83,7 +94,7 @@ def suffixes(docs: DataFrame) -> DataFrame:
             for a, part in slices(b["text"].tolist()):
                 h, first, _, _ = word_hashes(part)
                 ends = first[1:]
-                keep = [minimisers(h[s:e]) + s for s, e in zip(first[:-1].tolist(), ends.tolist())]
+                keep = [minimisers(h[s:e], least=min_words) + s for s, e in zip(first[:-1].tolist(), ends.tolist())]
                 of = np.repeat(np.arange(len(part)), [len(k) for k in keep])
                 pos = np.concatenate(keep) if keep else np.empty(0, np.int64)
                 cols, at = [], 0
@@ -161,7 +172,7 @@ def _extended(h: np.ndarray, g: np.ndarray, at: list[tuple[int, int]], least: in
         differ = np.flatnonzero(h[p - m : p][::-1] != g[q - m : q][::-1])
         left = int(differ[0]) if len(differ) else m
         done[p - q] = p + right
-        if left + right >= least and not (same_doc and p == q):
+        if left + right >= least and not (same_doc and (p == q or (h[p - left : p + right] == h[p]).all())):
             out.append((p - left, left + right, q - left))
     return out
 
@@ -271,8 +282,8 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", te
     once = keep_ids(once, twice, "doc", how="left_anti").union(keep_ids(once, twice, "doc").groupBy("doc").agg(F.max("text").alias("text")))
 
     # suffixes are cut twice: most share their first words with no other, and landing them all would take as much disk as the texts
-    often = land(suffixes(once).groupBy("b1").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix_keys")
-    kept = land(keep_ids(suffixes(once), often.select("b1"), "b1"), "suffix_rows")
+    often = land(suffixes(once, min_words).groupBy("b1").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix_keys")
+    kept = land(keep_ids(suffixes(once, min_words), often.select("b1"), "b1"), "suffix_rows")
 
     def matches(near: DataFrame, name: str) -> DataFrame:
         """A document's matches with one other, one row: no more than its own kept suffixes, or windows about them."""

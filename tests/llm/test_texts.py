@@ -127,6 +127,9 @@ def test_suffix_no_repeated_window_stays_uncovered(frame):
             for _ in range(2):
                 texts.append(" ".join(draw(20) + head[rng.randrange(10, 22) :] + core + rng.choice(tails)[: rng.randrange(12)] + draw(20)))
     texts += ["q " * 300, "q " * 200 + "z"]
+    # a passage that begins within a run and goes on after it
+    after = draw(20)
+    texts[:0] = [" ".join(draw(9) + ["r"] * k + after[:n] + draw(30)) for k, n in ((30, 20), (60, 20), (45, 8), (90, 8), (41, 12))]
     where = {}
     for d, t in enumerate(texts):
         w = words(t)
