@@ -14,7 +14,8 @@ A neighbour need not be the text with the longest match on the left. So where
 three or more suffixes share 32 words, the windows of min_words words about them
 that no match covers yet are looked up by their hashes among the windows at the
 same places of the other texts, and what is found is extended alike: no window
-of min_words words that occurs again stays uncovered.
+of min_words words that occurs again stays uncovered, but for those that one
+repeated word fills: a run is no match of itself.
 """
 
 from __future__ import annotations
