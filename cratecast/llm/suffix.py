@@ -209,6 +209,11 @@ def _windows(h: np.ndarray, at: list[tuple[int, int, int]], least: int) -> tuple
     return g[starts[first]], starts[first], open_[first]
 
 
+def _frame(parts: list[tuple[np.ndarray, ...]], names: list[str]) -> pd.DataFrame:
+    """One frame of the columns that each document of a batch gave."""
+    return pd.DataFrame({k: np.concatenate(c) for k, c in zip(names, zip(*parts))} if parts else {k: [] for k in names})
+
+
 def overlooked(kept: DataFrame, parts: DataFrame, texts: DataFrame, min_words: int) -> DataFrame:
     """(doc, pos, mdoc, mpos): places of the windows of min_words words that occur again and that parts does not cover.
 
@@ -221,10 +226,12 @@ def overlooked(kept: DataFrame, parts: DataFrame, texts: DataFrame, min_words: i
 
     def mark(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            out = []
             for doc, at, old in zip(b["doc"], b["at"], b["seen"]):
                 pos = np.array([r["pos"] for r in at], dtype=np.int64)
                 old = np.array([(r["start"], r["end"]) for r in old] if old is not None else [], dtype=np.int64).reshape(-1, 2)
-                yield pd.DataFrame({"doc": doc, "pos": pos, "b1": [r["b1"] for r in at], "own": _uncovered(pos, old, min_words)})
+                out.append((np.full(len(pos), doc), pos, np.array([r["b1"] for r in at], dtype=np.int64), _uncovered(pos, old, min_words)))
+            yield _frame(out, ["doc", "pos", "b1", "own"])
 
     marks = lists.join(seen, "doc", "left").select("doc", "at", "seen").mapInPandas(mark, "doc long, pos int, b1 long, own int")
     marks = land(marks, "suffix_marks")
@@ -233,10 +240,12 @@ def overlooked(kept: DataFrame, parts: DataFrame, texts: DataFrame, min_words: i
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
+            out = []
             for doc, at, text in zip(b["doc"], b["at"], b["text"]):
                 h = word_hashes([text.encode("utf-8", "surrogatepass")])[0]
                 g, starts, open_ = _windows(h, [(r["pos"], r["asked"], r["own"]) for r in at], min_words)
-                yield pd.DataFrame({"key": g.view(np.int64), "doc": doc, "pos": starts, "open": open_})
+                out.append((g.view(np.int64), np.full(len(g), doc), starts, open_))
+            yield _frame(out, ["key", "doc", "pos", "open"])
 
     found = land(asked.join(texts, "doc").select("doc", "at", "text").mapInPandas(cut, "key long, doc long, pos int, open boolean"), "suffix_windows")
     again = found.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("open").cast("int")).alias("any")).where("n > 1 and any = 1").select("key")
