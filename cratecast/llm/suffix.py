@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import python_workers, keep_ids, land
+from .common import broadcast_checked, python_workers, keep_ids, land
 from .words import mix, slices, word_hashes
 
 MIN_WORDS = 50
@@ -284,7 +284,9 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, key: str = "doc_id", te
     whole_of = land(sums.join(cls.where("copies > 1"), ["d", "n"]).select("doc", "rep", "copies"), "suffix_copies")
     # each copy's words, counted on the class's text
     length = keep_ids(rows.withColumnRenamed("doc", "rep"), copied.select("rep"), "rep").groupBy("rep").agg(F.max(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+"))).alias("words"))
-    whole = whole_of.join(copied.select("rep", "other"), "rep").join(length, "rep").where(F.col("words") >= min_words)
+    # one row a class, so that the copies of a large class need not meet in one task
+    classes = land(copied.select("rep", "other").join(length.where(F.col("words") >= min_words), "rep"), "suffix_copied")
+    whole = whole_of.join(broadcast_checked(classes), "rep")
     whole = whole.select("doc", F.lit(0).alias("start"), F.col("words").cast("int").alias("n_words"), F.when(F.col("doc") != F.col("rep"), F.col("rep")).otherwise(F.coalesce("other", "rep")).alias("mdoc"), F.lit(0).alias("mstart"), "copies")
     # one row for each class: no other copies, and one row of an id that repeats
     once = keep_ids(rows, whole_of.where("doc <> rep").select("doc").distinct(), "doc", how="left_anti")
