@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratecast.llm.classify import scored
-from cratecast.llm.common import broadcast_checked, keep_ids, land, read
+from cratecast.llm.common import broadcast_checked, keep_ids, land, n_words, read
 from cratecast.llm.jaccard import joined
 from cratecast.llm.linededup import line_deduped
 from cratecast.llm.mixing import mixed
@@ -28,8 +28,11 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the multi-line chunks that an earlier one holds; n_chars follows."""
-    return line_deduped(docs).select(*docs.columns)
+    """Documents without the multi-line chunks that an earlier one holds; n_chars follows.
+
+    Copies of a text are shortened alike, so that the near-dedup still sees them as copies; documents that the
+    removal leaves without a word are dropped."""
+    return line_deduped(docs, alike=True).where((F.col("n_removed") == 0) | (n_words("text") > 0)).select(*docs.columns)
 
 
 def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep_ids, land
+from .common import broadcast_checked, keep_ids, land
 
 DIVISOR = 4
 
@@ -37,7 +37,17 @@ def decoded(chunks: Column) -> Column:
     return F.substring(F.replace(F.array_join(chunks, "\n"), F.lit("\n "), F.lit("\n")), 2, 2_147_483_647)
 
 
-def line_deduped(docs: DataFrame, divisor: int = DIVISOR, key: str = "doc_id", text: str = "text") -> DataFrame:
+def copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(_id, _as): each document whose text one with a smaller doc_id has too, and
+    the smallest doc_id that has it. A doc_id with different texts is no copy."""
+    ids = docs.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(F.col(key).alias("_id"), F.sha2(text, 256).alias("_text"))
+    ids = ids.groupBy("_id").agg(F.min("_text").alias("_text"), F.max("_text").alias("_other")).where("_text = _other").select("_id", "_text")
+    ids = land(ids, "lines_texts")
+    often = ids.groupBy("_text").agg(F.min("_id").alias("_as"), F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_text", "_as")
+    return land(ids.join(broadcast_checked(land(often, "lines_texts_often")), "_text").where("_id <> _as").select("_id", "_as"), "lines_copies")
+
+
+def line_deduped(docs: DataFrame, divisor: int = DIVISOR, key: str = "doc_id", text: str = "text", alike: bool = False) -> DataFrame:
     """docs with the text shortened, and n_chunks, n_removed (int) added.
 
     Every row and column stays; columns named n_chunks or n_removed are
@@ -46,8 +56,12 @@ def line_deduped(docs: DataFrame, divisor: int = DIVISOR, key: str = "doc_id", t
     removed becomes empty. Single-line chunks are never removed. Rows that
     share a doc_id count as one document: its chunk at one place is one
     occurrence. Rows with a null doc_id are left alone and count for nothing.
+    With ``alike``, documents with the same text count as one, the one with the
+    smallest doc_id, and all of them get its new text.
     """
-    at = docs.select(F.col(key).alias("_id"), chunk_array(text, divisor).alias("_c")).where("_id is not null").select("_id", F.posexplode("_c").alias("_at", "_chunk")).where(F.col("_chunk").contains("\n"))
+    same = copies(docs, key, text) if alike else None
+    ones = keep_ids(docs, same.select(F.col("_id").alias(key)), key, how="left_anti") if alike else docs
+    at = ones.select(F.col(key).alias("_id"), chunk_array(text, divisor).alias("_c")).where("_id is not null").select("_id", F.posexplode("_c").alias("_at", "_chunk")).where(F.col("_chunk").contains("\n"))
     at = at.withColumn("_key", F.xxhash64("_chunk"))
     # one occurrence per (document, place); copies of a row are one document
     often = at.groupBy("_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_key")
@@ -57,6 +71,9 @@ def line_deduped(docs: DataFrame, divisor: int = DIVISOR, key: str = "doc_id", t
     first = land(first, "lines_first")
     gone = again.join(first, ["_key", "_chunk"]).where(F.struct("_id", "_at") > F.col("_first"))
     gone = land(gone.groupBy("_id").agg(F.collect_set("_at").alias("_gone")), "lines_gone")
+    if alike:
+        theirs = gone.withColumnRenamed("_id", "_as").join(broadcast_checked(same), "_as").select("_id", "_gone")
+        gone = land(gone.union(theirs), "lines_gone_copies")
     out = docs.drop("n_chunks", "n_removed").withColumnRenamed(key, "_id").join(gone, "_id", "left")
     out = out.withColumn("_c", chunk_array(text, divisor))
     kept = F.filter(F.col("_c"), lambda x, i: ~F.array_contains(F.coalesce(F.col("_gone"), F.array().cast("array<int>")), i))

@@ -1,6 +1,7 @@
 """Mixing, packing, sharding, classifier, pipeline and the registered queries."""
 
 import itertools
+import random
 import zlib
 
 import duckdb
@@ -17,6 +18,8 @@ from cratecast.llm.pack import best_boundaries, packed
 from cratecast.llm.queries import QUERIES
 from cratecast.llm.shard import fill_table, place
 
+from .test_texts import brute_lines
+
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -145,6 +148,25 @@ def test_pipeline_stages(spark):
     assert groups <= n[3]
 
 
+def test_pipeline_keeps_one_of_exact_copies(spark, frame, tmp_path):
+    rng = random.Random(3)
+    texts = ["\n".join(" ".join("w%d" % rng.randrange(10**6) for _ in range(rng.choice([1, 4, 9]))) for _ in range(rng.randrange(1, 14))) for _ in range(40)]
+    texts += ["%s\nits own line %d" % (t, i) for i, t in enumerate(texts[:8])]  # parts of them are copies
+    lines = ["line %d of a longer text" % i for i in range(40)]
+    inner = next(p for k in range(2, 40) for p in ["\n".join(lines[:k])] if brute_lines(["\n".join(lines), p])[1][0] == "")
+    rows = [(i, t) for i, t in enumerate(texts * 3)] + [(500, "\n".join(lines)), (501, inner), (502, inner)]
+    frame([(i, t, "en", "abc"[i % 3], len(t)) for i, t in rows], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    frame([(10**6, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:3]:
+        docs = stage(spark, docs, str(tmp_path)).cache()
+    left = [r["doc_id"] for r in docs.collect()]
+    # the first of each group stays, text 501 is all in text 500
+    assert len(left) == len(set(left)) and set(left) <= {*range(len(texts)), 500} and {*range(40), 500} <= set(left)
+    end = {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    assert end and end <= set(left)
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_agree_with_sql(spark, name):
     con = duckdb.connect()
