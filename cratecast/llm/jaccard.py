@@ -223,10 +223,11 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
 
     comp = land(components(links), "jac_comp").withColumnRenamed("node", "doc")
     met = land(met.join(comp, "doc", "left").select("tok", "doc", "size", "at", F.coalesce("comp", "doc").alias("comp")), "jac_now")
-    # shingles with the same documents are one; settled ones need no more, and of two documents one is the hub
+    # shingles with the same documents are one, the first in the (unsigned) order of the prefixes; settled ones need no more, and of two documents one is the hub
+    first = F.min(F.col("tok").bitwiseXOR(F.lit(-(1 << 63)))).bitwiseXOR(F.lit(-(1 << 63)))
     same = F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("h1"), F.sum(F.hash("doc").cast("long")).alias("h2")
     open_ = met.groupBy("tok").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), *same).where("c0 < c1 and n > 2")
-    open_ = land(open_.groupBy("n", "h1", "h2").agg(F.min("tok").alias("tok")).select("tok", "n"), "jac_open")
+    open_ = land(open_.groupBy("n", "h1", "h2").agg(first.alias("tok")).select("tok", "n"), "jac_open")
     small = met.join(open_.where(F.col("n") <= LEAF).select("tok"), "tok")
     x, y = small.alias("x"), small.alias("y")
     near = (F.col("x.doc") < F.col("y.doc")) & (F.col("x.comp") != F.col("y.comp")) & (100 * F.col("x.size") >= percent * F.col("y.size")) & (100 * F.col("y.size") >= percent * F.col("x.size"))

@@ -77,6 +77,20 @@ def test_jaccard_join_matches_brute_force(frame, monkeypatch, n, percent, small)
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None} == {i: (len(s[i]), comp[i]) for i in comp}
 
 
+def test_jaccard_leaves_lose_no_short_near_copy(frame):
+    rng = random.Random(1)
+    texts = []
+    for g in range(1200):
+        base = ["g%dw%d" % (g, i) for i in range(rng.randrange(13, 18))]
+        # the first is too far from the others to settle the group
+        texts += [" ".join(base[rng.randrange(3, 5) :])] + [" ".join(base + ["end%d" % i]) for i in range(2)]
+    s = sets_of(texts, 5)
+    pairs = [(i, j) for g in range(0, len(s), 3) for i, j in ((g, g + 1), (g, g + 2), (g + 1, g + 2)) if 100 * len(s[i] & s[j]) >= 80 * len(s[i] | s[j])]
+    assert len(pairs) > 800
+    comp = union_find(range(len(s)), pairs)
+    assert {r["doc_id"]: r["component_id"] for r in joined(frame(documents(texts), SCHEMA), 5, 80).collect()} == comp
+
+
 def test_jaccard_traversal_loses_no_pair():
     rng = np.random.default_rng(0)
     sets = []
