@@ -8,7 +8,8 @@ forms, scripts and so on). Pages that are copies of each other count once.
 Where a page marks its article (article, main), text outside it is no main text,
 and inside it only container elements can be deleted as templates: a paragraph
 that many articles quote stays. No subtree with half of a page's main text or
-more is ever deleted.
+more is ever deleted as a template, and by a word of its class or id only if a
+marked article lies outside it (see ``Page._judge``).
 """
 
 from __future__ import annotations
@@ -41,7 +42,20 @@ _NAMED = frozenset(
     " sidebar aside menu nav navbar navigation breadcrumb breadcrumbs pagination pager toolbar masthead topbar footer comment comments commentlist disqus reply replies respond discussion share sharing social related"
     " recommended recommendations widget login signup search skip copyright complementary contentinfo".split()
 )
+#: Of these, the words of what holds articles of others or of readers: an article in it is not the page's own.
+_OTHERS = _NAMED - frozenset("share sharing social banner notice notices alert popup modal overlay newsletter subscribe subscription login signup search skip".split())
 _HEADERS = frozenset(["header"])
+#: A class name goes on with what the element has or lacks, not with what it is: with-sidebar, has-comments.
+_ABOUT = frozenset("with without has no".split())
+
+
+def named(value: str) -> Iterator[str]:
+    """The words of a class, id or role, of each name those before the first of ``_ABOUT``."""
+    for name in value.split():
+        for word in re.split(r"[^a-z0-9]+", name):
+            if word in _ABOUT:
+                break
+            yield word
 
 
 def host_of(url: str | None) -> str:
@@ -54,39 +68,90 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.off, self.main, self.begin, self.end = ["html"], [-1], [False], [False], [0], [0]
+        # deleted whatever it holds; its words of _NAMED; head of a site or article; marked by more than its tag
+        self.hard, self.words, self.head, self.body = [False], [frozenset()], [False], [False]
         self.tokens: list[str] = []
         self.runs: list[tuple[int, str]] = []
         self._parse(source)
         self.end[0] = len(self.tokens)
+        self._judge()
 
     def _open(self, name: str, attrs: str, top: int) -> int:
-        off = self.off[top] or name in _DROPPED
-        main, head = name in ("article", "main"), name == "header"
-        if attrs and not off:
-            words = set()
+        hard = self.hard[top] or name in _DROPPED
+        main, head, body = name in ("article", "main"), name == "header", name == "main"
+        words: set[str] = set()
+        if attrs and not hard:
             for m in _ATTR.finditer(attrs):
                 key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
                 if key in ("class", "id", "role"):
-                    words.update(re.split(r"[^a-z0-9]+", value))
-                main = main or (key == "role" and value == "main") or (key == "itemprop" and value == "articlebody")
-                off = off or (key == "aria-hidden" and value == "true" and not main)
-            if name not in ("html", "body", "main"):
-                off = off or bool(words & _NAMED)
+                    words.update(named(value))
+                body = body or (key == "role" and value == "main") or (key == "itemprop" and value == "articlebody")
+                main = main or body
+                hard = hard or (key == "aria-hidden" and value == "true" and not main)
+            if name in ("html", "body", "main"):
+                words.clear()
+            else:
                 head = head or bool(words & _HEADERS) and name != "article"
-            off = off or bool(re.search(r"(?:^|\s)hidden(?=\s|$|/)", attrs) and name not in ("html", "body"))
-        if head and not off:  # the head of the site; an article's own head stays
-            up = top
-            while up > 0 and not self.main[up]:
-                up = self.parent[up]
-            off = up <= 0
+            hard = hard or bool(re.search(r"(?:^|\s)hidden(?=\s|$|/)", attrs) and name not in ("html", "body"))
         self.tag.append(name)
         self.parent.append(top)
-        self.off.append(off)
-        self.main.append(main and not off)
+        self.off.append(hard)
+        self.main.append(main and not hard)
+        self.hard.append(hard)
+        self.words.append(frozenset(words & _NAMED))
+        self.head.append(head)
+        self.body.append(body)
         self.begin.append(len(self.tokens))
         self.end.append(-1)
         return len(self.tag) - 1
 
+    def _judge(self) -> None:
+        """What is deleted by its name, now that all the text is known.
+
+        A name deletes no main element or articleBody and nothing around one, no
+        article that is neither named nor held by one of ``_OTHERS`` and nothing
+        around it, and no subtree with half of the text or more, unless a marked
+        article with text lies outside it."""
+        n, marks = len(self.tag), self.main
+        free, others = [False] * n, [False] * n
+        for i in range(1, n):
+            others[i] = others[self.parent[i]] or bool(self.words[i] & _OTHERS)
+        for i in range(n):
+            if marks[i] and (self.body[i] or not others[i]):
+                j = i
+                while j >= 0 and not free[j]:
+                    free[j] = True
+                    j = self.parent[j]
+        size, last = [0] * n, list(range(n))
+        for node, text in self.runs:
+            if not self.hard[node]:
+                size[node] += len(text.strip())
+        for i in range(n - 1, 0, -1):
+            size[self.parent[i]] += size[i]
+            last[self.parent[i]] = max(last[self.parent[i]], last[i])
+        by_word = [bool(self.words[i]) or self.head[i] and self.tag[i] != "header" for i in range(n)]
+
+        def settle() -> None:
+            self.off, self.main = [False] * n, [False] * n
+            for i in range(1, n):
+                off = self.hard[i] or self.off[self.parent[i]] or bool(self.words[i]) and not free[i]
+                if self.head[i] and not off and not (by_word[i] and free[i]):  # the head of the site; an article's own head stays
+                    up = self.parent[i]
+                    while up > 0 and not self.main[up]:
+                        up = self.parent[up]
+                    off = up <= 0
+                self.off[i], self.main[i] = off, marks[i] and not off
+
+        settle()
+        large = [i for i in range(1, n) if by_word[i] and not free[i] and not self.hard[i] and 2 * size[i] >= max(size[0], 1)]
+        if large:
+            # marked nodes with text must all lie around it
+            marked = [i for i in range(n) if self.main[i] and size[i]]
+            outer, end = max(marked, default=0), min((last[m] for m in marked), default=n)
+            for i in large:
+                free[i] = outer < i <= end
+            settle()
+
     def _parse(self, source: str) -> None:
         stack, at, n = [0], 0, len(source)
         names = ["html"]

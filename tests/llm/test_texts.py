@@ -236,6 +236,31 @@ def test_main_text_of_a_marked_article(frame):
     assert got == {0: (text, len(text)), 1: ("", 0), 2: ("", 0), 3: ("just text", 9), 4: ("no markup é", 11)}
 
 
+BODY = "<p>Some words of the story.</p><p>And some more of it.</p>"
+STORY = "Some words of the story. And some more of it."
+
+
+@pytest.mark.parametrize(
+    "body,want",
+    [
+        (f"<div class='content with-sidebar'>{BODY}</div><p>x</p>", f"{STORY} x"),
+        (f"<div class='no-sidebar has-comments'>{BODY}</div><p>{'long ' * 99}</p>", f"{STORY} {'long ' * 98}long"),
+        (f"<article class='post social'>{BODY}</article><p>{'long ' * 99}</p>", STORY),
+        (f"<div class='page notice'><article>{BODY}</article></div>", STORY),
+        (f"<div class='header fixed'><article>{BODY}</article></div>", STORY),
+        (f"<div class='layout sidebar'><div class='post-content share' itemprop=articleBody>{BODY}<div class='share'>Share</div></div></div>", STORY),
+        (f"<div id=page class='widget'><p>One</p>{BODY}<div class=advert>Buy</div></div>", f"One {STORY}"),
+        # what readers and other articles say stays out beside a marked article, however long
+        (f"<article>{BODY}</article><section id=comments><article class=comment>{'Nice. ' * 99}</article></section>", STORY),
+        (f"<main><article>{BODY}</article><div class='related'><article>{'More. ' * 99}</article></div></main>", STORY),
+        (f"<div class='cookie-notice'>Cookies</div>{BODY}<div class='sidebar'><article>Other</article></div>", STORY),
+    ],
+)
+def test_a_class_word_does_not_drop_the_article(body, want):
+    segments, _ = Page(page(body)[2]).read()
+    assert " ".join("".join(t for _, t in segments).split()) == want
+
+
 def test_templates_recur_on_a_host(frame):
     def body(i):
         return f"<div class=w1><div>Read our terms</div><div>Hello reader</div></div><div><p>Story {i} tells of {i * 7}.</p><p>A quoted line.</p></div>" if i else "<div>Hello reader</div><p>Alone</p>"
