@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 from .common import python_workers, land
 
 MIN_PAGES, SHARE = 5, 0.3
+#: Different pages that make a template of anything but a paragraph, however large the host.
+MANY = 50
 
 _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</?[a-zA-Z][^>]*(?:>|\Z)""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -34,6 +36,7 @@ _RAW = frozenset("script style noscript template iframe noembed noframes xmp tex
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 _DROPPED = frozenset("head script style noscript template iframe noembed noframes xmp textarea title nav footer aside form button select option datalist fieldset input object applet svg math canvas audio video map dialog menu".split())
 _CONTAINERS = frozenset("div section details center span".split())
+_PARAGRAPHS = frozenset("p li dt dd blockquote pre h1 h2 h3 h4 h5 h6 tr td th caption figcaption address".split())
 _CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 _STOPS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 #: Words of class, id or role that name something other than the article.
@@ -219,7 +222,9 @@ class Page:
         self.end[0] = len(self.tokens)
 
     def read(self) -> tuple[list[tuple[list[int], str]], list[int]]:
-        """([(hashes of the deletable subtrees around it, text)] of the main text, hashes of all deletable subtrees)."""
+        """([(hashes of the deletable subtrees around it, text)] of the main text, hashes of all deletable subtrees).
+
+        Hashes of paragraphs are even, others odd."""
         n = len(self.tag)
         inside = [False] * n
         for i in range(n):
@@ -252,7 +257,8 @@ class Page:
                 continue
             body = "".join(self.tokens[self.begin[i] : self.end[i]])
             if body and (self.tag[i] not in _INLINE or self.tag[i] in _CONTAINERS):
-                digest[i] = xxhash.xxh3_64_intdigest(f"{self.tag[i]}>{body}".encode("utf-8", "surrogatepass")) - (1 << 63)
+                h = xxhash.xxh3_64_intdigest(f"{self.tag[i]}>{body}".encode("utf-8", "surrogatepass")) - (1 << 63)
+                digest[i] = h & ~1 if self.tag[i] in _PARAGRAPHS else h | 1
         paths: dict[int, tuple[int, ...]] = {-1: ()}
         out: list[tuple[list[int], list[str]]] = []
         last: tuple[int, ...] | None = None
@@ -272,14 +278,15 @@ class Page:
         return [(p, "".join(t)) for p, t in out], sorted(set(digest.values()))
 
 
-def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE, many: int = MANY) -> DataFrame:
     """page_id, url, text, n_chars, n_templates of every page.
 
     text: blocks in page order joined by one space, white space inside one
     space, character references decoded; "" for a null or empty html or a page
     without main text. A subtree is a template if it occurs on at least
-    ``min_pages`` different pages of its host and on ``share`` of them. A null
-    url has the host "". Repeated rows stay and count as one page. Unclosed and
+    ``min_pages`` different pages of its host and on ``share`` of them; other
+    than paragraphs, list items, headings and the like, ``many`` different pages
+    are enough on any host. A null url has the host "". Repeated rows stay and count as one page. Unclosed and
     misnested tags close as in a browser; an unfinished tag at the end is no
     text. No rows: no rows.
     """
@@ -299,7 +306,8 @@ def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE
     rows = land(rows.withColumn("_row", F.monotonically_increasing_id()), "html_pages")
     seen = rows.select("host", "sig", F.explode("subtrees").alias("h")).distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
     of = rows.select("host", "sig").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    often = seen.where(F.col("n") >= min_pages).join(of, "host").where(F.col("n") >= share * F.col("pages")).select("host", "h")
+    enough = (F.col("n") >= share * F.col("pages")) | (F.col("n") >= many) & (F.col("h").bitwiseAND(F.lit(1)) == 1)
+    often = seen.where(F.col("n") >= min_pages).join(of, "host").where(enough).select("host", "h")
     often = land(often, "html_templates")
     inner = F.array_distinct(F.flatten(F.transform("parts", lambda x: x["path"])))
     hit = rows.select("_row", "host", F.explode(inner).alias("h")).join(often, ["host", "h"]).groupBy("_row").agg(F.collect_set("h").alias("gone"))

@@ -276,6 +276,18 @@ def test_templates_recur_on_a_host(frame):
     assert extracted(frame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_templates_of_a_part_of_a_large_host(frame):
+    def body(i):
+        return f"<div><p>Story {i} tells of {i * 7} and of {i * i} more things.</p><p>{'A quoted line.' if i % 4 == 0 else 'None.'}</p></div><div>Advert {i % 4}</div>" + ("<ul><li>Of the section</ul>" if i % 5 == 0 else "")
+
+    rows = [page(body(i), n=i) for i in range(300)] + [page(body(i), host="b.example.org", n=1000 + i) for i in range(40, 180)]
+    got = {r["page_id"]: r["text"] for r in extracted(frame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(300):
+        assert got[i] == f"Story {i} tells of {i * 7} and of {i * i} more things." + (" A quoted line." if i % 4 == 0 else "")
+    # 35 and 28 of 140 pages
+    assert got[1040] == "Story 40 tells of 280 and of 1600 more things. A quoted line. Advert 0 Of the section"
+
+
 def test_odd_markup_does_not_crash():
     for source in ("<", "<p", "</p></div>", "<!--", "<!-- a -->x", "<script>", "<b><i>x</b>y</i>", "<td>a<td>b", '<p class="a>b">t</p>', "<p a='>" * 200, "<div>" * 3000 + "deep" + "</div>" * 10, "\x00&#0;&#xFFFFFF;&bogus;"):
         segments, hashes = Page(source).read()
