@@ -35,6 +35,17 @@ def python_workers(spark: SparkSession, rows: int = 10_000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores before them where a column (in any case) has such a name."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        out.append(n)
+    return out
+
+
 def n_words(text: str | Column) -> Column:
     """Number of words of a text; null text: 0."""
     return F.coalesce(F.regexp_count(F.col(text) if isinstance(text, str) else text, F.lit(WORD)), F.lit(0)).cast("long")
