@@ -61,3 +61,56 @@ n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a),
 m AS (SELECT vec_id, min(comp) AS comp FROM c GROUP BY vec_id)
 SELECT m.vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, comp AS component_id, m.vec_id = comp AS kept FROM m LEFT JOIN n ON n.a = m.vec_id
 """
+
+ORACLE["op12_url_filter"] = r"""
+WITH r(host, path, verdict) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+u AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+b AS (
+  SELECT p.page_id, p.host, p.path, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(r.verdict, length(r.host || r.path)) AS verdict
+  FROM p LEFT JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY ALL)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM b
+"""
+
+ORACLE["op13_ranked_search"] = r"""
+WITH w AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+t AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY ALL),
+d AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM t GROUP BY doc_id),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM d),
+m AS (SELECT doc_id, 100 - 25 + (25 * n * docs) // terms AS m FROM d, s),
+f AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1))) AS BIGINT) AS w FROM t, s GROUP BY term),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+x AS (
+  SELECT item_id, t.doc_id, CAST(sum(f.w * ((1000000000 * tf) // (1000 * tf + 12 * m.m))) AS BIGINT) AS score
+  FROM q JOIN t USING (term) JOIN f USING (term) JOIN m ON m.doc_id = t.doc_id GROUP BY ALL),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM x WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+
+def _vector_codes(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    """Every round of the codebooks spelled out."""
+    near = """SELECT i, p, arg_min(e, (d, e)) AS e, min(d) AS d FROM (
+  SELECT x.i, x.p, c.e, CAST(list_inner_product(x.x, x.x) - 2 * list_inner_product(x.x, c.x) + list_inner_product(c.x, c.x) AS BIGINT) AS d FROM x JOIN {} c ON c.p = x.p) GROUP BY i, p"""
+    steps = []
+    for r in range(rounds):
+        steps.append(f"a{r} AS ({near.format(f'c{r}')})")
+        steps.append(f"s{r} AS (SELECT p, e, j, CAST(sum(v) AS BIGINT) AS s, count(*) AS n FROM (SELECT a.p, a.e, unnest(range(len(x.x))) AS j, unnest(x.x) AS v FROM a{r} a JOIN x ON x.i = a.i AND x.p = a.p) GROUP BY ALL)")
+        steps.append(f"m{r} AS (SELECT p, e, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY j) AS x FROM s{r} GROUP BY p, e)")
+        steps.append(f"c{r + 1} AS (SELECT c.p, c.e, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m ON m.p = c.p AND m.e = c.e)")
+    return f"""
+WITH v AS (
+  SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) - 1 AS i, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+x AS MATERIALIZED (SELECT i, p, q[p * (len(q) // {parts}) + 1 : (p + 1) * (len(q) // {parts})] AS x FROM v, range({parts}) r(p)),
+c0 AS (SELECT p, i AS e, x FROM x WHERE i < {entries}),
+{", ".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in steps)},
+z AS ({near.format(f"c{rounds}")}),
+o AS (SELECT i, string_agg(lower(printf('%02x', e)), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM z GROUP BY i),
+h AS (SELECT sha256(string_agg(CAST(CAST(v AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, j)) AS codebooks_sha256 FROM (SELECT p, e, unnest(range(len(x))) AS j, unnest(x) AS v FROM c{rounds}))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM o JOIN v USING (i), h
+"""
+
+
+ORACLE["op11_vector_codes"] = _vector_codes()
