@@ -1,12 +1,17 @@
 """Quality classifier by nearest-neighbour voting in a latent space.
 
-A text is a bag of terms: trigrams of byte classes (lower, upper, digit, space,
-line feed and kinds of punctuation) and a few terms for repeated words. Term
-counts are damped, weighted by inverse document frequency and projected on the
-leading singular vectors of the labelled sample. The labelled latent vectors
-are broadcast (at most ``max_labelled`` of them) and every document's exact
-cosines to all of them are computed block by block; the nearest ``k`` vote,
-weighted by similarity.
+A text is a bag of terms in two views: its words (hashed, A-Z as a-z) and its
+character n-grams (trigrams of byte classes: lower, upper, digit, space, line
+feed and kinds of punctuation, and words repeated at short distance). In each
+view counts are damped, weighted by inverse document frequency over the
+labelled sample and scaled to length 1. Both are projected on the leading
+singular vectors of the labelled sample. The labelled latent vectors are
+broadcast (at most ``max_labelled`` of them) and every document's exact cosines
+to all of them are computed block by block; the nearest ``k`` vote, each
+weighted by its cosine (a negative one counts as 0).
+
+Terms stay sparse throughout: tasks send (term, count) pairs of the labelled
+texts, and the driver factorises the sparse matrix.
 """
 
 from __future__ import annotations
@@ -29,6 +34,8 @@ from .words import slices, word_hashes
 MAX_LABELLED = 4000
 NEIGHBOURS = 15
 DIMENSIONS = 48
+#: Weight of the word view against the shape view in a text's vector.
+WORD_WEIGHT = 0.5
 THRESHOLD = 0.3
 
 _KINDS = ["\x00 ", "\n", "\t\x0b\x0c\r", "0123456789", ".", ",;:", "!", "?", "|", "#*$%&@^~+=", "()[]{}<>/\\", "'\"`-_"]
@@ -41,34 +48,72 @@ _CLASS[np.r_[128:256]] = 13
 _N = 15
 _GRAMS = _N**3
 _REPEATS = (1, 2, 3)
-TERMS = _GRAMS + len(_REPEATS) + 1
+_SHAPES = _GRAMS + len(_REPEATS)
+_WORD_BITS = 15
+TERMS = _SHAPES + (1 << _WORD_BITS)
 
 
-def term_counts(texts: list[bytes]) -> np.ndarray:
-    """(texts, TERMS) counts of one slice of texts."""
-    out = np.zeros((len(texts), TERMS), dtype=np.float32)
+@dataclass(frozen=True)
+class Bags:
+    """Sparse rows of counts: row r has terms[at[r] : at[r + 1]]; shapes come before words."""
+
+    at: np.ndarray
+    terms: np.ndarray
+    counts: np.ndarray
+    words: np.ndarray  # number of words of each row
+
+    def rows(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.at) - 1), np.diff(self.at))
+
+
+def term_counts(texts: list[bytes]) -> Bags:
+    """The bags of one slice of texts."""
     joined = np.frombuffer(b"  ".join(texts) + b"  ", dtype=np.uint8)
     code = _CLASS[joined]
     gram = code[:-2] * (_N * _N) + code[1:-1] * _N + code[2:]
     sizes = np.fromiter((len(t) for t in texts), dtype=np.int64, count=len(texts))
     at = np.concatenate(([0], np.cumsum(sizes + 2)))[:-1]
-    for i, (a, n) in enumerate(zip(at.tolist(), sizes.tolist())):
-        if n:
-            out[i, :_GRAMS] = np.bincount(gram[a : a + n], minlength=_GRAMS)
     h, first, _, _ = word_hashes(texts)
-    of = np.repeat(np.arange(len(texts)), np.diff(first))
-    for j, lag in enumerate(_REPEATS):
-        same = (h[lag:] == h[:-lag]) & (of[lag:] == of[:-lag])
-        out[:, _GRAMS + j] = np.bincount(of[lag:][same], minlength=len(texts))
-    out[:, -1] = np.diff(first)
+    n = np.diff(first)
+    of = np.repeat(np.arange(len(texts)), n)
+    again = np.stack([np.bincount(of[lag:][(h[lag:] == h[:-lag]) & (of[lag:] == of[:-lag])], minlength=len(texts)) for lag in _REPEATS], axis=1)
+    key, times = np.unique((of << _WORD_BITS) | (h >> np.uint64(64 - _WORD_BITS)).astype(np.int64), return_counts=True)
+    cut = np.searchsorted(key, np.arange(len(texts) + 1) << _WORD_BITS)
+    terms, counts = [], []
+    for i, (a, size) in enumerate(zip(at.tolist(), sizes.tolist())):
+        shape = np.concatenate((np.bincount(gram[a : a + size], minlength=_GRAMS), again[i]))
+        some = np.flatnonzero(shape)
+        terms += [some, (key[cut[i] : cut[i + 1]] & ((1 << _WORD_BITS) - 1)) + _SHAPES]
+        counts += [shape[some], times[cut[i] : cut[i + 1]]]
+    ends = np.cumsum([0] + [len(t) for t in terms])[::2]
+    return Bags(ends, np.concatenate(terms).astype(np.int32) if terms else np.empty(0, np.int32), np.concatenate(counts).astype(np.float32) if counts else np.empty(0, np.float32), n)
+
+
+def _weights(b: Bags, idf: np.ndarray) -> np.ndarray:
+    """Damped counts times idf; the shapes of a row are scaled to length 1, its words to ``WORD_WEIGHT``."""
+    row, word = b.rows(), b.terms >= _SHAPES
+    view = row * 2 + word
+    x = np.where(word, 1 + np.log(np.maximum(b.counts, 1)), np.sqrt(b.counts / np.maximum(b.words, 1)[row])) * idf[b.terms]
+    norm = np.sqrt(np.bincount(view, weights=x * x, minlength=2 * len(b.words)))
+    return (x / np.maximum(norm, 1e-12)[view] * np.where(word, WORD_WEIGHT, 1)).astype(np.float32)
+
+
+def _times(b: Bags, x: np.ndarray, right: np.ndarray, most: int = 1 << 17) -> np.ndarray:
+    """The sparse matrix (rows of b) times a dense one, some entries at a time."""
+    out = np.zeros((len(b.at) - 1, right.shape[1]), np.float32)
+    row = b.rows()
+    for a in range(0, len(x), most):
+        part = row[a : a + most]
+        start = np.flatnonzero(np.diff(part, prepend=-1))
+        if len(start):
+            out[part[start]] += np.add.reduceat(right[b.terms[a : a + most]] * x[a : a + most, None], start, axis=0)
     return out
 
 
-def _damped(counts: np.ndarray) -> np.ndarray:
-    words = np.maximum(counts[:, -1:], 1)
-    share = counts / words
-    share[:, -1] = 0
-    return np.sqrt(share)
+def _transposed(b: Bags, x: np.ndarray) -> tuple[Bags, np.ndarray]:
+    order = np.argsort(b.terms, kind="stable")
+    at = np.concatenate(([0], np.cumsum(np.bincount(b.terms, minlength=TERMS))))
+    return Bags(at, b.rows()[order].astype(np.int32), b.counts[order], b.words), x[order]
 
 
 @dataclass(frozen=True)
@@ -79,36 +124,36 @@ class Model:
     labels: np.ndarray
     k: int
 
-    def latent(self, counts: np.ndarray) -> np.ndarray:
-        x = _damped(counts) * self.idf
-        z = (x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)) @ self.basis
+    def latent(self, b: Bags) -> np.ndarray:
+        z = _times(b, _weights(b, self.idf), self.basis)
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
 
-    def score(self, counts: np.ndarray) -> np.ndarray:
-        """Similarity-weighted share of label 1 among the k nearest; rows without a term: 0."""
-        z = self.latent(counts)
-        sims = z @ self.vectors.T
-        k = min(self.k, sims.shape[1])
-        near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
-        w = np.maximum(np.take_along_axis(sims, near, axis=1), 0.0).astype(np.float64) ** 8
-        total = w.sum(axis=1)
-        votes = (w * self.labels[near]).sum(axis=1)
-        return np.where((total > 0) & (counts[:, -1] > 0), votes / np.maximum(total, 1e-300), 0.0)
-
-
-def fit(counts: np.ndarray, labels: np.ndarray, k: int = NEIGHBOURS, dims: int = DIMENSIONS, seed: int = 0) -> Model:
-    """Latent vectors of the labelled rows: truncated SVD by a randomised range finder."""
-    df = (counts > 0).sum(axis=0)
-    idf = np.log((1 + len(counts)) / (1 + df)).astype(np.float32) + 0.1
-    x = _damped(counts) * idf
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
-    dims = min(dims, *x.shape)
-    q = np.linalg.qr(x.T @ np.random.default_rng(seed).standard_normal((len(x), min(len(x), dims + 8))).astype(np.float32))[0]
+    def score(self, b: Bags) -> np.ndarray:
+        """Cosine-weighted share of label 1 among the k nearest; rows without a word: 0."""
+        out = np.zeros(len(b.words))
+        z = self.latent(b)
+        k = min(self.k, len(self.vectors))
+        for a in range(0, len(z), 512):
+            sims = z[a : a + 512] @ self.vectors.T
+            near = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+            w = np.maximum(np.take_along_axis(sims, near, axis=1), 0.0).astype(np.float64)
+            out[a : a + 512] = (w * self.labels[near]).sum(axis=1) / np.maximum(w.sum(axis=1), 1e-300)
+        return np.where(b.words > 0, out, 0.0)
+
+
+def fit(b: Bags, labels: np.ndarray, k: int = NEIGHBOURS, dims: int = DIMENSIONS, seed: int = 0) -> Model:
+    """Latent vectors of the labelled rows: truncated SVD by a randomised range finder over the sparse rows."""
+    n = len(b.words)
+    idf = (np.log((1 + n) / (1 + np.bincount(b.terms, minlength=TERMS))) + 0.1).astype(np.float32)
+    x = _weights(b, idf)
+    t, xt = _transposed(b, x)
+    dims = min(dims, n)
+    q = np.linalg.qr(_times(t, xt, np.random.default_rng(seed).standard_normal((n, min(n, dims + 8))).astype(np.float32)))[0]
     for _ in range(3):
-        q = np.linalg.qr(x.T @ (x @ q))[0]
-    basis = (q @ np.linalg.svd(x @ q, full_matrices=False)[2].T[:, :dims]).astype(np.float32)
+        q = np.linalg.qr(_times(t, xt, _times(b, x, q)))[0]
+    basis = (q @ np.linalg.svd(_times(b, x, q), full_matrices=False)[2].T[:, :dims]).astype(np.float32)
     empty = Model(idf, basis, np.zeros((0, dims), np.float32), labels, k)
-    return Model(idf, basis, empty.latent(counts).astype(np.float32), labels.astype(np.float64), k)
+    return Model(idf, basis, empty.latent(b), labels.astype(np.float64), k)
 
 
 def held_out(key: str = "doc_id"):
@@ -118,7 +163,8 @@ def held_out(key: str = "doc_id"):
 def train(docs: DataFrame, labels: DataFrame, target: str = "quality", max_labelled: int = MAX_LABELLED, k: int = NEIGHBOURS) -> Model | None:
     """The model from at most ``max_labelled`` labelled rows (the smallest MD5s of their ids, half for each label), held-out rows left out.
 
-    None if there is no labelled text. Labels other than 0 and 1, null ids and null or empty texts teach nothing.
+    None if there is no labelled text. Labels other than 0 and 1, null ids and null or empty texts teach nothing;
+    of the texts and labels of a repeated id one row teaches, the smallest by its terms, then its label.
     """
     picked = None
     usable = labels.where(F.col("doc_id").isNotNull() & F.col(target).isin(0, 1) & ~held_out()).select("doc_id", F.col(target).cast("int").alias("_y")).distinct()
@@ -131,14 +177,21 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", max_label
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for a, part in slices(b["text"].tolist()):
-                y = b["_y"].iloc[a : a + len(part)]
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[a : a + len(part)].to_numpy(), "y": y.to_numpy(), "counts": [x.tobytes() for x in term_counts(part)]})
-
-    got = rows.mapInPandas(counted, "doc_id long, y int, counts binary").dropDuplicates(["doc_id"]).collect()
-    if not got:
+                c, own = term_counts(part), b.iloc[a : a + len(part)]
+                each = [(c.terms[i:j].tobytes(), c.counts[i:j].tobytes()) for i, j in zip(c.at[:-1], c.at[1:])]
+                yield pd.DataFrame({"doc_id": own["doc_id"].to_numpy(), "y": own["_y"].to_numpy(), "words": c.words, "terms": [x for x, _ in each], "counts": [x for _, x in each]})
+
+    got = rows.mapInPandas(counted, "doc_id long, y int, words long, terms binary, counts binary")
+    # of several texts or labels of one id always the same row
+    got = got.groupBy("doc_id").agg(F.min(F.struct("terms", "counts", "words", "y")).alias("r")).select("doc_id", "r.*").orderBy("doc_id").toArrow()
+    if not got.num_rows:
         return None
-    got.sort(key=lambda r: r["doc_id"])
-    return fit(np.stack([np.frombuffer(r["counts"], dtype=np.float32) for r in got]), np.array([r["y"] for r in got]), k)
+    terms, counts = (got.column(c).to_pylist() for c in ("terms", "counts"))
+    at = np.cumsum([0] + [len(x) // 4 for x in terms])
+    bags = Bags(at, np.frombuffer(b"".join(terms), np.int32), np.frombuffer(b"".join(counts), np.float32), got.column("words").to_numpy())
+    labels = got.column("y").to_numpy()
+    del got, terms, counts
+    return fit(bags, labels, k)
 
 
 def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, target: str = "quality", threshold: float = THRESHOLD, max_labelled: int = MAX_LABELLED) -> DataFrame:
@@ -160,8 +213,8 @@ def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, target: str
         for b in batches:
             got = np.empty(b.num_rows)
             for a, part in slices(b.column("text").to_pylist()):
-                counts = term_counts(part)
-                got[a : a + len(part)] = m.score(counts) if m else np.where(counts[:, -1] > 0, 0.5, 0.0)
+                bags = term_counts(part)
+                got[a : a + len(part)] = m.score(bags) if m else np.where(bags.words > 0, 0.5, 0.0)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=[*b.schema.names, "score"])
 
     return docs.mapInArrow(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
