@@ -194,19 +194,19 @@ def train(docs: DataFrame, labels: DataFrame, target: str = "quality", max_label
     return fit(bags, labels, k)
 
 
-def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, target: str = "quality", threshold: float = THRESHOLD, max_labelled: int = MAX_LABELLED) -> DataFrame:
+def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, target: str = "quality", threshold: float = THRESHOLD, max_labelled: int = MAX_LABELLED, out: tuple[str, str] = ("score", "predicted")) -> DataFrame:
     """docs with score (double, 0 to 1) and predicted (int: score >= threshold).
 
     Whole texts are scored; only the text enters a score. A null or empty text,
     or one of white space only, scores 0. Without any labelled text every other
-    document scores 0.5. Columns named score or predicted are replaced; repeated
-    rows stay, rows with equal texts score alike. No rows: no rows.
+    document scores 0.5. ``out`` names the two columns; columns with these names
+    are replaced, all others stay. Repeated rows stay, rows with equal texts score alike. No rows: no rows.
     """
     python_workers(spark, 1000)
-    docs = docs.drop("score", "predicted")
+    docs = docs.drop(*out)
     model = train(docs, labels, target, max_labelled)
     parts = spark.sparkContext.broadcast(model and (model.idf, model.basis, model.vectors, model.labels, model.k))
-    schema = StructType([*docs.schema.fields]).add("score", DoubleType())
+    schema = StructType([*docs.schema.fields]).add(out[0], DoubleType())
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model(*parts.value) if parts.value else None
@@ -215,6 +215,6 @@ def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, target: str
             for a, part in slices(b.column("text").to_pylist()):
                 bags = term_counts(part)
                 got[a : a + len(part)] = m.score(bags) if m else np.where(bags.words > 0, 0.5, 0.0)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=[*b.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got)], names=[*b.schema.names, out[0]])
 
-    return docs.mapInArrow(score, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return docs.mapInArrow(score, schema).withColumn(out[1], (F.col(out[0]) >= threshold).cast("int"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_checked, keep_ids, land
+from .common import broadcast_checked, free_names, keep_ids, land
 
 DIVISOR = 4
 
@@ -74,13 +74,16 @@ def line_deduped(docs: DataFrame, divisor: int = DIVISOR, key: str = "doc_id", t
     if alike:
         theirs = gone.withColumnRenamed("_id", "_as").join(broadcast_checked(same), "_as").select("_id", "_gone")
         gone = land(gone.union(theirs), "lines_gone_copies")
-    out = docs.drop("n_chunks", "n_removed").withColumnRenamed(key, "_id").join(gone, "_id", "left")
-    out = out.withColumn("_c", chunk_array(text, divisor))
-    kept = F.filter(F.col("_c"), lambda x, i: ~F.array_contains(F.coalesce(F.col("_gone"), F.array().cast("array<int>")), i))
-    new = F.when(F.col("_gone").isNull(), F.col(text)).otherwise(decoded(kept))
-    n = F.when(F.col("_c").isNull(), 0).otherwise(F.size("_c"))
-    out = out.withColumns({text: new, "n_chunks": n.cast("int"), "n_removed": F.coalesce(F.size("_gone"), F.lit(0)).cast("int")})
+    # the user's columns may have any names
+    ours, g_id, g_gone, c = free_names(docs.columns, "n_row", "g_id", "g_gone", "c_chunks")
+    gone = gone.select(F.col("_id").alias(g_id), F.col("_gone").alias(g_gone))
+    out = docs.drop("n_chunks", "n_removed").withColumn(ours, F.col(key))
+    out = out.join(gone, F.col(ours) == F.col(g_id), "left").withColumn(c, chunk_array(text, divisor))
+    kept = F.filter(F.col(c), lambda x, i: ~F.array_contains(F.coalesce(F.col(g_gone), F.array().cast("array<int>")), i))
+    new = F.when(F.col(g_gone).isNull(), F.col(text)).otherwise(decoded(kept))
+    n = F.when(F.col(c).isNull(), 0).otherwise(F.size(c))
+    out = out.withColumns({text: new, "n_chunks": n.cast("int"), "n_removed": F.coalesce(F.size(g_gone), F.lit(0)).cast("int")})
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length(text).cast("long"))
     order = [c for c in docs.columns if c not in ("n_chunks", "n_removed")]
-    return out.withColumnRenamed("_id", key).select(*[F.col(f"`{c}`") for c in order], "n_chunks", "n_removed")
+    return out.select(*[F.col(f"`{c}`") for c in order], "n_chunks", "n_removed")

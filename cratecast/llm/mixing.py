@@ -70,7 +70,8 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP,
     size: words of the text (null or empty: 0). copies: whole passes, plus one
     if the document is in the sampled rest; taken = copies * size. A document
     is in the rest if the middle of it lies within the budget, in the order of
-    (key, doc_id, size); repeated rows count as documents of their own. A null
+    (key, doc_id, size); where whole passes use the target up, no document is in
+    the rest, empty ones included. Repeated rows count as documents of their own. A null
     doc_id has one key of its own, a null source is a source. No rows: no rows.
     """
     size = n_words("text")
@@ -87,7 +88,8 @@ def mixed(docs: DataFrame, weights: Sequence[float] = WEIGHTS, cap: float = CAP,
     upto = Window.partitionBy("_s").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     plan = sums.withColumn("_before", F.coalesce(F.sum("_words").over(upto), F.lit(0))).join(share, "_s")
     # out: starts beyond the rest; in: ends a whole cell before it
-    state = F.when(F.col("_before") > F.col("_rest"), 0).when(F.col("_before") + F.col("_words") <= F.col("_rest"), 2).otherwise(1)
+    nothing = (F.col("_rest") <= 0) & (F.col("epochs") > 0)  # whole passes only, for empty texts too
+    state = F.when(nothing | (F.col("_before") > F.col("_rest")), 0).when(F.col("_before") + F.col("_words") <= F.col("_rest"), 2).otherwise(1)
     plan = land(plan.select("_s", "_cell", "source_size", "target", "epochs", "_rest", "_before", state.alias("_state")), "mix_plan")
     rows = rows.join(plan, ["_s", "_cell"])
     done = rows.where("_state <> 1").withColumn("_more", (F.col("_state") == 2).cast("int"))

@@ -28,8 +28,8 @@ p AS (
   SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs,
     coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
   FROM k JOIN t ON k.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(epochs + CASE WHEN before + size / 2.0::DOUBLE <= target - epochs * source_size THEN 1 ELSE 0 END AS INT) AS copies,
-  CAST((epochs + CASE WHEN before + size / 2.0::DOUBLE <= target - epochs * source_size THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
+SELECT doc_id, size, source_size, round(target, 6) AS target, CAST(epochs + CASE WHEN before + size / 2.0::DOUBLE <= target - epochs * source_size AND (target > epochs * source_size OR epochs = 0) THEN 1 ELSE 0 END AS INT) AS copies,
+  CAST((epochs + CASE WHEN before + size / 2.0::DOUBLE <= target - epochs * source_size AND (target > epochs * source_size OR epochs = 0) THEN 1 ELSE 0 END) * size AS BIGINT) AS taken
 FROM p
 """
 

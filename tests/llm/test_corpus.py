@@ -170,7 +170,7 @@ def test_pipeline_keeps_one_of_exact_copies(spark, frame, tmp_path):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_queries_agree_with_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "pages", "labels"):
+    for t in ("documents", "embeddings", "pages", "labels", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     got = QUERIES[name](spark, SF)
     columns = sorted(got.columns)
