@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cratecast.llm.classify import scored
-from cratecast.llm.common import broadcast_checked, keep_ids, land, n_words, read
+from cratecast.llm.common import broadcast_checked, free_names, keep_ids, land, n_words, read
 from cratecast.llm.jaccard import joined
 from cratecast.llm.linededup import line_deduped
 from cratecast.llm.mixing import mixed
@@ -23,8 +23,9 @@ WORDS, PERCENT = 5, 80
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier does not reject (score below its threshold)."""
-    kept = scored(spark, docs, read(spark, sf_dir, "labels")).where("predicted = 1")
-    return kept.select(*docs.columns)
+    score, predicted = free_names(docs.columns, "score", "predicted")
+    kept = scored(spark, docs, read(spark, sf_dir, "labels"), out=(score, predicted)).where(F.col(predicted) == 1)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,10 +45,11 @@ def jaccard_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix: each document as often as it is taken, whole epochs and the sampled rest."""
-    taken = mixed(docs).where("copies > 0").groupBy(F.struct("doc_id").alias("_id")).agg(F.max("copies").alias("_copies"))
+    t_id, t_copies, t_copy, own = free_names(docs.columns, "t_id", "t_copies", "t_copy", "t_own")
+    taken = mixed(docs).where("copies > 0").groupBy(F.struct("doc_id").alias(t_id)).agg(F.max("copies").alias(t_copies))
     taken = land(taken, "pipeline_copies")
-    rows = docs.withColumn("_id", F.struct("doc_id")).join(broadcast_checked(taken), "_id")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*docs.columns)
+    rows = docs.withColumn(own, F.struct("doc_id")).join(broadcast_checked(taken), F.col(own) == F.col(t_id))
+    return rows.withColumn(t_copy, F.explode(F.sequence(F.lit(1), t_copies))).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def length_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
