@@ -13,19 +13,28 @@ rank k, where interpolation needs it, is one more aggregate.
 The result equals pandas/NumPy ``quantile`` (method 'linear') and DuckDB
 ``quantile_cont``: with ``pos = p * (n - 1)``, ``k = floor(pos)``,
 ``v = x[k] + (x[k+1] - x[k]) * (pos - k)``.
+
+``group_quantiles`` is the same search for every group of a table at once. The
+brackets are a table, one row a group, that is joined to the values by the
+group; groups end one by one, and the driver sees only how many ranks are open.
 """
 
 from __future__ import annotations
 
 import math
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 
-def _values(df: DataFrame, col: str, weight: str | None) -> DataFrame:
+def _values(df: DataFrame, col: str, weight: str | None, *more) -> DataFrame:
     w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
-    x = df.select(F.col(col).cast("double").alias("x"), w.alias("w"))
+    x = df.select(*more, F.col(col).cast("double").alias("x"), w.alias("w"))
     return x.filter(F.col("x").isNotNull() & ~F.isnan("x") & (F.col("w") > 0))
 
 
@@ -93,6 +102,51 @@ def exact_quantile(df: DataFrame, col: str, p: float, weight: str | None = None,
     return exact_quantiles(df, col, [p], weight=weight, **kw)[0]
 
 
+def group_quantiles(df: DataFrame, keys: Sequence[str], col: str, probs: Sequence[float], names: Sequence[str], weight: str | None = None, bins: int = 256) -> DataFrame:
+    """Exact linear-interpolated quantiles of ``col`` in every group: the keys and one column for each of ``probs``.
+
+    A null key is a group of its own; null and NaN values and weights of 0 or
+    less count for nothing, and a group without a value has no row. ``weight``
+    as in ``exact_quantiles``.
+
+    Values are landed once. In each pass they meet the open brackets of their
+    group (landed too, so that the join can split a hot group), and a histogram
+    per bracket, combined map-side, tells which bucket holds the wanted rank;
+    from the second pass on only values inside open brackets are read.
+    """
+    x = materialize(_values(df, col, weight, F.struct(*keys).alias("g")), "gq_values")
+    ends = materialize(x.groupBy("g").agg(F.sum("w").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")), "gq_ends")
+    at = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    k = [F.floor(a).cast("long") for a in at]
+    nxt = [F.least(F.floor(a).cast("long") + 1, F.col("n") - 1) for a in at]
+    ranks = F.explode(F.array_distinct(F.array(*k, *nxt))).alias("k")
+    state = materialize(ends.select("g", ranks, "lo", "hi", F.lit(0).cast("long").alias("below")), "gq_state")
+    passes = 0
+    while state.filter("lo < hi").limit(1).count():
+        passes += 1
+        todo = state.filter("lo < hi")
+        # open brackets of a group are equal or disjoint, two a quantile at most
+        brackets = materialize(todo.groupBy("g").agg(F.collect_set(F.struct("lo", "hi")).alias("b")), "gq_brackets")
+        inside = x.join(brackets, "g").select("g", "x", "w", F.explode(F.filter("b", lambda b: F.col("x").between(b.lo, b.hi))).alias("c"))
+        if passes > 1:
+            inside = materialize(inside, "gq_inside")
+            x = inside.select("g", "x", "w")
+        scale = F.when(F.col("c.hi") / 2 - F.col("c.lo") / 2 > 1e300, F.lit(2.0**-20)).otherwise(1.0)  # bins * range must stay a double
+        bucket = F.width_bucket(F.col("x") * scale, F.col("c.lo") * scale, F.col("c.hi") * scale, F.lit(bins))
+        # under a name of its own the group is dealt anew after the partial sums; else the join's dealing would
+        # serve the aggregate too, and a hot group could not be split
+        hist = inside.groupBy(F.struct("g").alias("h"), "c", bucket.alias("bucket")).agg(F.sum("w").alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
+        upto = W.partitionBy("h", "c").orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)  # bins + 1 rows at most
+        hist = hist.withColumn("upto", F.sum("n").over(upto)).select("h.g", "c", "mn", "mx", (F.col("upto") - F.col("n")).alias("before"), "upto")
+        found = todo.withColumn("c", F.struct("lo", "hi")).join(hist, ["g", "c"]).filter("below + before <= k and k < below + upto")
+        found = found.select("g", "k", F.col("mn").alias("lo"), F.col("mx").alias("hi"), (F.col("below") + F.col("before")).alias("below"))
+        state = materialize(state.filter("lo = hi").unionByName(found), "gq_state")
+    values = state.groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("k", "lo"))).alias("m"))  # two entries a quantile at most
+    m = lambda r: F.element_at("m", r)
+    out = [(m(a) + (m(b) - m(a)) * (p - a)).alias(name) for p, a, b, name in zip(at, k, nxt, names)]
+    return ends.join(values, "g").select("g.*", *out)
+
+
 def quantile_cut(df: DataFrame, col: str, p: float, strict: bool, weight_df: DataFrame | None = None, weight: str | None = None) -> tuple[DataFrame, float | None]:
     """Keep rows with ``col`` below (``strict``) or at most the p-quantile.
 

@@ -10,6 +10,8 @@ something. Only CTEs a final SELECT references are evaluated.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from .params import CHANNELS, PlanParams, fixture_params
 from .sources.fixtures import CHILD_SUFFIX, FIXTURE_CRATES, SEGMENT_CHANNEL
 
@@ -360,6 +362,11 @@ def _queries(p: PlanParams) -> dict[str, str]:
     return q
 
 
+def _split_case(p: PlanParams) -> str:
+    b = f"CAST('0x' || substr(md5(concat_ws('|', ClienteClave, CAST(Semana AS VARCHAR), CAST(Dia AS VARCHAR))), 1, 8) AS BIGINT) % {p.split_buckets}"
+    return f"CASE WHEN {b} < {p.split_train} THEN 'train' WHEN {b} < {p.split_train + p.split_val} THEN 'val' ELSE 'test' END"
+
+
 def _stage_queries(p: PlanParams) -> dict[str, str]:
     days = _days(p)
     q: dict[str, str] = {}
@@ -368,6 +375,24 @@ def _stage_queries(p: PlanParams) -> dict[str, str]:
     q["weekday_codes"] = "SELECT * FROM codes"
     q["visit_plan"] = "SELECT * FROM visit_plan"
     q["client_weekday_stats"] = f"SELECT ClienteClave, Dia, {_dbl(['Venta_media_por_dia', 'Venta_mediana_por_dia'])} FROM wd_stats"
+    q["client_weekday_stats_train"] = f"""WITH kd AS (
+          SELECT *, {_split_case(p)} AS split FROM (SELECT DISTINCT ClienteClave, Fecha, Semana, Dia, CAST(Venta_Total_dia AS DECIMAL(20, 3)) AS v FROM p_sales) t),
+        kt AS (SELECT * FROM kd WHERE split = 'train'),
+        dd AS (SELECT ClienteClave, Semana, Dia, Fecha, CAST(Venta_Total_dia AS DECIMAL(20, 3)) AS v, {_split_case(p)} AS split FROM daily),
+        wo AS (SELECT d.ClienteClave, d.Semana, d.Dia, sum(k.v) AS s, count(k.v) AS n, median(CAST(k.v AS DOUBLE)) AS md FROM dd d
+               JOIN kt k ON k.ClienteClave = d.ClienteClave AND k.Dia = d.Dia AND k.Fecha <> d.Fecha GROUP BY 1, 2, 3),
+        co AS (SELECT d.ClienteClave, d.Semana, d.Dia, sum(k.v) AS s, count(k.v) AS n FROM dd d
+               JOIN kt k ON k.ClienteClave = d.ClienteClave AND k.Fecha <> d.Fecha GROUP BY 1, 2, 3),
+        ga AS (SELECT sum(v) AS s, count(*) AS n FROM kt),
+        wa AS (SELECT ClienteClave, Dia, CAST(sum(v) AS DOUBLE) / count(*) AS m FROM kt GROUP BY 1, 2),
+        ca AS (SELECT ClienteClave, CAST(sum(v) AS DOUBLE) / count(*) AS m FROM kt GROUP BY 1),
+        x AS (SELECT d.*, coalesce(CAST(wo.s AS DOUBLE) / wo.n, CAST(co.s AS DOUBLE) / co.n,
+                CASE WHEN d.split = 'train' THEN CAST(ga.s - d.v AS DOUBLE) / (ga.n - 1) ELSE CAST(ga.s AS DOUBLE) / ga.n END) AS loo, wo.md,
+                coalesce(wa.m, ca.m, CAST(ga.s AS DOUBLE) / ga.n) AS pl
+              FROM dd d LEFT JOIN wo ON wo.ClienteClave = d.ClienteClave AND wo.Semana = d.Semana AND wo.Dia = d.Dia
+              LEFT JOIN co ON co.ClienteClave = d.ClienteClave AND co.Semana = d.Semana AND co.Dia = d.Dia
+              LEFT JOIN wa ON wa.ClienteClave = d.ClienteClave AND wa.Dia = d.Dia LEFT JOIN ca ON ca.ClienteClave = d.ClienteClave, ga)
+        SELECT ClienteClave, Semana, Dia, split, {r6('loo', 'Venta_media_por_dia')}, {r6('coalesce(md, loo)', 'Venta_mediana_por_dia')}, {r6('pl', 'Venta_media_plan')} FROM x"""
     dcols = ["Venta_Total_dia", "Valor_Z_general", "Valor_Z_detalle", "Venta_media_por_dia", "Venta_mediana_por_dia"]
     base = 'ClienteClave, Semana, Dia, Fecha, UNE, Ruta, EsquemaID, Mes, "Year", Visitas_Semanales'
     q["daily_dataset"] = f"SELECT {base}, {_dbl(dcols)} FROM daily"
@@ -390,13 +415,32 @@ def _stage_queries(p: PlanParams) -> dict[str, str]:
         FROM (SELECT DISTINCT UNE, ClienteClave FROM mix_long) c
         JOIN (SELECT UNE, ProductoClave, row_number() OVER (PARTITION BY UNE ORDER BY ProductoClave) - 1 AS idx FROM (SELECT DISTINCT UNE, ProductoClave FROM mix_long)) u ON c.UNE = u.UNE
         LEFT JOIN mix_long m ON m.UNE = c.UNE AND m.ClienteClave = c.ClienteClave AND m.ProductoClave = u.ProductoClave"""
-    q["split"] = f"""SELECT ClienteClave, Semana, Dia, CASE WHEN b < {p.split_train} THEN 'train' WHEN b < {p.split_train + p.split_val} THEN 'val' ELSE 'test' END AS split
-        FROM (SELECT ClienteClave, Semana, Dia, CAST('0x' || substr(md5(concat_ws('|', ClienteClave, CAST(Semana AS VARCHAR), CAST(Dia AS VARCHAR))), 1, 8) AS BIGINT) % {p.split_buckets} AS b FROM daily)"""
+    q["split"] = f"SELECT ClienteClave, Semana, Dia, {_split_case(p)} AS split FROM daily"
     q["product_mix"] = f"SELECT UNE, ClienteClave, ProductoClave, {r6('Porcentaje')} FROM mix_long"
     q["cluster_mix"] = f"SELECT UNE, ClienteClave, Cluster, ProductoClave, {r6('Porcentaje_kmeans')} FROM cluster_mix"
     q["running_share"] = f"SELECT ClienteClave, ProductoClave, {_dbl(days + ['Porcentaje', 'Agg'])} FROM rs"
     q["unblended_clients"] = f"SELECT ClienteClave, ProductoClave, {_dbl(days + ['Porcentaje'])} FROM unblended"
     q["blend"] = f"SELECT ClienteClave, ProductoClave, {_dbl(days + ['Porcentaje'])} FROM blend"
+    dl, ddiv = ", ".join(days), ", ".join(f"coalesce(sum(CASE WHEN s.Dia = {d} THEN s.KgLts_Total END), 0.0) / NULLIF(sum(s.KgLts_Total), 0) AS {n}" for d, n in p.days)
+    w = p.blend_weight
+    cdl = ", ".join("f." + n for n in days)
+    q["blend_new_products"] = f"""WITH prof AS (SELECT a.UNE, a.Cluster, s.ProductoClave, {ddiv} FROM p_sales s
+          JOIN assign a ON a.UNE = s.UNE AND a.ClienteClave = s.ClienteClave GROUP BY 1, 2, 3),
+        old AS (SELECT h.ClienteClave, h.ProductoClave, {", ".join("h." + n for n in days)},
+              CASE WHEN a.ClienteClave IS NULL THEN h.Porcentaje ELSE {1.0 - w!r} * h.Porcentaje + {w!r} * coalesce(c.Porcentaje_kmeans, 0.0) END AS Porcentaje
+              FROM day_mix h LEFT JOIN assign a ON a.ClienteClave = h.ClienteClave
+              LEFT JOIN centres c ON c.UNE = a.UNE AND c.Cluster = a.Cluster AND c.ProductoClave = h.ProductoClave),
+        fresh AS (SELECT a.ClienteClave, f.ProductoClave, {cdl}, {w!r} * c.Porcentaje_kmeans AS Porcentaje FROM assign a
+              JOIN centres c ON c.UNE = a.UNE AND c.Cluster = a.Cluster JOIN prof f ON f.UNE = c.UNE AND f.Cluster = c.Cluster AND f.ProductoClave = c.ProductoClave
+              WHERE c.Porcentaje_kmeans > 0 AND a.ClienteClave IN (SELECT ClienteClave FROM day_mix)
+              AND NOT EXISTS (SELECT 1 FROM day_mix h WHERE h.ClienteClave = a.ClienteClave AND h.ProductoClave = c.ProductoClave)),
+        nall AS (SELECT * FROM old UNION ALL SELECT * FROM fresh),
+        nrs AS (SELECT *, sum(Porcentaje) OVER (PARTITION BY ClienteClave ORDER BY Porcentaje DESC, ProductoClave ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS Agg FROM nall),
+        nkept AS (SELECT * FROM nrs WHERE round(Agg, {p.share_decimals}) < {p.share_cut!r}),
+        nout AS (SELECT ClienteClave, ProductoClave, {dl}, (Porcentaje * 100.0 / sum(Porcentaje) OVER (PARTITION BY ClienteClave)) / 100.0 AS Porcentaje FROM nkept
+              UNION ALL SELECT ClienteClave, ProductoClave, {dl}, CAST(1.0 AS DOUBLE) FROM (SELECT *, row_number() OVER (PARTITION BY ClienteClave ORDER BY Porcentaje DESC, ProductoClave) AS r
+                FROM nall WHERE ClienteClave NOT IN (SELECT ClienteClave FROM nkept)) t WHERE r = 1)
+        SELECT ClienteClave, ProductoClave, {_dbl(days + ['Porcentaje'])} FROM nout WHERE ClienteClave IN (SELECT ClienteClave FROM fc)"""
     q["day_volume"] = f"""SELECT ClienteClave, UNE, Ruta, EsquemaID, Semana, Visitas_Semanales, ProductoClave,
         {_dbl(days + ['Porcentaje'])} FROM day_volume"""
     q["unit_min"] = f"SELECT ProductoClave, {r6('KgLts')} FROM unit_min"
@@ -430,6 +474,12 @@ def _stage_queries(p: PlanParams) -> dict[str, str]:
         FROM (SELECT Venta_Total_dia AS v FROM {src}) s, (SELECT quantile_cont(Venta_Total_dia, 0.25) AS q1,
         quantile_cont(Venta_Total_dia, 0.5) AS q2, quantile_cont(Venta_Total_dia, 0.75) AS q3 FROM {src}) q GROUP BY q1, q2, q3"""
     q["box_stats"] = box("sales_dt", "before") + " UNION ALL " + box("p_sales", "after")
+    q["channel_box"] = f"""WITH cw AS (SELECT EsquemaID, sum(KgLts_Total) AS v FROM sales GROUP BY EsquemaID, ClienteClave, "Year", Semana),
+        q AS (SELECT EsquemaID, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS q2, quantile_cont(v, 0.75) AS q3 FROM cw GROUP BY EsquemaID)
+        SELECT EsquemaID, count(v) AS n, {r6('min(v)', 'min')}, {r6('q1')}, {r6('q2', 'median')}, {r6('q3')}, {r6('max(v)', 'max')},
+        {r6('q1 - 1.5 * (q3 - q1)', 'fence_lo')}, {r6('q3 + 1.5 * (q3 - q1)', 'fence_hi')},
+        count(CASE WHEN v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1) THEN 1 END) AS n_outliers
+        FROM cw JOIN q USING (EsquemaID) GROUP BY EsquemaID, q1, q2, q3"""
     q["channel_trend"] = f"""SELECT EsquemaID, "Year", Semana, {r6('sum(cw)', 'KgLts_Total')}, {r6('stddev_samp(cw)', 'std_cliente')},
         count(*) AS n_clientes FROM (SELECT EsquemaID, ClienteClave, "Year", Semana, sum(KgLts_Total) AS cw FROM sales
         GROUP BY 1, 2, 3, 4) t GROUP BY EsquemaID, "Year", Semana"""
@@ -463,9 +513,31 @@ def oracle_sql(p: PlanParams | None = None) -> dict[str, str]:
     out = {}
     for k, sel in _queries(p).items():
         out[k] = with_chain(sel, p) if not sel.lstrip().upper().startswith("WITH") else _nest(sel, p)
+    out["backtest"] = _backtest(p)
     return out
 
 
+def _backtest(p: PlanParams) -> str:
+    """Every origin is the whole chain over sales that end the day before."""
+    parts = []
+    for o in p.backtest_origins:
+        first = [o + dt.timedelta(weeks=h) for h in range(p.backtest_weeks)]
+        target = ", ".join(f"({h + 1}, DATE '{d}', {d.isocalendar()[1]})" for h, d in enumerate(first))
+        parts.append(with_chain(f"""SELECT DATE '{o}' AS Origen, h.h AS Horizonte, h.d AS Desde, h.s AS Semana,
+          (coalesce((SELECT sum(v.Venta_media_por_dia) FROM warm v JOIN client_attrs a ON a.ClienteClave = v.ClienteClave), 0.0) + coalesce(c.f, 0.0)) * {p.uplift!r} AS forecast
+          FROM (VALUES {target}) h(h, d, s) LEFT JOIN (
+            SELECT cv.Semana, sum(cv.prediccion / k.Visitas_Semanales) AS f FROM plan_days d JOIN cold k ON d.ClienteClave = k.ClienteClave
+            JOIN client_attrs a ON a.ClienteClave = k.ClienteClave
+            JOIN curves cv ON k.EsquemaID = cv.EsquemaID AND k.Visitas_Semanales = cv.Visitas_Semanales GROUP BY cv.Semana) c ON c.Semana = h.s""", p.with_(end=o - dt.timedelta(days=1))))
+    body = " UNION ALL ".join(f"SELECT * FROM ({x})" for x in parts)
+    chain = ",\n".join(f"{n} AS (\n{sql}\n)" for n, sql in fixture_ctes() + plan_ctes(p))
+    return f"""WITH {chain}, forecasts AS ({body}),
+        j AS (SELECT f.*, coalesce((SELECT sum(KgLts_Total) FROM sales s WHERE s.Fecha >= f.Desde AND s.Fecha < f.Desde + INTERVAL 7 DAY), 0.0) AS actual FROM forecasts f),
+        e AS (SELECT *, forecast - actual AS error, (forecast - actual) * 100.0 / NULLIF(actual, 0) AS pct_error FROM j)
+        SELECT Origen, Horizonte, Desde, Semana, {_dbl(['forecast', 'actual', 'error', 'pct_error'])},
+        {r6('avg(abs(pct_error)) OVER (PARTITION BY Origen)', 'mape_origen')}, {r6('avg(abs(pct_error)) OVER (PARTITION BY Horizonte)', 'mape_horizonte')} FROM e"""
+
+
 def _nest(sel: str, p: PlanParams) -> str:
     """A statement with its own WITH: append its CTEs after the chain's."""
     inner = sel.lstrip()[4:]

@@ -96,6 +96,11 @@ class PlanParams:
     split_buckets: int = 25         # 16 train / 4 validation / 5 test
     split_train: int = 16
     split_val: int = 4
+    # rolling-origin test: Mondays at which the plan is cut, and weeks forecast from each
+    backtest_origins: tuple[dt.date, ...] = (dt.date(2023, 8, 28), dt.date(2023, 9, 25), dt.date(2023, 10, 23))
+    backtest_weeks: int = 4
+    # blend: also products that only a client's segment buys
+    allow_new_products: bool = False
     # result rounding used by the checked outputs
     iso_year: bool = False
 
@@ -112,5 +117,6 @@ def fixture_params(**kw) -> PlanParams:
         start=dt.date(1990, 1, 1),
         end=dt.date(2030, 12, 31),
         units=("D001", "D002", "D003", "D004", "D005"),
+        backtest_origins=(dt.date(2001, 4, 30), dt.date(2001, 5, 28), dt.date(2001, 6, 25)),
     )
     return replace(base, **kw)

@@ -9,6 +9,8 @@ Curve groups are bounded (one row per week), so windows are used there.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,17 +35,18 @@ def curve_grid(daily: DataFrame, w0: int, w1: int) -> DataFrame:
     return grid.join(mean, ["EsquemaID", "Semana", "Visitas_Semanales"], "left")
 
 
-def curve_filled(grid: DataFrame) -> DataFrame:
-    """Empty cells take the mean of their channel's observed cells."""
-    return fill_group_mean(grid, "Venta_Total_dia", ["EsquemaID"])
+def curve_filled(grid: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Empty cells take the mean of their channel's observed cells (Z7); ``by``: further keys."""
+    return fill_group_mean(grid, "Venta_Total_dia", [*by, "EsquemaID"])
 
 
-def curve_smooth(filled: DataFrame, p: PlanParams) -> DataFrame:
-    z = zscore(filled, "Venta_Total_dia", KEYS, "Valor_Z", p.z_single)
+def curve_smooth(filled: DataFrame, p: PlanParams, by: Sequence[str] = ()) -> DataFrame:
+    keys = [*by, *KEYS]
+    z = zscore(filled, "Venta_Total_dia", keys, "Valor_Z", p.z_single)
     z = z.withColumn(
         "Venta_Total_dia", F.when(F.col("Valor_Z") >= F.lit(p.z_curve_null), F.lit(None)).otherwise(F.col("Venta_Total_dia"))
     )
-    i = interpolate(z, "Venta_Total_dia", KEYS, "Semana", "Venta_Total_dia")
+    i = interpolate(z, "Venta_Total_dia", keys, "Semana", "Venta_Total_dia")
     return i.withColumn("prediccion", half_even("Venta_Total_dia", 3)).drop("Valor_Z")
 
 

@@ -22,12 +22,13 @@ from . import clean, curves, dataset, load, mix
 
 
 class DemandPlan:
-    def __init__(self, tables, p: PlanParams, forecaster=None, segmenter=None, materialize_stages: bool = False, codes: DataFrame | None = None):
+    def __init__(self, tables, p: PlanParams, forecaster=None, segmenter=None, materialize_stages: bool = False, codes: DataFrame | None = None, train_means: bool = False):
         self.t = tables
         self.p = p
         self.forecaster = forecaster    # callable(daily_banded, warm) -> warm with 'prediccion'
         self.segmenter = segmenter      # callable(vectors long form, sales) -> (UNE, ClienteClave, Cluster)
         self.codes = codes              # (FrecuenciaClave, Dia), or None: by the codes' order
+        self.train_means = train_means  # weekday means of training days only, a row's own left out
         self._mat = materialize_stages
 
     def _m(self, df: DataFrame, name: str = "stage") -> DataFrame:
@@ -90,7 +91,7 @@ class DemandPlan:
 
     @cached_property
     def daily(self) -> DataFrame:
-        return self._m(dataset.daily_dataset(self.stages, self.weekly_visits), "daily")
+        return self._m(dataset.daily_dataset(self.stages, self.weekly_visits, self.train_means, self._m), "daily")
 
     @cached_property
     def bands(self) -> dataset.Bands:
@@ -158,7 +159,8 @@ class DemandPlan:
     def blend(self) -> DataFrame:
         # clients of the (materialised) weekly forecast: the same set as the
         # forecast's clients among those with a historical mix
-        return mix.blend(self.day_mix, self.mix_long, self.assignments, self.weekly, self.p)
+        profile = mix.segment_days(self.stages.p_sales, self.assignments, self.p) if self.p.allow_new_products else None
+        return mix.blend(self.day_mix, self.mix_long, self.assignments, self.weekly, self.p, profile)
 
     # -- pieces and crates ------------------------------------------------------------
     @cached_property

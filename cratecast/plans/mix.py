@@ -125,7 +125,38 @@ def unblended_clients(hist: DataFrame, joined: DataFrame) -> DataFrame:
     return hist.join(joined.select(CLIENT).distinct(), CLIENT, "left_anti")
 
 
-def blend(hist: DataFrame, mix_long: DataFrame, assign: DataFrame, forecast: DataFrame, p: PlanParams) -> DataFrame:
+def segment_days(p_sales: DataFrame, assign: DataFrame, p: PlanParams) -> DataFrame:
+    """Weekday profile of each product in each segment: the part of its litres that the members bought on each named weekday."""
+    x = p_sales.select("UNE", CLIENT, PRODUCT, "Dia", "KgLts_Total").join(assign, ["UNE", CLIENT])
+    g = pivot_days(x, ["UNE", "Cluster", PRODUCT], "KgLts_Total", p.days, extra=[F.sum("KgLts_Total").alias("kg")])
+    return g.select("UNE", "Cluster", PRODUCT, *[safe_div(F.col(name), F.col("kg")).alias(name) for _, name in p.days])
+
+
+def new_products(hist: DataFrame, mix_long: DataFrame, assign: DataFrame, profile: DataFrame, p: PlanParams) -> DataFrame:
+    """(client, product, weekday fractions, share) of products that a client's segment buys and the client never did.
+
+    The share is the segment's, times the weight of segments in the blend; the
+    weekday fractions are the segment's. At most the products of the client's
+    unit a client: the pairs are what the option asks for, no cross join."""
+    centres = cluster_centres(mix_long, assign).filter("Porcentaje_kmeans > 0").join(profile, ["UNE", "Cluster", PRODUCT])
+    # clients with a history only: others get no plan to add to
+    x = assign.join(hist.select(CLIENT).distinct(), CLIENT, "left_semi").join(centres, ["UNE", "Cluster"])
+    x = x.join(hist.select(CLIENT, PRODUCT).distinct(), [CLIENT, PRODUCT], "left_anti")
+    return x.select(CLIENT, PRODUCT, *[name for _, name in p.days], (F.lit(p.blend_weight) * F.col("Porcentaje_kmeans")).alias("Porcentaje"))
+
+
+def outer_blend(hist: DataFrame, mix_long: DataFrame, assign: DataFrame, profile: DataFrame, p: PlanParams) -> DataFrame:
+    """History and segment blended over the products of both: (1 - w) * history + w * segment, a side without the product counting 0.
+
+    A client without a segment keeps its history. A product with a history has
+    its own weekday fractions, a new one those of its segment."""
+    x = with_centres(hist.join(assign.select(CLIENT).distinct().withColumn("_has", F.lit(True)), CLIENT, "left"), mix_long, assign)
+    both = F.when(F.col("_has"), F.lit(1.0 - p.blend_weight) * F.col("Porcentaje") + F.lit(p.blend_weight) * F.coalesce("Porcentaje_kmeans", F.lit(0.0)))
+    x = x.withColumn("Porcentaje", F.coalesce(both, F.col("Porcentaje"))).drop("Porcentaje_kmeans", "_has")
+    return x.unionByName(new_products(hist, mix_long, assign, profile, p))
+
+
+def blend(hist: DataFrame, mix_long: DataFrame, assign: DataFrame, forecast: DataFrame, p: PlanParams, profile: DataFrame | None = None) -> DataFrame:
     """Blend, then keep products while the running share (largest first) is
     below ``share_cut``; clients left with none keep their top product at
     share 1; kept shares are renormalised to sum 1 (G14, T4). Restricted to
@@ -133,14 +164,26 @@ def blend(hist: DataFrame, mix_long: DataFrame, assign: DataFrame, forecast: Dat
 
     One left join to the centres and one set of windows per client, bounded by
     the catalogue (times the client's segments). A client without any blended
-    row keeps its historical ones."""
-    x = with_centres(hist, mix_long, assign).join(forecast.select(CLIENT).distinct(), CLIENT, "left_semi")
+    row keeps its historical ones.
+
+    ``profile`` (``segment_days``): blend over the products of both sides
+    (``outer_blend``); the cut and the renormalisation then span old and new
+    products."""
     per = W.partitionBy(CLIENT)
+    if profile is not None:
+        x = outer_blend(hist, mix_long, assign, profile, p).join(forecast.select(CLIENT).distinct(), CLIENT, "left_semi")
+        return _cut(x, p, per)
+    x = with_centres(hist, mix_long, assign).join(forecast.select(CLIENT).distinct(), CLIENT, "left_semi")
     matched = F.col("Porcentaje_kmeans").isNotNull()
     x = x.withColumn("_any", F.max(matched).over(per))
     x = x.withColumn("_again", F.row_number().over(W.partitionBy(CLIENT, PRODUCT).orderBy(F.lit(1))))
     x = x.filter(F.when(F.col("_any"), matched).otherwise(F.col("_again") == 1))
     x = x.withColumn("Porcentaje", F.coalesce(_mixed(p), F.col("Porcentaje"))).drop("Porcentaje_kmeans", "_any", "_again")
+    return _cut(x, p, per)
+
+
+def _cut(x: DataFrame, p: PlanParams, per) -> DataFrame:
+    """Products while the running share is below the cut, or the top one, renormalised."""
     x = running_share(x, CLIENT, "Porcentaje", PRODUCT, "_agg")
     kept = F.round("_agg", p.share_decimals) < F.lit(p.share_cut)
     first = F.row_number().over(per.orderBy(F.col("Porcentaje").desc(), F.col(PRODUCT)))

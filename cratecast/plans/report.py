@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import week_date
 from ..functions.scalar import half_even
-from ..operators.quantile import exact_quantiles
+from ..operators.quantile import exact_quantiles, group_quantiles
+from ..session import materialize
 from ..sources.extracts import channel_codes
 from ..sources.schemas import SCHEMAS
 from .clean import CleanStages
@@ -82,20 +83,39 @@ def describe(df: DataFrame, col: str) -> DataFrame:
     )
 
 
-def box_stats(df: DataFrame, col: str, stage: str) -> DataFrame:
-    """Quartiles, 1.5 IQR fences and the number of points outside them."""
-    q1, q2, q3 = exact_quantiles(df, col, [0.25, 0.5, 0.75])
-    lo, hi = (None, None) if q1 is None else (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
-    c = F.col(col)
-    return df.agg(
-        F.count(c).alias("n"),
-        F.min(c).alias("min"),
-        F.max(c).alias("max"),
-        F.count(F.when((c < F.lit(lo).cast("double")) | (c > F.lit(hi).cast("double")), 1)).alias("n_outliers"),
-    ).select(
-        F.lit(stage).alias("stage"), "n", "min", F.lit(q1).cast("double").alias("q1"), F.lit(q2).cast("double").alias("median"),
-        F.lit(q3).cast("double").alias("q3"), "max", F.lit(lo).cast("double").alias("fence_lo"), F.lit(hi).cast("double").alias("fence_hi"), "n_outliers",
+def group_box(df: DataFrame, keys: list[str], col: str, weight: str | None = None) -> DataFrame:
+    """Box-plot statistics of every group: n, min, quartiles, max, 1.5 IQR fences and the number of points outside them.
+
+    ``weight``: each row counts that many times (day totals with their line count)."""
+    x = df.select(*keys, F.col(col).cast("double").alias("x"), (F.col(weight) if weight else F.lit(1)).cast("long").alias("w"))
+    x = materialize(x.filter(F.col("x").isNotNull() & ~F.isnan("x") & (F.col("w") > 0)), "box_values")
+    q = group_quantiles(x, keys, "x", [0.25, 0.5, 0.75], ["q1", "median", "q3"], weight="w")
+    iqr = F.col("q3") - F.col("q1")
+    q = q.select(F.struct(*keys).alias("g"), "q1", "median", "q3", (F.col("q1") - 1.5 * iqr).alias("fence_lo"), (F.col("q3") + 1.5 * iqr).alias("fence_hi"))
+    q = materialize(q, "box_quartiles")  # a plain side, so that the join can split a hot group
+    outside = (F.col("x") < F.col("fence_lo")) | (F.col("x") > F.col("fence_hi"))
+    j = x.withColumn("g", F.struct(*keys)).select("g", "x", "w").join(q, "g")
+    # the group under a name of its own: dealt anew after the partial sums, so that the join may split it
+    a = j.groupBy(F.struct("g").alias("h"), "q1", "median", "q3", "fence_lo", "fence_hi").agg(
+        F.sum("w").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), F.sum(F.when(outside, F.col("w")).otherwise(0)).alias("n_outliers")
     )
+    return a.select("h.g.*", "n", "min", "q1", "median", "q3", "max", "fence_lo", "fence_hi", "n_outliers")
+
+
+def box_stats(st: CleanStages) -> DataFrame:
+    """The box of the day totals over lines before and after the quantile cut.
+
+    Both stages are groups of one search over the (client, day) totals, each
+    weighted by its lines; a day below the cut belongs to both."""
+    d = st.day_totals.select("Venta_Total_dia", "n_lines")
+    tags = F.array_compact(F.array(F.lit("before"), F.when(F.col("Venta_Total_dia") < F.lit(st.p_value), "after")))
+    return group_box(d.select(F.explode(tags).alias("stage"), "Venta_Total_dia", "n_lines"), ["stage"], "Venta_Total_dia", "n_lines")
+
+
+def channel_box(s: DataFrame) -> DataFrame:
+    """The spread per channel: the box of its clients' weekly litres."""
+    cw = s.groupBy("EsquemaID", "ClienteClave", "Year", "Semana").agg(F.sum("KgLts_Total").alias("KgLts_Total"))
+    return group_box(cw, ["EsquemaID"], "KgLts_Total")
 
 
 def channel_trend(s: DataFrame) -> DataFrame:

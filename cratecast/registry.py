@@ -155,7 +155,7 @@ def q_zscore_client(spark, sf_dir):
 
     dp = _plan(spark, sf_dir)
     st, p = dp.stages, dp.p
-    z = zscore(st.p_sales, "Venta_Total_dia", ["ClienteClave"], "Valor_Z_general", p.z_single)
+    z = zscore(st.p_sales, "Venta_Total_dia", ["ClienteClave"], "Valor_Z_general", p.z_single, hot=True)
     return rnd(z.select("ClienteClave", "Fecha", "Venta_Total_dia", "Valor_Z_general").distinct())
 
 
@@ -213,6 +213,14 @@ def q_client_weekday_stats(spark, sf_dir):
     return rnd(client_weekday_stats(_plan(spark, sf_dir).stages))
 
 
+@register("client_weekday_stats_train")
+def q_client_weekday_stats_train(spark, sf_dir):
+    from .plans.model import ROW_KEY, hash_split
+
+    dp = _plan(spark, sf_dir, train_means=True)
+    return rnd(hash_split(dp.daily, ROW_KEY, dp.p).select(*ROW_KEY, "split", "Venta_media_por_dia", "Venta_mediana_por_dia", "Venta_media_plan"))
+
+
 @register("daily_dataset")
 def q_daily_dataset(spark, sf_dir):
     return rnd(_plan(spark, sf_dir).daily)
@@ -341,6 +349,13 @@ def q_blend(spark, sf_dir):
     return rnd(_plan(spark, sf_dir).blend)
 
 
+@register("blend_new_products")
+def q_blend_new_products(spark, sf_dir):
+    dp = _plan(spark, sf_dir)
+    dp.p = dp.p.with_(allow_new_products=True)
+    return rnd(dp.blend)
+
+
 @register("day_volume")
 def q_day_volume(spark, sf_dir):
     return rnd(_plan(spark, sf_dir).day_volume)
@@ -432,14 +447,16 @@ def q_describe_weekly(spark, sf_dir):
 
 @register("box_stats")
 def q_box_stats(spark, sf_dir):
-    from .plans.clean import day_totals
     from .plans.report import box_stats
 
-    dp = _plan(spark, sf_dir)
-    before = dp.sales.join(day_totals(dp.sales).select("ClienteClave", "Fecha", "Venta_Total_dia"), ["ClienteClave", "Fecha"])
-    a = box_stats(before, "Venta_Total_dia", "before")
-    b = box_stats(dp.stages.p_sales, "Venta_Total_dia", "after")
-    return rnd(a.unionByName(b))
+    return rnd(box_stats(_plan(spark, sf_dir).stages))
+
+
+@register("channel_box")
+def q_channel_box(spark, sf_dir):
+    from .plans.report import channel_box
+
+    return rnd(channel_box(_lazy(spark, sf_dir).sales))
 
 
 @register("channel_trend")
@@ -478,6 +495,13 @@ def q_compare_weekly(spark, sf_dir):
     return rnd(compare(fc, ac))
 
 
+@register("backtest")
+def q_backtest(spark, sf_dir):
+    from .plans.backtest import backtest
+
+    return rnd(backtest(_plan(spark, sf_dir)).errors())
+
+
 # -- M: models (rows-only checks; no SQL oracle for fitted models) -------------------------
 
 @lru_cache(maxsize=4)
@@ -567,3 +591,13 @@ def q_route_load_model(spark, sf_dir):
     """End to end with the fitted models: GBT forecast for warm clients and
     k-means segments for the mix blend."""
     return rnd(_models(spark, sf_dir)[0].route_load)
+
+
+@register("backtest_model")
+def q_backtest_model(spark, sf_dir):
+    """Rolling origins with the fitted forecast model: a model an origin, of at most 40 trees so that three fits stay affordable."""
+    from .plans.backtest import backtest
+    from .plans.model import gbt_forecaster
+
+    dp = _plan(spark, sf_dir)
+    return rnd(backtest(dp, gbt_forecaster(dp.p.with_(gbt_max_iter=40, gbt_patience=10))).errors())
