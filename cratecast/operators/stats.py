@@ -7,7 +7,8 @@ a key can be hot the statistics are landed first: both sides of the join are
 then plain exchanges, the only shape whose hot partitions AQE's skew join
 splits (it does not where an aggregate sits on one side).
 Windows are used only where a group is bounded by construction (products of
-one client, weeks of one curve, the distinct code list).
+one client, weeks of one curve, the distinct code list), or where the largest
+share of a key has been measured and rows are stored by that key.
 """
 
 from __future__ import annotations
@@ -25,17 +26,27 @@ def _cols(xs: Sequence[str] | str) -> list[str]:
     return [xs] if isinstance(xs, str) else list(xs)
 
 
-def zscore(df: DataFrame, col: str, keys: Sequence[str] | str, out: str, single: float = 10.0, hot: bool = False) -> DataFrame:
+def zscore(df: DataFrame, col: str, keys: Sequence[str] | str, out: str, single: float = 10.0, hot: bool = False, together: bool = False) -> DataFrame:
     """Group z-score of ``col``: ``single`` if the group has at most one row,
     0 if its sample standard deviation is 0, else (x - mean) / std.
 
     ``hot``: a key may hold a large part of the rows; lands the statistics
-    (one row a key) so that the join back can split it."""
+    (one row a key) so that the join back can split it. ``together``: the rows
+    of a key already lie in one partition and no key is hot: a window, without
+    exchange or join."""
     keys = _cols(keys)
+    if together:
+        w = W.partitionBy(*keys)
+        x = df.withColumns({"_zn": F.count(F.lit(1)).over(w), "_zm": F.avg(col).over(w), "_zs": F.stddev_samp(col).over(w)})
+        return _scored(x, col, out, single)
     st = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_zn"), F.avg(col).alias("_zm"), F.stddev_samp(col).alias("_zs")
     )
     x = df.join(materialize(st, "zstats") if hot else st, keys, "left")
+    return _scored(x, col, out, single)
+
+
+def _scored(x: DataFrame, col: str, out: str, single: float) -> DataFrame:
     z = (
         F.when(F.col("_zn") <= 1, F.lit(float(single)))
         .when(F.col("_zs") == 0, F.lit(0.0))

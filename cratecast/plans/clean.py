@@ -9,9 +9,11 @@ which equals the quantile over lines but scans far fewer rows.
 
 from __future__ import annotations
 
+import copy
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.calendar import add_calendar
@@ -31,16 +33,35 @@ def sales(t, p: PlanParams) -> DataFrame:
 
 def day_totals(s: DataFrame) -> DataFrame:
     """(client, day) -> day total and number of lines."""
-    return s.groupBy(CLIENT, DAY).agg(
-        F.sum("KgLts_Total").alias("Venta_Total_dia"), F.count(F.lit(1)).alias("n_lines")
-    )
+    return s.groupBy(CLIENT, DAY).agg(_litres().alias("Venta_Total_dia"), F.count(F.lit(1)).alias("n_lines"))
+
+
+def _litres(over=None) -> Column:
+    """Sum of line litres, which have three places: summed as whole thousandths, the same in any order."""
+    s = F.sum(F.rint(F.col("KgLts_Total") * 1000).cast("long"))
+    return (s.over(over) if over is not None else s) / 1000.0
+
+
+def hot_client(t, p: PlanParams, parts: int) -> bool:
+    """Whether a client holds more than twice an equal part of the sales headers, of ``parts`` parts.
+
+    One combined count per client; then its rows must be split over tasks, and
+    storing the lines by client would put them into one."""
+    h = t.sale_header.filter(F.col("DiaClave").between(F.lit(p.start), F.lit(p.end))).groupBy(CLIENT).agg(F.count(F.lit(1)).alias("n"))
+    most, total = h.agg(F.max("n"), F.sum("n")).first()
+    return most is not None and most * parts > 2 * total
 
 
 class CleanStages:
-    """The stages of the cleaning; ``land`` (or nothing) cuts the lineage of those read more than once."""
+    """The stages of the cleaning; ``land`` (or nothing) cuts the lineage of those read more than once.
+
+    ``together``: the lines are stored by client and no client is hot. Day
+    totals and z-scores are then windows over the stored lines, and nothing is
+    exchanged, joined or landed but the day totals."""
 
-    def __init__(self, s: DataFrame, p: PlanParams, land=None):
-        self.p, self._land = p, land or (lambda df, name: df)
+    def __init__(self, s: DataFrame, p: PlanParams, land=None, together: bool = False):
+        self.p, self._land, self.together = p, land or (lambda df, name: df), together
+        self._tap = lambda name, df: df
         self.sales = s                                              # every extracted line, with calendar
         self.day_totals = self._land(day_totals(s), "day_totals")   # (client, day, total, lines) before the cut
 
@@ -57,23 +78,36 @@ class CleanStages:
     @cached_property
     def p_sales(self) -> DataFrame:
         """Lines of the kept days."""
-        return self._land(self.sales.join(self.kept_days, [CLIENT, DAY]), "p_sales")
+        if self.together:
+            x = self.sales.withColumn("Venta_Total_dia", _litres(W.partitionBy(CLIENT, DAY)))
+            return self._tap("n_p", x.filter(F.col("Venta_Total_dia") < F.lit(self.p_value)))
+        return self._tap("n_p", self._land(self.sales.join(self.kept_days, [CLIENT, DAY]), "p_sales"))
 
     @cached_property
     def z_client(self) -> DataFrame:
         """After the client z band."""
-        z = zscore(self.p_sales, "Venta_Total_dia", [CLIENT], "Valor_Z_general", self.p.z_single, hot=True)
-        return band_filter(z, "Valor_Z_general", self.p.z_lo, self.p.z_hi)
+        z = zscore(self.p_sales, "Venta_Total_dia", [CLIENT], "Valor_Z_general", self.p.z_single, hot=not self.together, together=self.together)
+        return self._tap("n_z_client", band_filter(z, "Valor_Z_general", self.p.z_lo, self.p.z_hi))
 
     @cached_property
     def clean(self) -> DataFrame:
         """After the (client, product) z band."""
-        z = zscore(self.z_client, "KgLts_Total", [CLIENT, PRODUCT], "Valor_Z_detalle", self.p.z_single, hot=True)
-        return band_filter(z, "Valor_Z_detalle", self.p.z_lo, self.p.z_hi)
-
-
-def clean_sales(s: DataFrame, p: PlanParams, land=None) -> CleanStages:
-    return CleanStages(s, p, land)
+        z = zscore(self.z_client, "KgLts_Total", [CLIENT, PRODUCT], "Valor_Z_detalle", self.p.z_single, hot=not self.together, together=self.together)
+        return self._tap("n_clean", band_filter(z, "Valor_Z_detalle", self.p.z_lo, self.p.z_hi))
+
+    def tapped(self, tap) -> CleanStages:
+        """The same stages, each passed through tap(name of its row count, stage); the quantile is not searched again."""
+        self.p_value
+        x = copy.copy(self)
+        for stage in ("p_sales", "z_client", "clean"):
+            x.__dict__.pop(stage, None)
+        x._tap = tap
+        x.sales = tap("n_sales", self.sales)
+        return x
+
+
+def clean_sales(s: DataFrame, p: PlanParams, land=None, together: bool = False) -> CleanStages:
+    return CleanStages(s, p, land, together)
 
 
 def visit_durations(log: DataFrame, p: PlanParams) -> tuple[DataFrame, float | None]:

@@ -30,13 +30,28 @@ class DemandPlan:
         self.codes = codes              # (FrecuenciaClave, Dia), or None: by the codes' order
         self.train_means = train_means  # weekday means of training days only, a row's own left out
         self._mat = materialize_stages
+        self._tables: list[str] = []    # landed by this plan
 
-    def _m(self, df: DataFrame, name: str = "stage") -> DataFrame:
+    def _m(self, df: DataFrame, name: str = "stage", by: tuple[str, ...] = ()) -> DataFrame:
         if not self._mat:
             return df
-        from ..session import materialize
+        from ..session import land_table
 
-        return materialize(df, name)
+        out, table = land_table(df, name, by if self.together else ())
+        self._tables.append(table)
+        return out
+
+    def release(self) -> None:
+        """Drop the tables this plan has landed, with their files. Stages already handed out can then not be read any more."""
+        from ..session import drop_tables
+
+        drop_tables(self.t.spark, self._tables)
+        self._tables.clear()
+
+    @cached_property
+    def together(self) -> bool:
+        """Lines are stored by client: stages are landed and no client is hot."""
+        return self._mat and not clean.hot_client(self.t, self.p, int(self.t.spark.conf.get("spark.sql.shuffle.partitions")))
 
     def _c(self, df: DataFrame) -> DataFrame:
         """Lazy cache for small tables read several times by one plan (no
@@ -50,8 +65,10 @@ class DemandPlan:
     # -- extracts ---------------------------------------------------------------------
     @cached_property
     def sales(self) -> DataFrame:
-        # lazy: the day totals and the kept lines are landed, not all lines
-        return clean.sales(self.t, self.p)
+        # stored by client, the lines serve every client-keyed stage without another exchange; with a hot
+        # client they stay lazy, and the day totals and the kept lines are landed
+        s = clean.sales(self.t, self.p)
+        return self._m(s, "sales", by=(clean.CLIENT,)) if self.together else s
 
     @cached_property
     def seq(self) -> DataFrame:
@@ -65,7 +82,7 @@ class DemandPlan:
     # -- cleaning ---------------------------------------------------------------------
     @cached_property
     def stages(self) -> clean.CleanStages:
-        return clean.clean_sales(self.sales, self.p, self._m)
+        return clean.clean_sales(self.sales, self.p, lambda df, name: self._m(df, name, by=(clean.CLIENT,)), self.together)
 
     @cached_property
     def client_attrs(self) -> DataFrame:
@@ -143,7 +160,7 @@ class DemandPlan:
 
     @cached_property
     def mix_long(self) -> DataFrame:
-        return mix.product_mix(self.stages.p_sales, self.p)
+        return self._m(mix.product_mix(self.stages.p_sales, self.p, self.together), "mix", by=(clean.CLIENT,))
 
     @cached_property
     def assignments(self) -> DataFrame:

@@ -35,22 +35,22 @@ def day_mix(p_sales: DataFrame, p: PlanParams) -> DataFrame:
     return g.select(CLIENT, PRODUCT, *[safe_div(F.col(name), F.col("kg")).alias(name) for _, name in p.days], "Porcentaje")
 
 
-def mix_clean(p_sales: DataFrame, p: PlanParams) -> DataFrame:
-    """Lines kept for the mix: z of line litres per (unit, client) <= 2."""
-    z = zscore(p_sales, "KgLts_Total", ["UNE", CLIENT], "Valor_Z", p.z_single, hot=True)
+def mix_clean(p_sales: DataFrame, p: PlanParams, together: bool = False) -> DataFrame:
+    """Lines kept for the mix: z of line litres per (unit, client) <= 2 (Z5, P11); ``together``: as for ``zscore``."""
+    z = zscore(p_sales, "KgLts_Total", ["UNE", CLIENT], "Valor_Z", p.z_single, hot=not together, together=together)
     return band_filter(z, "Valor_Z", hi=p.z_mix)
 
 
-def mix_median(p_sales: DataFrame, p: PlanParams) -> DataFrame:
+def mix_median(p_sales: DataFrame, p: PlanParams, together: bool = False) -> DataFrame:
     """Median over observed weeks of the weekly litres per (unit, client, product) (A10)."""
-    wk = mix_clean(p_sales, p).groupBy("UNE", CLIENT, "Year", "Semana", PRODUCT).agg(F.sum("KgLts_Total").alias("w"))
+    wk = mix_clean(p_sales, p, together).groupBy("UNE", CLIENT, "Year", "Semana", PRODUCT).agg(F.sum("KgLts_Total").alias("w"))
     return wk.groupBy("UNE", CLIENT, PRODUCT).agg(F.median("w").alias("KgLts_Total"))
 
 
-def product_mix(p_sales: DataFrame, p: PlanParams) -> DataFrame:
+def product_mix(p_sales: DataFrame, p: PlanParams, together: bool = False) -> DataFrame:
     """Long-form mix vectors: (unit, client, product, percent of the client's
     summed medians)."""
-    return share_of_total(mix_median(p_sales, p), ["UNE", CLIENT], "KgLts_Total", "Porcentaje").select(
+    return share_of_total(mix_median(p_sales, p, together), ["UNE", CLIENT], "KgLts_Total", "Porcentaje").select(
         "UNE", CLIENT, PRODUCT, "Porcentaje"
     )
 

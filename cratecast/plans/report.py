@@ -7,7 +7,9 @@ as small aggregations and applied as literals, never by collecting rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -128,23 +130,45 @@ def channel_trend(s: DataFrame) -> DataFrame:
     )
 
 
+RETAINED = ("n_sales", "n_p", "n_z_client", "n_clean")
+
+
+def observed(st: CleanStages) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """(the cleaned lines, counts): the rows of every stage are counted while the cleaned lines are computed.
+
+    ``counts`` waits for the first action on the cleaned lines."""
+    seen = {k: Observation(k) for k in RETAINED}
+    x = st.tapped(lambda name, df: df.observe(seen[name], F.count(F.lit(1)).alias("n")))
+    return x.clean, lambda: {k: o.get["n"] for k, o in seen.items()}
+
+
+def _counts(st: CleanStages) -> dict[str, int]:
+    """Rows of the stages: in passing where the lines are stored by client, else counted one by one.
+
+    Stored lines run through the cleaning without an exchange, so that every
+    count is taken in the tasks that write the result: a task that is run again
+    after the loss of an executor counts once. Behind an exchange a stage that
+    is recomputed could count twice, so the other plan counts its stages."""
+    if st.p_value is None:
+        return dict.fromkeys(RETAINED, 0)  # no lines; nothing would be observed
+    if st.together:
+        clean, counts = observed(st)
+        clean.write.format("noop").mode("overwrite").save()
+        return counts()
+    return {k: x.count() for k, x in zip(RETAINED, (st.sales, st.p_sales, st.z_client, st.clean))}
+
+
 def retention(st: CleanStages) -> DataFrame:
-    """Rows kept after each cleaning step, as one row.
-
-    Four one-row counts are unioned and folded with conditional sums (no
-    cross join)."""
-    stages = [("n_sales", st.sales), ("n_p", st.p_sales), ("n_z_client", st.z_client), ("n_clean", st.clean)]
-    u = None
-    for name, df in stages:
-        c = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n")
-        u = c if u is None else u.unionByName(c)
-    r = u.agg(*[F.sum(F.when(F.col("stage") == k, F.col("n"))).alias(k) for k, _ in stages])
-    n_sales, n_p, n_z, n_c = (F.col(k) for k, _ in stages)
+    """Rows kept after each cleaning step and their percentages (null without rows), as one row."""
+    n = _counts(st)
+    r = st.sales.sparkSession.createDataFrame([tuple(n[k] for k in RETAINED)], ", ".join(f"{k} long" for k in RETAINED))
+    n_sales, n_p, n_z, n_c = (F.col(k) for k in RETAINED)
+    pct = lambda a, b: a * 100.0 / F.nullif(b, F.lit(0))
     return r.select(
-        "n_sales", "n_p", "n_z_client", "n_clean",
-        half_even(n_z * 100.0 / n_p, 2).alias("pct_z_client"),
-        half_even(n_c * 100.0 / n_p, 2).alias("pct_clean"),
-        half_even(F.lit(100.0) - n_c * 100.0 / n_sales, 2).alias("pct_removed"),
+        *RETAINED,
+        half_even(pct(n_z, n_p), 2).alias("pct_z_client"),
+        half_even(pct(n_c, n_p), 2).alias("pct_clean"),
+        half_even(F.lit(100.0) - pct(n_c, n_sales), 2).alias("pct_removed"),
     )
 
 

@@ -155,7 +155,7 @@ def q_zscore_client(spark, sf_dir):
 
     dp = _plan(spark, sf_dir)
     st, p = dp.stages, dp.p
-    z = zscore(st.p_sales, "Venta_Total_dia", ["ClienteClave"], "Valor_Z_general", p.z_single, hot=True)
+    z = zscore(st.p_sales, "Venta_Total_dia", ["ClienteClave"], "Valor_Z_general", p.z_single, hot=not st.together, together=st.together)
     return rnd(z.select("ClienteClave", "Fecha", "Venta_Total_dia", "Valor_Z_general").distinct())
 
 
@@ -302,7 +302,7 @@ def q_mix_clean(spark, sf_dir):
     from .plans import mix
 
     dp = _plan(spark, sf_dir)
-    return rnd(mix.mix_clean(dp.stages.p_sales, dp.p).select(
+    return rnd(mix.mix_clean(dp.stages.p_sales, dp.p, dp.together).select(
         "UNE", "ClienteClave", "ProductoClave", "Fecha", "TransProdID", "TransProdDetalleID", "KgLts_Total", "Valor_Z"))
 
 
@@ -311,7 +311,7 @@ def q_mix_median(spark, sf_dir):
     from .plans import mix
 
     dp = _plan(spark, sf_dir)
-    return rnd(mix.mix_median(dp.stages.p_sales, dp.p))
+    return rnd(mix.mix_median(dp.stages.p_sales, dp.p, dp.together))
 
 
 @register("product_mix")

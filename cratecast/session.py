@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,3 +85,39 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = f"{d}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def _database(spark: SparkSession) -> str:
+    """A catalog database whose folder is in the shared checkpoint folder, so that its tables are dropped with their files."""
+    import hashlib
+
+    d = checkpoint_dir(spark).rstrip("/")
+    name = "cratecast_" + hashlib.md5(d.encode()).hexdigest()[:12]
+    location = (d + "/" + name).replace("'", "\\'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{location}'")
+    return name
+
+
+def land_table(df: DataFrame, name: str, by: Sequence[str] = ()) -> tuple[DataFrame, str]:
+    """(the stage read back, its table): as ``materialize``, but a table that ``drop_tables`` removes again.
+
+    ``by``: the rows are dealt once by these columns and stored in that many
+    buckets as the session has shuffle partitions. Aggregates, windows and joins
+    whose keys include them then need no exchange of this side."""
+    import uuid
+
+    spark = df.sparkSession
+    table = f"{_database(spark)}.{name}_{uuid.uuid4().hex}"
+    if by:
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # dealt as the buckets are, so that each bucket is one file
+        df.repartition(n, *by).write.format("parquet").bucketBy(n, *by).saveAsTable(table)
+    else:
+        df.write.format("parquet").saveAsTable(table)
+    return spark.table(table), table
+
+
+def drop_tables(spark: SparkSession, tables: Sequence[str]) -> None:
+    """Drop landed tables with their files."""
+    for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
