@@ -2,7 +2,7 @@
 
 The original pulled whole query results into one process over ODBC. Here
 each table is a Spark JDBC relation read in parallel slices of a numeric, date
-or timestamp column (``partitionColumn`` / bounds / ``numPartitions``); Spark
+or timestamp column (``partitionColumn`` / bounds / ``numPartitions``, or ``EqualSlices``); Spark
 pushes the plan's filters and column lists into the generated SQL. For repeated
 use, ``land`` writes every table once to Parquet (sale headers and visits
 partitioned by day) and ``ParquetTables`` reads them back: a filter on
@@ -13,6 +13,7 @@ Credentials come only from Spark conf / the caller, never from code.
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,77 @@ class Slicing:
     partitions: int
 
 
+#: Start of the day, hour and minute of a column, in the source's SQL.
+UNITS = (
+    "CAST({c} AS DATE)",
+    "DATEADD(hour, DATEDIFF(hour, 0, {c}), 0)",
+    "DATEADD(minute, DATEDIFF(minute, 0, {c}), 0)",
+)
+_STEPS = (dt.timedelta(days=1), dt.timedelta(hours=1), dt.timedelta(minutes=1))
+
+
+@dataclass
+class EqualSlices:
+    """Slices of about equal row counts of a date or timestamp column.
+
+    The source counts its rows per day, and per hour and minute where a day or
+    hour alone is more than a slice; the cuts follow the counts, so that no
+    bounds have to be guessed. ``units``: the source's SQL for the start of a
+    day, hour and minute."""
+
+    column: str
+    partitions: int
+    units: tuple[str, ...] = UNITS
+
+
+def counted(read, column: str, units: tuple[str, ...], partitions: int) -> list[tuple[dt.datetime, int]]:
+    """(start, rows) of the column's days, in order; heavy days as their hours, heavy hours as their minutes.
+
+    read(expression of the start, condition) gives the source's counts: rows with ``v`` and ``n``, a calendar's days at most."""
+
+    def ask(unit: str, where: str) -> list[tuple[dt.datetime, int]]:
+        rows = [(r["v"], r["n"]) for r in read(unit.format(c=column), where)]
+        return sorted((dt.datetime.combine(v, dt.time()) if not isinstance(v, dt.datetime) else v, int(n)) for v, n in rows if v is not None)
+
+    out = ask(units[0], f"{column} IS NOT NULL")
+    most = sum(n for _, n in out) / max(1, partitions)
+    for unit, step in zip(units[1:], _STEPS):
+        finer = []
+        for v, n in out:
+            heavy = n > most / 2 and (step == _STEPS[0] or _on(v, step))
+            finer += ask(unit, f"{column} >= '{v:%Y-%m-%d %H:%M:%S}' AND {column} < '{v + step:%Y-%m-%d %H:%M:%S}'") if heavy else [(v, n)]
+        out = finer
+    return out
+
+
+def _on(v: dt.datetime, step: dt.timedelta) -> bool:
+    """Whether a start can be that of a whole step of this length (a day's start may stand for an hour)."""
+    return not (v - dt.datetime.min) % step
+
+
+def equal_cuts(counts: list[tuple[dt.datetime, int]], partitions: int) -> list[dt.datetime]:
+    """Starts that divide the counts into at most ``partitions`` slices: each cut is the start nearest to its share of the rows."""
+    total, run, edges = sum(n for _, n in counts), 0, []
+    for v, n in counts:
+        edges.append((run, v))
+        run += n
+    cuts = []
+    for i in range(1, partitions):
+        want = total * i / partitions
+        at = min(edges[1:], key=lambda e: abs(e[0] - want), default=None)
+        if at is not None and (not cuts or at[1] > cuts[-1]):
+            cuts.append(at[1])
+    return cuts
+
+
+def predicates(column: str, cuts: list[dt.datetime]) -> list[str]:
+    """Conditions of the slices: every row, and one without a value, is in exactly one."""
+    if not cuts:
+        return ["1 = 1"]
+    t = [f"'{c:%Y-%m-%d %H:%M:%S}'" for c in cuts]
+    return [f"{column} < {t[0]} OR {column} IS NULL", *[f"{column} >= {a} AND {column} < {b}" for a, b in zip(t, t[1:])], f"{column} >= {t[-1]}"]
+
+
 #: Tables too large for one connection: reading them unsliced is an error.
 SLICED = ("sale_line",)
 #: Landed by day; filters on the column prune folders.
@@ -58,7 +130,7 @@ class JdbcTables:
     spark: SparkSession
     url: str
     options: dict = field(default_factory=dict)          # user, password, driver, fetchsize ...
-    slicing: dict[str, Slicing] = field(default_factory=dict)
+    slicing: dict[str, Slicing | EqualSlices] = field(default_factory=dict)
     crates: DataFrame | None = None                       # see sources.dims.read_crates
 
     def _read(self, name: str) -> DataFrame:
@@ -68,6 +140,8 @@ class JdbcTables:
         s = self.slicing.get(name)
         if s is None and name in SLICED:
             raise ValueError(f"{name}: give a Slicing (e.g. on its timestamp MFechaHora); one connection cannot carry it")
+        if isinstance(s, EqualSlices):
+            return self._typed(name, self._equal(name, s))
         if s is not None:
             r = (
                 r.option("partitionColumn", s.column)
@@ -75,7 +149,20 @@ class JdbcTables:
                 .option("upperBound", str(s.upper))
                 .option("numPartitions", s.partitions)
             )
-        df = r.load()
+        return self._typed(name, r.load())
+
+    def _equal(self, name: str, s: EqualSlices) -> DataFrame:
+        def read(unit: str, where: str) -> list:
+            q = f"(SELECT {unit} AS v, COUNT(*) AS n FROM {SOURCE_NAMES[name]} WHERE {where} GROUP BY {unit}) counts"
+            r = self.spark.read.format("jdbc").option("url", self.url).option("dbtable", q)
+            for k, v in self.options.items():
+                r = r.option(k, v)
+            return r.load().collect()
+
+        cuts = equal_cuts(counted(read, s.column, s.units, s.partitions), s.partitions)
+        return self.spark.read.jdbc(self.url, SOURCE_NAMES[name], predicates=predicates(s.column, cuts), properties={k: str(v) for k, v in self.options.items()})
+
+    def _typed(self, name: str, df: DataFrame) -> DataFrame:
         want = SCHEMAS[name]
         return check(name, df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in want.fields]))
 
