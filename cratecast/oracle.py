@@ -415,6 +415,15 @@ def _stage_queries(p: PlanParams) -> dict[str, str]:
         FROM (SELECT DISTINCT UNE, ClienteClave FROM mix_long) c
         JOIN (SELECT UNE, ProductoClave, row_number() OVER (PARTITION BY UNE ORDER BY ProductoClave) - 1 AS idx FROM (SELECT DISTINCT UNE, ProductoClave FROM mix_long)) u ON c.UNE = u.UNE
         LEFT JOIN mix_long m ON m.UNE = c.UNE AND m.ClienteClave = c.ClienteClave AND m.ProductoClave = u.ProductoClave"""
+    cats = ["EsquemaID", "Semana", "Mes", "Dia", "Categoria"]
+    levels = " UNION ALL ".join(f"SELECT {i} AS c, CAST({c} AS VARCHAR) AS l FROM banded GROUP BY ALL" for i, c in enumerate(cats))
+    hot = " UNION ALL ".join(f"SELECT b.ClienteClave, b.Semana, b.Dia, o.i AS idx, CAST(1.0 AS DOUBLE) AS valor FROM banded b JOIN lv o ON o.c = {i} AND o.l = CAST(b.{c} AS VARCHAR)" for i, c in enumerate(cats))
+    nums = " UNION ALL ".join(f"SELECT ClienteClave, Semana, Dia, (SELECT count(*) FROM lv) + {i}, CAST({c} AS DOUBLE) FROM banded" for i, c in enumerate(["Visitas_Semanales", "Venta_media_por_dia"]))
+    q["features_long"] = f"""WITH lv AS (SELECT c, l, row_number() OVER (ORDER BY c, l COLLATE "C") - 1 AS i FROM ({levels}) t),
+        f AS ({hot} UNION ALL {nums})
+        SELECT ClienteClave, Semana, Dia, CAST(idx AS INT) AS idx, {r6('valor')} FROM f WHERE valor <> 0"""
+    q["weekly_series"] = f"""SELECT * FROM (SELECT Semana, {r6('sum(prediccion)', 'Volumen')}, 'prediccion' AS Serie FROM weekly GROUP BY Semana
+        UNION ALL SELECT Semana, {r6('sum(KgLts_Total)', 'Volumen')}, 'real' AS Serie FROM sales GROUP BY Semana) t"""
     q["split"] = f"SELECT ClienteClave, Semana, Dia, {_split_case(p)} AS split FROM daily"
     q["product_mix"] = f"SELECT UNE, ClienteClave, ProductoClave, {r6('Porcentaje')} FROM mix_long"
     q["cluster_mix"] = f"SELECT UNE, ClienteClave, Cluster, ProductoClave, {r6('Porcentaje_kmeans')} FROM cluster_mix"

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import PlanParams
-from ..session import materialize
+from ..session import drop_tables, land_table
 
 CATS = ["EsquemaID", "Semana", "Mes", "Dia", "Categoria"]
 NUMS = ["Visitas_Semanales", "Venta_media_por_dia"]
@@ -101,12 +101,12 @@ def fit_gbt(daily: DataFrame, p: PlanParams, seed: int = 0) -> Fitted:
     spark = daily.sparkSession
     d = hash_split(_prep(daily), ROW_KEY, p).withColumn(LABEL, F.col(LABEL).cast("double"))
     fm = feature_pipeline().fit(d)
-    x = materialize(fm.transform(d).select("features", LABEL, "split"), "gbt_rows")
+    x, _ = land_table(fm.transform(d).select("features", LABEL, "split"), "gbt_rows")
     base = x.filter("split = 'train'").agg(F.avg(LABEL)).first()[0] or 0.0
     fitter = DecisionTreeRegressor(
         featuresCol="features", labelCol="_residual", predictionCol="_tree", maxDepth=p.gbt_max_depth, maxBins=p.gbt_max_bins, seed=seed,
     )
-    now, trees, errors = x.withColumn("_at", F.lit(float(base))), [], []
+    now, trees, errors, block = x.withColumn("_at", F.lit(float(base))), [], [], []
     while len(trees) < p.gbt_max_iter and len(errors) - _best(errors) <= p.gbt_patience:
         curve = []
         for _ in range(min(p.gbt_block, p.gbt_max_iter - len(trees))):
@@ -116,10 +116,13 @@ def fit_gbt(daily: DataFrame, p: PlanParams, seed: int = 0) -> Fitted:
             e = F.col(LABEL) - F.col("_at")
             curve.append(f"_e{len(trees)}")
             now = now.withColumn(curve[-1], e * e)
-        # one table a block: the trees' predictions are not replayed
-        now = materialize(now, "gbt_block")
+        # one table a block, so that the trees' predictions are not replayed; the block before it goes
+        now, table = land_table(now, "gbt_block")
+        drop_tables(spark, block)
+        block = [table]
         errors += [r if r is not None else 0.0 for r in now.filter("split = 'val'").agg(*[F.avg(c) for c in curve]).first()]
         now = now.drop(*curve)
+    drop_tables(spark, block)
     n = _best(errors)
     f = Fitted(fm, _ensemble(spark, trees[:n], p.gbt_step), float(base), n, errors, None)
     f.metrics = regression_metrics(f.predict(x.filter("split = 'test'")), LABEL, "prediction")

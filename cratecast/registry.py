@@ -417,6 +417,15 @@ def q_weekly_trend(spark, sf_dir):
     return rnd(weekly_trend(_lazy(spark, sf_dir).sales))
 
 
+@register("weekly_series")
+def q_weekly_series(spark, sf_dir):
+    """The (week, litres) series that ``write_series`` writes (S14): forecast volume per week of the plan, and sold volume per ISO week."""
+    dp = _plan(spark, sf_dir)
+    fc = dp.weekly.groupBy("Semana").agg(F.sum("prediccion").alias("Volumen")).withColumn("Serie", F.lit("prediccion"))
+    real = dp.sales.groupBy("Semana").agg(F.sum("KgLts_Total").alias("Volumen")).withColumn("Serie", F.lit("real"))
+    return rnd(fc.unionByName(real))
+
+
 @register("client_weekly")
 def q_client_weekly(spark, sf_dir):
     from .plans.report import client_weekly
@@ -542,6 +551,19 @@ def q_features(spark, sf_dir):
     return x.select("ClienteClave", "Semana", "Dia", F.col("features").cast("string").alias("features"))
 
 
+@register("features_long")
+def q_features_long(spark, sf_dir):
+    """The feature vectors in long form: the place and value of every entry that is not 0."""
+    from pyspark.ml.functions import vector_to_array
+
+    from .plans.model import _prep, feature_pipeline
+
+    d = _prep(_plan(spark, sf_dir).bands.daily)
+    x = feature_pipeline().fit(d).transform(d)
+    x = x.select("ClienteClave", F.col("Semana").cast("int").alias("Semana"), F.col("Dia").cast("int").alias("Dia"), F.posexplode(vector_to_array("features")).alias("idx", "valor"))
+    return rnd(x.filter("valor <> 0"))
+
+
 @register("split")
 def q_split(spark, sf_dir):
     from .plans.model import ROW_KEY, hash_split
@@ -595,9 +617,9 @@ def q_route_load_model(spark, sf_dir):
 
 @register("backtest_model")
 def q_backtest_model(spark, sf_dir):
-    """Rolling origins with the fitted forecast model: a model an origin, of at most 40 trees so that three fits stay affordable."""
+    """Rolling origins with the fitted forecast model: a model an origin, of 10 trees at a longer step, so that three fits stay affordable."""
     from .plans.backtest import backtest
     from .plans.model import gbt_forecaster
 
     dp = _plan(spark, sf_dir)
-    return rnd(backtest(dp, gbt_forecaster(dp.p.with_(gbt_max_iter=40, gbt_patience=10))).errors())
+    return rnd(backtest(dp, gbt_forecaster(dp.p.with_(gbt_max_iter=10, gbt_step=0.3))).errors())
