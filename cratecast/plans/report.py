@@ -104,7 +104,23 @@ def group_box(df: DataFrame, keys: list[str], col: str, weight: str | None = Non
     return a.select("h.g.*", "n", "min", "q1", "median", "q3", "max", "fence_lo", "fence_hi", "n_outliers")
 
 
-def box_stats(st: CleanStages) -> DataFrame:
+def box_stats(df: DataFrame, col: str, stage: str) -> DataFrame:
+    """Quartiles, 1.5 IQR fences and the number of points outside them."""
+    q1, q2, q3 = exact_quantiles(df, col, [0.25, 0.5, 0.75])
+    lo, hi = (None, None) if q1 is None else (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
+    c = F.col(col)
+    return df.agg(
+        F.count(c).alias("n"),
+        F.min(c).alias("min"),
+        F.max(c).alias("max"),
+        F.count(F.when((c < F.lit(lo).cast("double")) | (c > F.lit(hi).cast("double")), 1)).alias("n_outliers"),
+    ).select(
+        F.lit(stage).alias("stage"), "n", "min", F.lit(q1).cast("double").alias("q1"), F.lit(q2).cast("double").alias("median"),
+        F.lit(q3).cast("double").alias("q3"), "max", F.lit(lo).cast("double").alias("fence_lo"), F.lit(hi).cast("double").alias("fence_hi"), "n_outliers",
+    )
+
+
+def cut_box(st: CleanStages) -> DataFrame:
     """The box of the day totals over lines before and after the quantile cut.
 
     Both stages are groups of one search over the (client, day) totals, each

@@ -456,9 +456,9 @@ def q_describe_weekly(spark, sf_dir):
 
 @register("box_stats")
 def q_box_stats(spark, sf_dir):
-    from .plans.report import box_stats
+    from .plans.report import cut_box
 
-    return rnd(box_stats(_plan(spark, sf_dir).stages))
+    return rnd(cut_box(_plan(spark, sf_dir).stages))
 
 
 @register("channel_box")
