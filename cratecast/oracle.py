@@ -340,6 +340,7 @@ def _queries(p: PlanParams) -> dict[str, str]:
     q["p95_sales"] = f"""SELECT {sales_cols}, {_dbl(['KgLts_Total', 'Venta_Total_dia'])}, round_even((p95.q) * CAST(1000000 AS DOUBLE), 0) / CAST(1000000 AS DOUBLE) AS p_value
         FROM p_sales, p95"""
     q["zscore_client"] = f"""SELECT DISTINCT ClienteClave, Fecha, {_dbl(['Venta_Total_dia', 'Valor_Z_general'])} FROM zc"""
+    q["zscore_merged"] = q["zscore_client"]
     q["clean_sales"] = f"""SELECT {sales_cols}, {_dbl(['KgLts_Total', 'Venta_Total_dia', 'Valor_Z_general', 'Valor_Z_detalle'])}
         FROM clean"""
     q["retention"] = f"""SELECT n_sales, n_p, n_z_client, n_clean,

@@ -159,6 +159,18 @@ def q_zscore_client(spark, sf_dir):
     return rnd(z.select("ClienteClave", "Fecha", "Venta_Total_dia", "Valor_Z_general").distinct())
 
 
+@register("zscore_merged")
+def q_zscore_merged(spark, sf_dir):
+    """The client z-scores from four merged states, each of the lines of one quarter of a year."""
+    from .operators.merged import merged_zscore
+
+    dp = _plan(spark, sf_dir)
+    st, p = dp.stages, dp.p
+    parts = [F.quarter("Fecha") == q for q in range(1, 5)]
+    z = merged_zscore(st.p_sales, parts, "Venta_Total_dia", ["ClienteClave"], "Valor_Z_general", p.z_single)
+    return rnd(z.select("ClienteClave", "Fecha", "Venta_Total_dia", "Valor_Z_general").distinct())
+
+
 @register("clean_sales")
 def q_clean_sales(spark, sf_dir):
     return rnd(_plan(spark, sf_dir).stages.clean)
