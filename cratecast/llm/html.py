@@ -29,8 +29,10 @@ MIN_PAGES, SHARE = 5, 0.3
 #: Different pages that make a template of anything but a paragraph, however large the host.
 MANY = 50
 
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</?[a-zA-Z][^>]*(?:>|\Z)""", re.S)
-_ATTR = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</?[a-zA-Z][^>]*(?:>|\Z)""", re.S)
+#: A name with or without a value; quoted values are consumed, so that words in them are no attributes.
+_ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|"[^"]*"|'[^']*'""")
+_UNSHOWN = re.compile(r"display\s*:\s*none")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template iframe noembed noframes xmp textarea title".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -84,18 +86,19 @@ class Page:
         main, head, body = name in ("article", "main"), name == "header", name == "main"
         words: set[str] = set()
         if attrs and not hard:
+            unshown = False
             for m in _ATTR.finditer(attrs):
-                key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+                key, value = (m[1] or "").lower(), (m[2] or m[3] or m[4] or "").lower()
                 if key in ("class", "id", "role"):
                     words.update(named(value))
                 body = body or (key == "role" and value == "main") or (key == "itemprop" and value == "articlebody")
                 main = main or body
-                hard = hard or (key == "aria-hidden" and value == "true" and not main)
+                unshown = unshown or key == "hidden" or (key == "aria-hidden" and value == "true") or (key == "style" and bool(_UNSHOWN.search(value)))
             if name in ("html", "body", "main"):
                 words.clear()
             else:
                 head = head or bool(words & _HEADERS) and name != "article"
-            hard = hard or bool(re.search(r"(?:^|\s)hidden(?=\s|$|/)", attrs) and name not in ("html", "body"))
+            hard = hard or unshown and not main and name not in ("html", "body")
         self.tag.append(name)
         self.parent.append(top)
         self.off.append(hard)
