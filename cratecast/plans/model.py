@@ -9,13 +9,15 @@
   blocks. After each block the validation error of each of its trees is
   measured; fitting stops ``patience`` trees after the lowest error, and the
   trees up to it are the model (M5); R2 / MAE / RMSE on test (M6).
+* State: features are landed once, in buckets by row number. A block lands
+  the prediction so far in the same buckets, which meet without an exchange.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import PlanParams
@@ -25,6 +27,7 @@ CATS = ["EsquemaID", "Semana", "Mes", "Dia", "Categoria"]
 NUMS = ["Visitas_Semanales", "Venta_media_por_dia"]
 LABEL = "Venta_Total_dia"
 ROW_KEY = ["ClienteClave", "Semana", "Dia"]
+ROW = ["_row", "_nth"]
 
 
 def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
@@ -95,13 +98,28 @@ def _ensemble(spark, trees: list, step: float):
     return GBTRegressionModel(java).setFeaturesCol("features").setPredictionCol("prediction")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """Add ``_row`` (hash of the row key) and ``_nth`` (among rows of one hash), together a key of the row.
+
+    Both come from the values alone, so that a stage computed again numbers its
+    rows alike; rows equal in every used column may change places."""
+    order = list(dict.fromkeys([*ROW_KEY, *CATS, *NUMS, LABEL]))
+    df = df.withColumn("_row", F.xxhash64(*ROW_KEY))
+    return df.withColumn("_nth", F.row_number().over(Window.partitionBy("_row").orderBy(*order)))
+
+
+def with_state(x: DataFrame, state: DataFrame) -> DataFrame:
+    """The feature rows with the prediction so far. Both sides are stored by ``ROW``: no exchange."""
+    return x.join(state.select(*ROW, "_at"), ROW)
+
+
 def fit_gbt(daily: DataFrame, p: PlanParams, seed: int = 0) -> Fitted:
     from pyspark.ml.regression import DecisionTreeRegressor
 
     spark = daily.sparkSession
     d = hash_split(_prep(daily), ROW_KEY, p).withColumn(LABEL, F.col(LABEL).cast("double"))
     fm = feature_pipeline().fit(d)
-    x, _ = land_table(fm.transform(d).select("features", LABEL, "split"), "gbt_rows")
+    x, _ = land_table(fm.transform(numbered(d)).select(*ROW, "features", LABEL, "split"), "gbt_rows", by=ROW)
     base = x.filter("split = 'train'").agg(F.avg(LABEL)).first()[0] or 0.0
     fitter = DecisionTreeRegressor(
         featuresCol="features", labelCol="_residual", predictionCol="_tree", maxDepth=p.gbt_max_depth, maxBins=p.gbt_max_bins, seed=seed,
@@ -115,13 +133,14 @@ def fit_gbt(daily: DataFrame, p: PlanParams, seed: int = 0) -> Fitted:
             now = trees[-1].transform(now).withColumn("_at", F.col("_at") + F.lit(p.gbt_step) * F.col("_tree")).drop("_tree")
             e = F.col(LABEL) - F.col("_at")
             curve.append(f"_e{len(trees)}")
-            now = now.withColumn(curve[-1], e * e)
-        # one table a block, so that the trees' predictions are not replayed; the block before it goes
-        now, table = land_table(now, "gbt_block")
+            now = now.withColumn(curve[-1], F.when(F.col("split") == "val", e * e))
+        # a block lands predictions (and errors of validation rows), no features, so that
+        # the trees before it are not replayed; the block before it goes
+        state, table = land_table(now.select(*ROW, "_at", *curve), "gbt_block", by=ROW)
         drop_tables(spark, block)
         block = [table]
-        errors += [r if r is not None else 0.0 for r in now.filter("split = 'val'").agg(*[F.avg(c) for c in curve]).first()]
-        now = now.drop(*curve)
+        errors += [r if r is not None else 0.0 for r in state.agg(*[F.avg(c) for c in curve]).first()]
+        now = with_state(x, state)
     drop_tables(spark, block)
     n = _best(errors)
     f = Fitted(fm, _ensemble(spark, trees[:n], p.gbt_step), float(base), n, errors, None)
