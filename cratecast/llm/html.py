@@ -5,8 +5,8 @@ pages of a host each subtree occurs, and subtrees that recur across many of the
 host's pages are deleted, with what markup itself names as no article (menus,
 forms, scripts and so on). Pages that are copies of each other count once.
 
-Where a page marks its article (article, main), text outside it is no main text,
-and inside it only container elements can be deleted as templates: a paragraph
+Where a page marks its article (article, main), text outside it is no main text
+(but see ``FAIR``), and inside it only container elements can be deleted as templates: a paragraph
 that many articles quote stays. No subtree with half of a page's main text or
 more is ever deleted as a template, and by a word of its class or id only if a
 marked article lies outside it (see ``Page._judge``).
@@ -28,6 +28,9 @@ from .common import python_workers, land
 MIN_PAGES, SHARE = 5, 0.3
 #: Different pages that make a template of anything but a paragraph, however large the host.
 MANY = 50
+#: Article elements (no main, no articleBody) with text, but less than one part in so many of what is outside them, are
+#: teasers: what is left of the page without its templates is the main text.
+FAIR = 20
 
 _TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|</?[a-zA-Z][^>]*(?:>|\Z)""", re.S)
 #: A name with or without a value; quoted values are consumed, so that words in them are no attributes.
@@ -227,7 +230,8 @@ class Page:
     def read(self) -> tuple[list[tuple[list[int], str]], list[int]]:
         """([(hashes of the deletable subtrees around it, text)] of the main text, hashes of all deletable subtrees).
 
-        Hashes of paragraphs are even, others odd."""
+        Hashes of paragraphs are even, others odd. ``teasers`` is set if the text outside the page's articles is
+        given, too, for the choice of ``FAIR``; ``own`` says of each text whether it is of a marked article."""
         n = len(self.tag)
         inside = [False] * n
         for i in range(n):
@@ -242,8 +246,15 @@ class Page:
                     j = self.parent[j]
         size, total = [0] * n, 0
         kept = []
+        self.teasers, self.own = False, []
+        if marked and not any(m and b for m, b in zip(self.main, self.body)):
+            said = [0, 0]
+            for node, text in self.runs:
+                if not self.off[node]:
+                    said[inside[node]] += len(text.strip())
+            self.teasers = 0 < FAIR * said[True] < said[False]
         for node, text in self.runs:
-            if not self.off[node] and (inside[node] or not marked):
+            if not self.off[node] and (inside[node] or not marked or self.teasers):
                 kept.append((node, text))
                 words = len(text.strip())
                 total += words
@@ -252,7 +263,10 @@ class Page:
                     node = self.parent[node]
         digest: dict[int, int] = {}
         for i in range(1, n):
-            if around[i] or self.tag[i] in ("body", "head") or 2 * size[i] >= max(total, 1):
+            if around[i] or self.tag[i] in ("body", "head"):
+                continue
+            # beside teasers a block of any size may turn out a template: the articles are left then
+            if 2 * size[i] >= max(total, 1) and not (self.teasers and not inside[i]):
                 continue
             if inside[i] and marked and self.tag[i] not in _CONTAINERS and not self.off[i]:
                 continue
@@ -264,7 +278,7 @@ class Page:
                 digest[i] = h & ~1 if self.tag[i] in _PARAGRAPHS else h | 1
         paths: dict[int, tuple[int, ...]] = {-1: ()}
         out: list[tuple[list[int], list[str]]] = []
-        last: tuple[int, ...] | None = None
+        last: tuple[tuple[int, ...], bool] | None = None
         for node, text in kept:
             if node not in paths:
                 todo = []
@@ -274,9 +288,10 @@ class Page:
                 for x in reversed(todo):
                     paths[x] = paths[node] + ((digest[x],) if x in digest else ())
                     node = x
-            if paths[node] != last:
-                last = paths[node]
-                out.append((list(last), []))
+            if (paths[node], inside[node]) != last:
+                last = paths[node], inside[node]
+                out.append((list(last[0]), []))
+                self.own.append(last[1])
             out[-1][1].append(text)
         return [(p, "".join(t)) for p, t in out], sorted(set(digest.values()))
 
@@ -289,7 +304,8 @@ def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE
     without main text. A subtree is a template if it occurs on at least
     ``min_pages`` different pages of its host and on ``share`` of them; other
     than paragraphs, list items, headings and the like, ``many`` different pages
-    are enough on any host. A null url has the host "". Repeated rows stay and count as one page. Unclosed and
+    are enough on any host. Text outside article elements counts only beside
+    teasers (``FAIR``; once templates are gone). A null url has the host "". Repeated rows stay and count as one page. Unclosed and
     misnested tags close as in a browser; an unfinished tag at the end is no
     text. No rows: no rows.
     """
@@ -299,12 +315,13 @@ def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE
         for b in batches:
             rows = []
             for url, source in zip(b["url"], b["html"]):
-                segments, subtrees = Page(source).read() if isinstance(source, str) and source else ([], [])
+                page = Page(source if isinstance(source, str) else "")
+                segments, subtrees = page.read()
                 sig = xxhash.xxh3_64_intdigest("\x00".join(t for _, t in segments).encode("utf-8", "surrogatepass")) - (1 << 63)
-                rows.append((host_of(url), sig, subtrees, [{"path": p, "text": t} for p, t in segments]))
-            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "host": [r[0] for r in rows], "sig": [r[1] for r in rows], "subtrees": [r[2] for r in rows], "parts": [r[3] for r in rows]})
+                rows.append((host_of(url), sig, subtrees, [{"path": p, "text": t, "main": m} for (p, t), m in zip(segments, page.own)], page.teasers))
+            yield pd.DataFrame({"page_id": b["page_id"], "url": b["url"], "host": [r[0] for r in rows], "sig": [r[1] for r in rows], "subtrees": [r[2] for r in rows], "parts": [r[3] for r in rows], "teasers": [r[4] for r in rows]})
 
-    schema = "page_id long, url string, host string, sig long, subtrees array<long>, parts array<struct<path: array<long>, text: string>>"
+    schema = "page_id long, url string, host string, sig long, subtrees array<long>, parts array<struct<path: array<long>, text: string, main: boolean>>, teasers boolean"
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInPandas(parse, schema)
     rows = land(rows.withColumn("_row", F.monotonically_increasing_id()), "html_pages")
     seen = rows.select("host", "sig", F.explode("subtrees").alias("h")).distinct().groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
@@ -317,6 +334,10 @@ def extracted(pages: DataFrame, min_pages: int = MIN_PAGES, share: float = SHARE
     rows = rows.drop("subtrees").join(land(hit, "html_hits"), "_row", "left")
     gone = F.coalesce("gone", F.array().cast("array<long>"))
     kept = F.filter("parts", lambda x: ~F.arrays_overlap(x["path"], gone))
+    # main text of a page of teasers: all that is left, unless the articles are a fair part of that
+    own, other = F.filter(kept, lambda x: x["main"]), F.filter(kept, lambda x: ~x["main"])
+    said = lambda parts: F.aggregate(parts, F.lit(0), lambda n, x: n + F.length(F.trim(x["text"])))
+    kept = F.when(F.col("teasers") & (F.lit(FAIR) * said(own) >= said(other)), own).otherwise(kept)
     text = F.array_join(F.transform(kept, lambda x: x["text"]), "")
     text = F.trim(F.regexp_replace(text, r"[\s\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+", " "))
     return rows.select("page_id", "url", text.alias("text"), F.size(gone).alias("n_templates")).select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_templates")
