@@ -35,9 +35,11 @@ FROM p
 
 ORACLE["op8_line_dedup"] = r"""
 WITH l AS (
-  SELECT doc_id, i - 1 AS i, x[i] AS line, md5(x[i]) AS h, CASE WHEN i > 1 THEN md5(x[i - 1]) ELSE '' END AS e, len(x) AS n
+  SELECT doc_id, i - 1 AS i, x[i] AS line, CAST('0x' || substr(md5(x[i]), 1, 8) AS BIGINT) AS h, CASE WHEN i > 1 THEN CAST('0x' || substr(md5(x[i - 1]), 1, 8) AS BIGINT) ELSE 0 END AS e, len(x) AS n
   FROM (SELECT doc_id, string_split(text, chr(10)) AS x FROM documents WHERE text IS NOT NULL) t, range(1, len(x) + 1) r(i)),
-b AS (SELECT *, CAST('0x' || substr(md5(e || h), 1, 8) AS BIGINT) % 4 = 0 AS ends FROM l),
+p AS (SELECT *, (31 * e + h) % 4294967291 AS roll FROM l),
+q AS (SELECT *, coalesce(roll < lag(roll) OVER (PARTITION BY doc_id ORDER BY i), false) AS falls FROM p),
+b AS (SELECT *, falls AND NOT coalesce(lag(falls) OVER (PARTITION BY doc_id ORDER BY i), false) AND i <> n - 2 AS ends FROM q),
 c AS (SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ch FROM b),
 g AS (SELECT doc_id, ch, string_agg(line, chr(10) ORDER BY i) AS chunk, count(*) AS n_lines FROM c GROUP BY doc_id, ch),
 f AS (SELECT *, row_number() OVER (PARTITION BY chunk, n_lines ORDER BY doc_id, ch) > 1 AND n_lines > 1 AS gone FROM g),

@@ -172,20 +172,23 @@ def test_suffix_one_passage_in_every_document(frame):
     assert all(texts[r["doc_id"]].split()[r["start"] :][:55] == passage and r["n_words"] == 55 for r in rows)
 
 
-def brute_lines(texts, divisor=4):
+def brute_lines(texts):
     from hashlib import md5
 
     chunks = []
     for t in texts:
-        lines, cur, mine, before = (t.split("\n") if t is not None else []), [], [], ""
-        for x in lines:
-            h = md5(x.encode()).hexdigest()
+        lines, cur, mine, roll, before, fell = (t.split("\n") if t is not None else []), [], [], -1, 0, False
+        for i, x in enumerate(lines):
+            h = int(md5(x.encode()).hexdigest()[:8], 16)
+            now = (31 * before + h) % 4294967291
+            falls = now < roll
             cur.append(x)
-            if int(md5((before + h).encode()).hexdigest()[:8], 16) % divisor == 0:
+            if falls and not fell and i != len(lines) - 2:
                 mine.append(cur)
                 cur = []
-            before = h
+            roll, before, fell = now, h, falls
         chunks.append(mine + ([cur] if cur else []))
+    assert all(len(c) > 1 for mine in chunks if len(mine) > 1 for c in mine)
     seen, out = set(), []
     for t, mine in zip(texts, chunks):
         kept, gone = [], 0
@@ -219,6 +222,23 @@ def test_line_dedup_matches_plain_python(frame):
     assert len(nulls) == 2 and all(r["n_removed"] == 0 for r in nulls)
 
 
+def test_line_dedup_removes_what_repeats(frame):
+    """By a search for repeated lines that does not know the chunks."""
+    rng = random.Random(11)
+    fresh = lambda n: ["own line %d" % rng.randrange(10**9) for _ in range(n)]
+    passage = ["line %d of a shared passage" % i for i in range(40)]
+    whole = "\n".join(fresh(9))
+    texts = ["\n".join(fresh(rng.randrange(30)) + passage + fresh(rng.randrange(30))) for _ in range(30)] + [whole] * 5
+    got = {r["doc_id"]: r["text"] for r in line_deduped(frame(documents(texts), SCHEMA)).collect()}
+    lines = lambda i: set(got[i].split("\n"))
+    for i, t in enumerate(texts):
+        own = set(t.split("\n")) - set(passage)
+        assert own <= lines(i) if i <= 30 else got[i] == ""  # lines of one document stay, copies of a text go whole
+    assert set(passage) <= lines(0)
+    left = [len(set(passage) & lines(i)) for i in range(1, 30)]
+    assert max(left) <= 20 and sum(left) <= 29 * 6  # at the passage's ends only
+
+
 def page(body, head="", host="a.example.org", n=0):
     return (n, f"https://{host}/p/{n}", f"<!DOCTYPE html><html><head><title>T</title>{head}</head><body>{body}</body></html>")
 
