@@ -11,23 +11,31 @@
   trees up to it are the model (M5); R2 / MAE / RMSE on test (M6).
 * State: features are landed once, in buckets by row number. A block lands
   the prediction so far in the same buckets, which meet without an exchange.
+  Inside a block each tree's rows are kept (memory, then disk) until the next
+  tree's are there, so that a tree passes over the rows once and no tree
+  before it is replayed.
+* Tasks: a tree is some thirty short stages, so that the buckets follow the
+  number of rows (``PART_ROWS`` each), up to the session's partitions.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..params import PlanParams
-from ..session import drop_tables, land_table
+from ..session import drop_tables, land_table, shuffle_partitions
 
 CATS = ["EsquemaID", "Semana", "Mes", "Dia", "Categoria"]
 NUMS = ["Visitas_Semanales", "Venta_media_por_dia"]
 LABEL = "Venta_Total_dia"
 ROW_KEY = ["ClienteClave", "Semana", "Dia"]
 ROW = ["_row", "_nth"]
+#: Rows of a bucket while the trees are fitted.
+PART_ROWS = 50_000
 
 
 def regression_metrics(df: DataFrame, y: str, yhat: str) -> DataFrame:
@@ -114,6 +122,13 @@ def with_state(x: DataFrame, state: DataFrame) -> DataFrame:
 
 
 def fit_gbt(daily: DataFrame, p: PlanParams, seed: int = 0) -> Fitted:
+    spark = daily.sparkSession
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with shuffle_partitions(spark, max(1, min(most, -(-daily.count() // PART_ROWS)))):
+        return _fit(daily, p, seed)
+
+
+def _fit(daily: DataFrame, p: PlanParams, seed: int) -> Fitted:
     from pyspark.ml.regression import DecisionTreeRegressor
 
     spark = daily.sparkSession
@@ -126,17 +141,22 @@ def fit_gbt(daily: DataFrame, p: PlanParams, seed: int = 0) -> Fitted:
     )
     now, trees, errors, block = x.withColumn("_at", F.lit(float(base))), [], [], []
     while len(trees) < p.gbt_max_iter and len(errors) - _best(errors) <= p.gbt_patience:
-        curve = []
+        curve, kept = [], []
         for _ in range(min(p.gbt_block, p.gbt_max_iter - len(trees))):
             train = now.filter("split = 'train'").withColumn("_residual", F.col(LABEL) - F.col("_at"))
             trees.append(fitter.fit(train))
             now = trees[-1].transform(now).withColumn("_at", F.col("_at") + F.lit(p.gbt_step) * F.col("_tree")).drop("_tree")
             e = F.col(LABEL) - F.col("_at")
             curve.append(f"_e{len(trees)}")
-            now = now.withColumn(curve[-1], F.when(F.col("split") == "val", e * e))
+            now = now.withColumn(curve[-1], F.when(F.col("split") == "val", e * e)).persist(StorageLevel.MEMORY_AND_DISK)
+            kept.append(now)  # filled by the next pass, from the one before it; older ones go
+            if len(kept) > 2:
+                kept.pop(0).unpersist()
         # a block lands predictions (and errors of validation rows), no features, so that
         # the trees before it are not replayed; the block before it goes
         state, table = land_table(now.select(*ROW, "_at", *curve), "gbt_block", by=ROW)
+        for k in kept:
+            k.unpersist()
         drop_tables(spark, block)
         block = [table]
         errors += [r if r is not None else 0.0 for r in state.agg(*[F.avg(c) for c in curve]).first()]

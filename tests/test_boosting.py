@@ -79,3 +79,20 @@ def test_block_lands_predictions_only_and_meets_features_without_exchange(spark,
         assert both.count() == 200
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_tree_does_not_replay_the_trees_before_it(spark, monkeypatch):
+    inputs = []
+    fit = DecisionTreeRegressor._fit
+
+    def spy(self, df):
+        inputs.append((df.sparkSession.conf.get("spark.sql.shuffle.partitions"), df._jdf.queryExecution().withCachedData().toString()))
+        return fit(self, df)
+
+    monkeypatch.setattr(DecisionTreeRegressor, "_fit", spy)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    model.fit_gbt(spark.createDataFrame(_rows(200, 5), SCHEMA), fixture_params(gbt_max_iter=5, gbt_max_depth=2, gbt_patience=50, gbt_block=5))
+    # from the second tree on the input is the kept rows of the tree before; few rows are few buckets
+    assert ["InMemoryRelation" in plan for _, plan in inputs] == [False, True, True, True, True]
+    assert {n for n, _ in inputs} == {"1"}
+    assert spark.conf.get("spark.sql.shuffle.partitions") == was
