@@ -10,14 +10,19 @@ shingle's documents are not all in one component after that, up to ``LEAF`` of
 them are a leaf, whose documents are compared if sizes and places allow; over more, a
 signature tree is built: nodes hold OR-combined token bitmaps and size ranges, and a
 dual traversal prunes pairs of nodes whose largest possible overlap is too
-small. Pairs of documents that stay are verified on their whole texts.
+small. Pairs of leaves that stay are verified on their whole texts. Those of trees can
+be as many as the square of a group, so that a task returns a spanning forest of them
+(fewer rows than documents), never the pairs. The components of these forests are
+clusters: a document is in one at most, and two documents that a tree lets pass are in
+one cluster. A cluster's documents meet in a tree once more, with their sets of
+shingles, and its tasks return a forest of verified links.
 
 A node's bitmap holds a quarter of its documents' shingles. Two documents are
 also compared by parity bitmaps of all their shingles (a bit is set if an odd
 number of shingles hash to it): each bit that differs needs a shingle that only
 one of them has. Both take one to two bits a shingle.
 A frequent shingle's documents are dealt by size band and, within a band, into
-pairs of chunks of ``CHUNK`` documents at most: no task holds more.
+pairs of chunks of about ``CHUNK`` documents and ``CHUNK * LONG`` shingles: no task holds more.
 """
 
 from __future__ import annotations
@@ -31,10 +36,11 @@ from pyspark.sql import functions as F
 
 from .common import python_workers, keep_ids, land
 from .components import components
+from .neardup import _roots
 from .words import mix, text_shingles
 
 N, PERCENT = 4, 85
-LEAF, CHUNK, FAN, FRONTIER = 96, 4096, 8, 1 << 13
+LEAF, CHUNK, LONG, FAN, FRONTIER = 96, 4096, 1024, 8, 1 << 13
 _U = np.uint64
 
 
@@ -159,6 +165,37 @@ def traverse(x: Tree, y: Tree, same: bool, percent: int) -> tuple[np.ndarray, np
     return np.concatenate([p[0] for p in out]), np.concatenate([p[1] for p in out])
 
 
+def forest(i: np.ndarray, j: np.ndarray, comp: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Of the pairs (i, j), those that reach the threshold, less those whose documents others or ``comp`` already connect.
+
+    sets: the shingles of each document. A document's shingles are marked once for all its pairs."""
+    out: list[tuple[int, int]] = []
+    if not len(i):
+        return np.empty((0, 2), dtype=np.int64)
+    used, at = np.unique(np.concatenate((i, j)), return_inverse=True)
+    sizes = np.array([len(sets[d]) for d in used])
+    code = np.split(np.unique(np.concatenate([sets[d] for d in used]), return_inverse=True)[1], np.cumsum(sizes)[:-1])
+    mark = np.zeros(max(int(c.max()) for c in code if len(c)) + 1, dtype=bool)
+    lab = np.unique(comp[used], return_inverse=True)[1]
+    a, b = at[: len(i)], at[len(i) :]
+    order = np.argsort(a, kind="stable")
+    a, b = a[order], b[order]
+    cuts = np.concatenate(([0], np.flatnonzero(a[1:] != a[:-1]) + 1, [len(a)]))
+    for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        x = int(a[s])
+        y = b[s:e][lab[b[s:e]] != lab[x]]
+        if not len(y):
+            continue
+        mark[code[x]] = True
+        common = np.add.reduceat(mark[np.concatenate([code[d] for d in y])], np.cumsum(sizes[y]) - sizes[y], dtype=np.int64)
+        mark[code[x]] = False
+        for d in y[100 * common >= percent * (sizes[x] + sizes[y] - common)].tolist():
+            if lab[d] != lab[x]:
+                lab[lab == lab[d]] = lab[x]
+                out.append((used[x], used[d]))
+    return np.array(out, dtype=np.int64).reshape(-1, 2)
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
     """(a, b) of the pairs that reach the threshold on their whole texts. pairs: a, b, distinct."""
     side = lambda x: sets.select(F.col("doc").alias(x), F.col("size").alias(f"s{x}"), F.col("odd").alias(f"b{x}"))
@@ -240,10 +277,6 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
     # documents of sizes in ratio percent / 100 lie in one band or two adjacent ones; up to a chunk of documents are one band
     band = F.when(F.col("n") <= chunk, 0).otherwise(F.floor(F.log("size") / float(np.log(100 / percent)) + 1e-9)).cast("int")
     inside = land(met.join(open_.where(F.col("n") > LEAF), "tok").withColumn("band", band).drop("n", "at"), "jac_inside")
-    per = land(inside.groupBy("tok", "band").agg(F.count(F.lit(1)).alias("m")), "jac_bands")
-    # pairs lie within a band or between a band and the next; chunks of the two sides meet pairwise
-    meets = per.join(per.select("tok", (F.col("band") - 1).alias("band"), F.col("m").alias("up")), ["tok", "band"], "left")
-    meets = land(meets.select("tok", "band", "m", F.ceil(F.col("m") / chunk).cast("int").alias("k"), F.ceil(F.coalesce("up", F.lit(0)) / chunk).cast("int").alias("ku")), "jac_meets")
     carried = ["doc", "comp", "size"]
 
     def to(df: DataFrame, kind: int, n: str, task) -> DataFrame:
@@ -257,13 +290,21 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
         return df.select("tok", "band", "kind", "p.*", *carried)
 
     mine = lambda k: F.pmod(F.xxhash64("doc"), F.col(k)).cast("int")
-    lower = inside.join(meets, ["tok", "band"]).withColumn("c", mine("k"))
-    upper = inside.withColumn("band", F.col("band") - 1).join(meets, ["tok", "band"]).withColumn("c", mine("ku"))
-    dealt = to(lower.where("m > 1"), 0, "k", lambda o: (F.least("c", o), F.greatest("c", o), F.col("c") > o))
-    dealt = dealt.union(to(lower.where("ku > 0"), 1, "ku", lambda o: (F.col("c"), o, F.lit(0))))
-    dealt = dealt.union(to(upper, 1, "k", lambda o: (o, F.col("c"), F.lit(1))))
 
-    def meet(size: np.ndarray, comp: np.ndarray, ids: np.ndarray, side: np.ndarray, same: bool, packed: list[bytes], odd: list[bytes]) -> np.ndarray:
+    def dealt(inside: DataFrame, name: str) -> DataFrame:
+        """The documents of each group (tok) in every task where they meet others of their band or the next."""
+        chunks = F.ceil(F.greatest(F.count(F.lit(1)) / chunk, F.sum("size") / (chunk * LONG))).cast("int")
+        per = land(inside.groupBy("tok", "band").agg(F.count(F.lit(1)).alias("m"), chunks.alias("k")), f"{name}_bands")
+        # pairs lie within a band or between a band and the next; chunks of the two sides meet pairwise
+        meets = per.join(per.select("tok", (F.col("band") - 1).alias("band"), F.col("k").alias("up")), ["tok", "band"], "left")
+        meets = land(meets.select("tok", "band", "m", "k", F.coalesce("up", F.lit(0)).alias("ku")), f"{name}_meets")
+        lower = inside.join(meets, ["tok", "band"]).withColumn("c", mine("k"))
+        upper = inside.withColumn("band", F.col("band") - 1).join(meets, ["tok", "band"]).withColumn("c", mine("ku"))
+        out = to(lower.where("m > 1"), 0, "k", lambda o: (F.least("c", o), F.greatest("c", o), F.col("c") > o))
+        out = out.union(to(lower.where("ku > 0"), 1, "ku", lambda o: (F.col("c"), o, F.lit(0))))
+        return out.union(to(upper, 1, "k", lambda o: (o, F.col("c"), F.lit(1))))
+
+    def meet(size: np.ndarray, comp: np.ndarray, ids: np.ndarray, side: np.ndarray, same: bool, packed: list[bytes], odd: list[bytes], whole: list[bytes] | None) -> np.ndarray:
         half = int((side == 0).sum())
         if not same and half in (0, len(ids)):
             return np.empty((0, 2), dtype=np.int64)
@@ -275,8 +316,12 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
         else:
             i, j = traverse(Tree(size[:half], bits[:half], odd[:half], comp[:half]), Tree(size[half:], bits[half:], odd[half:], comp[half:]), False, percent)
             j = j + half
-        i, j = i[comp[i] != comp[j]], j[comp[i] != comp[j]]
-        return np.sort(np.stack((ids[i], ids[j]), axis=1), axis=1)
+        if whole is None:
+            i, j = i[comp[i] != comp[j]], j[comp[i] != comp[j]]
+            parent = _roots(np.arange(len(ids)), i, j)
+            under = np.flatnonzero(parent != np.arange(len(ids)))
+            return np.sort(np.stack((ids[under], ids[parent[under]]), axis=1), axis=1)
+        return np.sort(ids[forest(i, j, comp, [np.frombuffer(t, dtype=_U) for t in whole], percent)], axis=1)
 
     task = ["tok", "band", "kind", "i", "j"]
 
@@ -286,7 +331,8 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
         def done(df: pd.DataFrame, cuts: np.ndarray) -> pd.DataFrame:
             size, comp, ids, side = (df[c].to_numpy() for c in ("size", "comp", "doc", "side"))
             packed, odd, kind, i, j = df["bits"].tolist(), df["odd"].tolist(), df["kind"].to_numpy(), df["i"].to_numpy(), df["j"].to_numpy()
-            found = [meet(size[a:b], comp[a:b], ids[a:b], side[a:b], kind[a] == 0 and i[a] == j[a], packed[a:b], odd[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+            whole = df["whole"].tolist() if "whole" in df else None
+            found = [meet(size[a:b], comp[a:b], ids[a:b], side[a:b], kind[a] == 0 and i[a] == j[a], packed[a:b], odd[a:b], whole[a:b] if whole else None) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
             return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
         held = None
@@ -302,9 +348,23 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
         if held is not None and len(held):
             yield done(held, np.array([0, len(held)]))
 
-    dealt = dealt.join(reps.select("doc", "bits", "odd"), "doc").repartition(*task).sortWithinPartitions(*task, "side", "size", "doc")
-    more = dealt.mapInPandas(met_in, "a long, b long").union(leaves).distinct()
-    links = links.union(_verified(land(more, "jac_pairs"), rows, reps, n, percent))
+    def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"doc": b["doc"], "whole": [t.tobytes() for t in text_shingles(b["text"].tolist(), n)]})
+
+    def found(dealt: DataFrame, name: str) -> DataFrame:
+        return land(dealt.repartition(*task).sortWithinPartitions(*task, "side", "size", "doc").mapInPandas(met_in, "a long, b long").distinct(), name)
+
+    maps = reps.select("doc", "bits", "odd")
+    near = found(dealt(inside, "jac").join(maps, "doc"), "jac_near")
+    cluster = components(near).select(F.col("node").alias("doc"), F.col("comp").alias("tok"))
+    cluster = land(cluster.join(inside.select("doc", "comp", "size").distinct(), "doc"), "jac_clusters")
+    many = cluster.groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
+    cluster = land(cluster.join(many, "tok").withColumn("band", band).drop("n"), "jac_banded")
+    texts = keep_ids(rows, land(cluster.select("doc"), "jac_near_ids"), "doc").groupBy("doc").agg(F.min("text").alias("text"))
+    whole = land(texts.mapInPandas(shingled, "doc long, whole binary"), "jac_whole")
+    links = links.union(found(dealt(cluster, "jac_cluster").join(maps, "doc").join(whole, "doc"), "jac_forest"))
+    links = links.union(_verified(land(leaves.distinct(), "jac_pairs"), rows, reps, n, percent))
     comp = land(components(links), "jac_comp")
 
     cls = land(cls.select("d1", "d2", "size", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "size", F.coalesce("comp", "rep").alias("comp")), "jac_result")
