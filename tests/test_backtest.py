@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from cratecast.operators.stats import band_filter, zscore, zscore_bands
 from cratecast.params import fixture_params
 from cratecast.plans import mix
 from cratecast.plans.backtest import AHEAD, ORIGIN, Backtest, backtest
@@ -76,6 +77,36 @@ def test_a_forecaster_gets_one_origin_at_a_time(plan):
     assert [s[0] for s in seen] == [{o} for o in plan.p.backtest_origins] and all(w <= {o} for (_, w), o in zip(seen, plan.p.backtest_origins))
 
 
+def test_lines_are_read_once_for_all_origins(plan):
+    """A line is one row however many origins count it, and stored lines reach the daily set without an exchange of theirs."""
+    b = backtest(plan)
+    assert b.together and b.clean.count() <= plan.sales.count()
+    b.clean.collect()
+    assert "Exchange" not in b.clean._jdf.queryExecution().executedPlan().toString()
+    assert b.daily.select(ORIGIN).distinct().count() == len(plan.p.backtest_origins)
+
+
+def test_both_layouts_give_the_same_backtest(spark, plan):
+    other = DemandPlan(Tables(spark, SF_SMALL), fixture_params(), materialize_stages=True)
+    other.together = False
+    a, b = backtest(plan), backtest(other)
+    for stage in ("daily", "planned", "cold"):
+        x, y = ([tuple(f"{v:.6f}" if isinstance(v, float) else str(v) for v in r) for r in getattr(k, stage).select(*sorted(getattr(a, stage).columns)).collect()] for k in (a, b))
+        assert len(x) > 100 and sorted(x) == sorted(y), stage
+    assert forecasts(a) == pytest.approx(forecasts(b), rel=1e-9)
+
+
+@pytest.mark.parametrize("together", [True, False])
+def test_bands_of_several_sets_equal_those_of_each_set(spark, together):
+    rows = [(k, i, float((i * 7 + k) % 11), i % 3 != 0, i < 9 + k) for k in range(4) for i in range(14)]
+    rows += [(9, 0, 5.0, True, False), (10, 0, 2.0, True, True), (10, 1, 2.0, True, True), (11, 0, None, True, True), (11, 1, 1.0, True, None)]
+    df = spark.createDataFrame(rows, "k int, i int, x double, a boolean, b boolean").repartition(2, "k")
+    got = zscore_bands(df, "x", ["k"], ["a", "b"], -1.0, 1.2, 10.0, together).collect()
+    for f in ("a", "b"):
+        want = band_filter(zscore(df.filter(f), "x", ["k"], "z", 10.0), "z", -1.0, 1.2)
+        assert sorted((r["k"], r["i"]) for r in got if r[f]) == sorted((r["k"], r["i"]) for r in want.collect())
+
+
 # -- products that only the segment buys ------------------------------------------------------
 
 
