@@ -1,6 +1,7 @@
 """Lines stored by client: the same stages with and without, no exchange where nothing is hot, the split where a client is."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -54,6 +55,16 @@ def test_stored_lines_need_no_exchange(spark):
     assert final_plan(dp.blend).count("ShuffleQueryStage") <= 10
 
 
+def test_the_blend_of_new_products_reads_the_lines_once(spark):
+    """The day total is stored with the lines; history and segments are landed, so that only the weekday profile reads lines."""
+    dp = plan_of(spark)
+    dp.p = dp.p.with_(allow_new_products=True)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan(dp.stages.p_sales) and "Venta_Total_dia" not in dp.sales.columns
+    assert len(re.findall(r"FileScan parquet \S*\.sales_", plan(dp.blend))) == 1
+    assert dp.assignments.count() > 100
+
+
 def test_a_hot_client_keeps_its_lines_in_many_tasks(spark):
     dp = plan_of(spark, Hot)
     assert clean.hot_client(dp.t, dp.p, 8) and not dp.together and not clean.hot_client(Tables(spark, SF_SMALL), dp.p, 8)
