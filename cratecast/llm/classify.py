@@ -37,6 +37,8 @@ DIMENSIONS = 48
 #: Weight of the word view against the shape view in a text's vector.
 WORD_WEIGHT = 0.5
 THRESHOLD = 0.3
+#: Columns of a product at a time while the driver fits.
+NARROW = 8
 
 _KINDS = ["\x00 ", "\n", "\t\x0b\x0c\r", "0123456789", ".", ",;:", "!", "?", "|", "#*$%&@^~+=", "()[]{}<>/\\", "'\"`-_"]
 _CLASS = np.full(256, 12, dtype=np.int64)
@@ -98,15 +100,18 @@ def _weights(b: Bags, idf: np.ndarray) -> np.ndarray:
     return (x / np.maximum(norm, 1e-12)[view] * np.where(word, WORD_WEIGHT, 1)).astype(np.float32)
 
 
-def _times(b: Bags, x: np.ndarray, right: np.ndarray, most: int = 1 << 17) -> np.ndarray:
-    """The sparse matrix (rows of b) times a dense one, some entries at a time."""
+def _times(b: Bags, x: np.ndarray, right: np.ndarray, most: int = 1 << 17, wide: int = 64) -> np.ndarray:
+    """The sparse matrix (rows of b) times a dense one, some entries and some columns at a time."""
     out = np.zeros((len(b.at) - 1, right.shape[1]), np.float32)
-    row = b.rows()
+    row, columns = b.rows(), [(slice(c, c + wide), np.ascontiguousarray(right[:, c : c + wide])) for c in range(0, right.shape[1], wide)]
     for a in range(0, len(x), most):
         part = row[a : a + most]
         start = np.flatnonzero(np.diff(part, prepend=-1))
         if len(start):
-            out[part[start]] += np.add.reduceat(right[b.terms[a : a + most]] * x[a : a + most, None], start, axis=0)
+            for c, some in columns:
+                product = some[b.terms[a : a + most]]
+                product *= x[a : a + most, None]
+                out[part[start], c] += np.add.reduceat(product, start, axis=0)
     return out
 
 
@@ -124,8 +129,8 @@ class Model:
     labels: np.ndarray
     k: int
 
-    def latent(self, b: Bags) -> np.ndarray:
-        z = _times(b, _weights(b, self.idf), self.basis)
+    def latent(self, b: Bags, wide: int = 64) -> np.ndarray:
+        z = _times(b, _weights(b, self.idf), self.basis, wide=wide)
         return z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
 
     def score(self, b: Bags) -> np.ndarray:
@@ -148,12 +153,12 @@ def fit(b: Bags, labels: np.ndarray, k: int = NEIGHBOURS, dims: int = DIMENSIONS
     x = _weights(b, idf)
     t, xt = _transposed(b, x)
     dims = min(dims, n)
-    q = np.linalg.qr(_times(t, xt, np.random.default_rng(seed).standard_normal((n, min(n, dims + 8))).astype(np.float32)))[0]
+    q = np.linalg.qr(_times(t, xt, np.random.default_rng(seed).standard_normal((n, min(n, dims + 8))).astype(np.float32), wide=NARROW))[0]
     for _ in range(3):
-        q = np.linalg.qr(_times(t, xt, _times(b, x, q)))[0]
-    basis = (q @ np.linalg.svd(_times(b, x, q), full_matrices=False)[2].T[:, :dims]).astype(np.float32)
+        q = np.linalg.qr(_times(t, xt, _times(b, x, q, wide=NARROW), wide=NARROW))[0]
+    basis = (q @ np.linalg.svd(_times(b, x, q, wide=NARROW), full_matrices=False)[2].T[:, :dims]).astype(np.float32)
     empty = Model(idf, basis, np.zeros((0, dims), np.float32), labels, k)
-    return Model(idf, basis, empty.latent(b), labels.astype(np.float64), k)
+    return Model(idf, basis, empty.latent(b, NARROW), labels.astype(np.float64), k)
 
 
 def held_out(key: str = "doc_id"):
