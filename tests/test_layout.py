@@ -120,3 +120,10 @@ def test_sums_do_not_depend_on_the_order(spark):
     for seed in (1, 2):
         df = spark.createDataFrame(rows, "ClienteClave string, Fecha string, KgLts_Total double").orderBy(F.rand(seed)).repartition(7)
         assert clean.day_totals(df).first()["Venta_Total_dia"] == 50000030.05
+
+
+def test_both_z_bands_share_one_sort(spark):
+    """The windows by client and by (client, product) follow one sort of the stored lines."""
+    dp = plan_of(spark)
+    assert dp.together
+    assert final_plan(dp.stages.clean).count("Sort [") == 1
