@@ -23,6 +23,9 @@ number of shingles hash to it): each bit that differs needs a shingle that only
 one of them has. Both take one to two bits a shingle.
 A frequent shingle's documents are dealt by size band and, within a band, into
 pairs of chunks of about ``CHUNK`` documents and ``CHUNK * LONG`` shingles: no task holds more.
+
+Most tables between the stages are far smaller than the input. Counts of landed tables bound
+their rows, and these the tasks that write them (``gathered``).
 """
 
 from __future__ import annotations
@@ -34,13 +37,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import python_workers, keep_ids, land
+from .common import gathered, python_workers, keep_ids, land
 from .components import components
 from .neardup import _roots
 from .words import mix, text_shingles
 
 N, PERCENT = 4, 85
 LEAF, CHUNK, LONG, FAN, FRONTIER = 96, 4096, 1024, 8, 1 << 13
+#: Rows a task takes where they carry bitmaps, and where they carry texts.
+MAPS, TEXTS = 8192, 1024
 _U = np.uint64
 
 
@@ -196,8 +201,8 @@ def forest(i: np.ndarray, j: np.ndarray, comp: np.ndarray, sets: list[np.ndarray
     return np.array(out, dtype=np.int64).reshape(-1, 2)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
-    """(a, b) of the pairs that reach the threshold on their whole texts. pairs: a, b, distinct."""
+def _verified(pairs: DataFrame, most: int, docs: DataFrame, sets: DataFrame, n: int, percent: int) -> DataFrame:
+    """(a, b) of the pairs that reach the threshold on their whole texts. pairs: a, b, distinct, ``most`` of them at most."""
     side = lambda x: sets.select(F.col("doc").alias(x), F.col("size").alias(f"s{x}"), F.col("odd").alias(f"b{x}"))
 
     def likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -211,10 +216,11 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, percen
                 keep.append(int(np.bitwise_count(u ^ v).sum()) <= s + t - 2 * least_overlap(s, t, percent))
             yield p[["a", "b"]][np.array(keep, dtype=bool)]
 
-    pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb", "ba", "bb").mapInPandas(likely, "a long, b long")
-    pairs = land(pairs, "jac_likely")
-    ids = land(pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct(), "jac_ids")
-    texts = land(keep_ids(docs, ids, "doc").groupBy("doc").agg(F.min("text").alias("text")), "jac_texts")
+    pairs = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb", "ba", "bb")
+    pairs = land(gathered(pairs, most, MAPS).mapInPandas(likely, "a long, b long"), "jac_likely")
+    most = pairs.count()
+    ids = land(gathered(pairs.select(F.col("a").alias("doc")).union(pairs.select(F.col("b").alias("doc"))).distinct(), 2 * most), "jac_ids")
+    texts = land(gathered(keep_ids(docs, ids, "doc").groupBy("doc").agg(F.min("text").alias("text")), 2 * most, TEXTS), "jac_texts")
     both = pairs.join(texts.select(F.col("doc").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("doc").alias("b"), F.col("text").alias("tb")), "b")
 
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -227,7 +233,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, n: int, percen
                 good.append(100 * common >= percent * (len(x) + len(y) - common))
             yield p[["a", "b"]][np.array(good)]
 
-    return land(both.select("a", "b", "ta", "tb").mapInPandas(verify, "a long, b long"), "jac_links")
+    return land(gathered(both.select("a", "b", "ta", "tb"), most, TEXTS).mapInPandas(verify, "a long, b long"), "jac_links")
 
 
 def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -245,26 +251,30 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     sets = land(sketches(rows, n, percent), "jac_sets")
     full = sets.where("size > 0 and doc is not null")
-    cls = land(full.groupBy("d1", "d2", "size").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("m")), "jac_classes")
+    n_rows, n_prefix = sets.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("size") - F.ceil(percent * F.col("size") / 100) + 1), F.lit(0))).first()
+    cls = land(gathered(full.groupBy("d1", "d2", "size").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("m")), n_rows), "jac_classes")
     others = full.select("doc", "d1", "d2", "size").join(cls.where("m > 1"), ["d1", "d2", "size"]).where("doc <> rep").select("doc").distinct()
-    reps = keep_ids(full, land(others, "jac_others"), "doc", how="left_anti").select("doc", "size", "bits", "odd", "prefix")
+    reps = keep_ids(full, land(gathered(others, n_rows), "jac_others"), "doc", how="left_anti").select("doc", "size", "bits", "odd", "prefix")
     # one row of an id that repeats
-    twice = land(full.groupBy("doc").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("doc"), "jac_twice")
+    twice = land(gathered(full.groupBy("doc").agg(F.count(F.lit(1)).alias("m")), n_rows).where("m > 1").select("doc"), "jac_twice")
     if not twice.isEmpty():
         once = keep_ids(reps, twice, "doc").groupBy("doc").agg(F.min(F.struct("size", "bits", "odd", "prefix")).alias("o")).select("doc", "o.*")
         reps = land(keep_ids(reps, twice, "doc", how="left_anti").union(once), "jac_reps")
     under = reps.select("doc", F.col("size").cast("int").alias("size"), F.posexplode("prefix").alias("at", "tok"))
-    shared = land(under.groupBy("tok").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("hub")).where("n > 1"), "jac_shared")
-    met = land(under.join(shared, "tok").select("tok", "doc", "size", "at", "hub"), "jac_met")
-    links = _verified(met.where("doc <> hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), rows, reps, n, percent)
+    shared = land(gathered(under.groupBy("tok").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("hub")), n_prefix).where("n > 1"), "jac_shared")
+    met = land(gathered(under.join(shared, "tok").select("tok", "doc", "size", "at", "hub"), n_prefix), "jac_met")
+    n_met = met.count()
+    links = _verified(met.where("doc <> hub").select(F.col("hub").alias("a"), F.col("doc").alias("b")).distinct(), n_met, rows, reps, n, percent)
 
     comp = land(components(links), "jac_comp").withColumnRenamed("node", "doc")
     met = land(met.join(comp, "doc", "left").select("tok", "doc", "size", "at", F.coalesce("comp", "doc").alias("comp")), "jac_now")
     # shingles with the same documents are one, the first in the (unsigned) order of the prefixes; settled ones need no more, and of two documents one is the hub
     first = F.min(F.col("tok").bitwiseXOR(F.lit(-(1 << 63)))).bitwiseXOR(F.lit(-(1 << 63)))
     same = F.sum(F.xxhash64("doc").cast("decimal(38,0)")).alias("h1"), F.sum(F.hash("doc").cast("long")).alias("h2")
-    open_ = met.groupBy("tok").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), *same).where("c0 < c1 and n > 2")
-    open_ = land(open_.groupBy("n", "h1", "h2").agg(first.alias("tok")).select("tok", "n"), "jac_open")
+    open_ = gathered(met.groupBy("tok").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("c0"), F.max("comp").alias("c1"), *same), n_met).where("c0 < c1 and n > 2")
+    open_ = land(gathered(open_.groupBy("n", "h1", "h2").agg(first.alias("tok")).select("tok", "n"), n_met), "jac_open")
+    in_leaf, size_ = F.col("n") <= LEAF, F.col("n")
+    n_pairs, n_inside = open_.agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in (F.when(in_leaf, size_ * (size_ - 1) / 2), F.when(~in_leaf, size_)))).first()
     small = met.join(open_.where(F.col("n") <= LEAF).select("tok"), "tok")
     x, y = small.alias("x"), small.alias("y")
     near = (F.col("x.doc") < F.col("y.doc")) & (F.col("x.comp") != F.col("y.comp")) & (100 * F.col("x.size") >= percent * F.col("y.size")) & (100 * F.col("y.size") >= percent * F.col("x.size"))
@@ -276,7 +286,7 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
 
     # documents of sizes in ratio percent / 100 lie in one band or two adjacent ones; up to a chunk of documents are one band
     band = F.when(F.col("n") <= chunk, 0).otherwise(F.floor(F.log("size") / float(np.log(100 / percent)) + 1e-9)).cast("int")
-    inside = land(met.join(open_.where(F.col("n") > LEAF), "tok").withColumn("band", band).drop("n", "at"), "jac_inside")
+    inside = land(gathered(met.join(open_.where(F.col("n") > LEAF), "tok").withColumn("band", band).drop("n", "at"), n_met), "jac_inside")
     carried = ["doc", "comp", "size"]
 
     def to(df: DataFrame, kind: int, n: str, task) -> DataFrame:
@@ -291,18 +301,22 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
 
     mine = lambda k: F.pmod(F.xxhash64("doc"), F.col(k)).cast("int")
 
-    def dealt(inside: DataFrame, name: str) -> DataFrame:
-        """The documents of each group (tok) in every task where they meet others of their band or the next."""
+    def dealt(inside: DataFrame, most: int, name: str) -> tuple[DataFrame, int]:
+        """The documents of each group (tok) in every task where they meet others of their band or the next, and how many rows that are.
+
+        inside: ``most`` rows at most."""
         chunks = F.ceil(F.greatest(F.count(F.lit(1)) / chunk, F.sum("size") / (chunk * LONG))).cast("int")
-        per = land(inside.groupBy("tok", "band").agg(F.count(F.lit(1)).alias("m"), chunks.alias("k")), f"{name}_bands")
+        per = land(gathered(inside.groupBy("tok", "band").agg(F.count(F.lit(1)).alias("m"), chunks.alias("k")), most), f"{name}_bands")
         # pairs lie within a band or between a band and the next; chunks of the two sides meet pairwise
-        meets = per.join(per.select("tok", (F.col("band") - 1).alias("band"), F.col("k").alias("up")), ["tok", "band"], "left")
-        meets = land(meets.select("tok", "band", "m", "k", F.coalesce("up", F.lit(0)).alias("ku")), f"{name}_meets")
+        meets = per.join(per.select("tok", (F.col("band") - 1).alias("band"), F.col("k").alias("up"), F.col("m").alias("mu")), ["tok", "band"], "left")
+        meets = land(gathered(meets.select("tok", "band", "m", "k", F.coalesce("up", F.lit(0)).alias("ku"), F.coalesce("mu", F.lit(0)).alias("mu")), most), f"{name}_meets")
+        n_dealt = meets.agg(F.coalesce(F.sum(F.expr("m * k + m * ku + mu * k")), F.lit(0))).first()[0]
+        meets = meets.drop("mu")
         lower = inside.join(meets, ["tok", "band"]).withColumn("c", mine("k"))
         upper = inside.withColumn("band", F.col("band") - 1).join(meets, ["tok", "band"]).withColumn("c", mine("ku"))
         out = to(lower.where("m > 1"), 0, "k", lambda o: (F.least("c", o), F.greatest("c", o), F.col("c") > o))
         out = out.union(to(lower.where("ku > 0"), 1, "ku", lambda o: (F.col("c"), o, F.lit(0))))
-        return out.union(to(upper, 1, "k", lambda o: (o, F.col("c"), F.lit(1))))
+        return out.union(to(upper, 1, "k", lambda o: (o, F.col("c"), F.lit(1)))), n_dealt
 
     def meet(size: np.ndarray, comp: np.ndarray, ids: np.ndarray, side: np.ndarray, same: bool, packed: list[bytes], odd: list[bytes], whole: list[bytes] | None) -> np.ndarray:
         half = int((side == 0).sum())
@@ -352,22 +366,28 @@ def joined(docs: DataFrame, n: int = N, percent: int = PERCENT, key: str = "doc_
         for b in batches:
             yield pd.DataFrame({"doc": b["doc"], "whole": [t.tobytes() for t in text_shingles(b["text"].tolist(), n)]})
 
-    def found(dealt: DataFrame, name: str) -> DataFrame:
-        return land(dealt.repartition(*task).sortWithinPartitions(*task, "side", "size", "doc").mapInPandas(met_in, "a long, b long").distinct(), name)
+    def found(dealt: DataFrame, most: int, name: str) -> DataFrame:
+        by_task = gathered(dealt.repartition(*task), most, chunk).sortWithinPartitions(*task, "side", "size", "doc")
+        return land(gathered(by_task.mapInPandas(met_in, "a long, b long").distinct(), most), name)
 
     maps = reps.select("doc", "bits", "odd")
-    near = found(dealt(inside, "jac").join(maps, "doc"), "jac_near")
+    at, n_dealt = dealt(inside, n_inside, "jac")
+    near = found(at.join(maps, "doc"), n_dealt, "jac_near")
+    n_near = near.count()
     cluster = components(near).select(F.col("node").alias("doc"), F.col("comp").alias("tok"))
-    cluster = land(cluster.join(inside.select("doc", "comp", "size").distinct(), "doc"), "jac_clusters")
+    cluster = land(gathered(cluster.join(inside.select("doc", "comp", "size").distinct(), "doc"), 2 * n_near), "jac_clusters")
     many = cluster.groupBy("tok").agg(F.count(F.lit(1)).alias("n"))
-    cluster = land(cluster.join(many, "tok").withColumn("band", band).drop("n"), "jac_banded")
+    cluster = land(gathered(cluster.join(many, "tok").withColumn("band", band).drop("n"), 2 * n_near), "jac_banded")
     texts = keep_ids(rows, land(cluster.select("doc"), "jac_near_ids"), "doc").groupBy("doc").agg(F.min("text").alias("text"))
-    whole = land(texts.mapInPandas(shingled, "doc long, whole binary"), "jac_whole")
-    links = links.union(found(dealt(cluster, "jac_cluster").join(maps, "doc").join(whole, "doc"), "jac_forest"))
-    links = links.union(_verified(land(leaves.distinct(), "jac_pairs"), rows, reps, n, percent))
+    whole = land(gathered(texts, 2 * n_near, TEXTS).mapInPandas(shingled, "doc long, whole binary"), "jac_whole")
+    at, n_dealt = dealt(cluster, 2 * n_near, "jac_cluster")
+    links = links.union(found(at.join(maps, "doc").join(whole, "doc"), n_dealt, "jac_forest"))
+    pairs = land(gathered(leaves.distinct(), int(n_pairs)), "jac_pairs")
+    links = links.union(_verified(pairs, pairs.count(), rows, reps, n, percent))
     comp = land(components(links), "jac_comp")
 
-    cls = land(cls.select("d1", "d2", "size", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "size", F.coalesce("comp", "rep").alias("comp")), "jac_result")
+    cls = cls.select("d1", "d2", "size", "rep").join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", "size", F.coalesce("comp", "rep").alias("comp"))
+    cls = land(gathered(cls, n_rows), "jac_result")
     by = full.select("doc", "d1", "d2", "size").join(cls, ["d1", "d2", "size"]).groupBy("doc").agg(F.min("comp").alias("comp"))
-    out = sets.select("doc", "size").join(by, "doc", "left")
+    out = gathered(sets.select("doc", "size").join(by, "doc", "left"), n_rows)
     return out.select(F.col("doc").alias(key), F.col("size").alias("n_shingles"), F.coalesce("comp", "doc").alias("component_id"))
