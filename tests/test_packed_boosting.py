@@ -96,3 +96,38 @@ def test_early_stop_and_missing_labels(spark, daily, monkeypatch):
     assert len(f.errors) < 60 and f.n_trees < len(f.errors) and f.errors[f.n_trees - 1] == min(f.errors)
     with pytest.raises(ValueError, match="no Venta_Total_dia"):
         model.fit_gbt(daily.withColumn("Venta_Total_dia", F.lit(None).cast("double")), P)
+
+
+def test_the_backtests_models_have_the_plans_own_parameters(monkeypatch):
+    """All trees and the short step; the origins are handed over together."""
+    from cratecast import registry
+    from cratecast.plans import backtest as B
+
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    class PlanOnly:
+        p = fixture_params()
+
+    def spy(plan, forecaster):
+        seen.append(forecaster)
+        raise Stop
+
+    monkeypatch.setattr(registry, "_plan", lambda *a: PlanOnly)
+    monkeypatch.setattr(B, "backtest", spy)
+    with pytest.raises(Stop):
+        registry.q_backtest_model(None, "")
+    assert (seen[0].p.gbt_max_iter, seen[0].p.gbt_step, seen[0].p.gbt_patience) == (600, 0.1, 100) and seen[0].p == fixture_params()
+
+
+def test_models_fitted_at_once_are_those_fitted_one_by_one(spark, daily, monkeypatch):
+    monkeypatch.setattr(model, "FEW_ROWS", 300)
+    was = spark.conf.get("spark.sql.shuffle.partitions")
+    p = P.with_(gbt_max_iter=3)
+    pairs = [(daily.filter(f"Dia % 2 = {i}"), daily.filter(f"Dia % 2 = {i}")) for i in (0, 1)] + [(daily.filter("Dia = 3"), daily.filter("Dia = 3 and Semana < 9"))]
+    fit = model.gbt_forecaster(p)
+    got = [sorted(map(str, x.collect())) for x in fit.each(pairs)]
+    assert got == [sorted(map(str, fit(*pair).collect())) for pair in pairs] and all(got)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == was
